@@ -28,6 +28,14 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 DEFAULT_MAX_COLUMNS = 20_000
 
 
+def _field_getter(name: str):
+    return lambda x: x.getField(name)
+
+
+def _tag(i: int):
+    return lambda k: F.struct(F.lit(i).alias("p"), k.alias("k"))
+
+
 def _probe(dtype: DataType, path: tuple, getter: Column, multi: bool,
            arrays: dict, maps: dict) -> None:
     """Collect per-path expressions: max array size, map key arrays.
@@ -37,8 +45,7 @@ def _probe(dtype: DataType, path: tuple, getter: Column, multi: bool,
     """
     if isinstance(dtype, StructType):
         for f in dtype.fields:
-            child = (F.transform(getter, lambda x, n=f.name: x.getField(n)) if multi
-                     else getter.getField(f.name))
+            child = F.transform(getter, _field_getter(f.name)) if multi else getter.getField(f.name)
             _probe(f.dataType, path + (f.name,), child, multi, arrays, maps)
     elif isinstance(dtype, ArrayType):
         size = (F.array_max(F.transform(getter, lambda x: F.coalesce(F.size(x), F.lit(0)))) if multi
@@ -69,15 +76,22 @@ def flatten_shape(df: DataFrame, max_columns: int = DEFAULT_MAX_COLUMNS) -> tupl
         items = list(arrays.items())
         row = df.agg(*[F.max(e).alias(f"a{i}") for i, (_, e) in enumerate(items)]).collect()[0]
         sizes = {p: int(row[f"a{i}"] or 0) for i, (p, _) in enumerate(items)}
-    keys = {}
-    for p, e in maps.items():
-        # Distinct keys are found with a distributed distinct; only the
-        # key vocabulary (bounded by the width guard) reaches the driver.
-        found = (df.select(F.explode(e).alias("k")).where(F.col("k").isNotNull()).distinct()
+    keys: dict = {p: [] for p in maps}
+    if maps:
+        # All map paths in one distributed distinct over (path, key)
+        # pairs; only the key vocabulary (bounded by the width guard)
+        # reaches the driver.
+        paths = list(maps.items())
+        pairs = F.flatten(F.array(*[
+            F.transform(F.coalesce(e, F.array().cast("array<string>")), _tag(i)) for i, (_, e) in enumerate(paths)]))
+        found = (df.select(F.explode(pairs).alias("pk")).select("pk.p", "pk.k")
+                 .where(F.col("k").isNotNull()).distinct()
                  .limit(max_columns + 1).collect())
         if len(found) > max_columns:
-            raise ValueError(f"map {'.'.join(p)} has more than {max_columns} keys; use explode_lines")
-        keys[p] = sorted(r["k"] for r in found)
+            raise ValueError(f"maps have more than {max_columns} distinct keys; use explode_lines")
+        for r in found:
+            keys[paths[r["p"]][0]].append(r["k"])
+        keys = {p: sorted(v) for p, v in keys.items()}
     return sizes, keys
 
 
