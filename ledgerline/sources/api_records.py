@@ -33,15 +33,21 @@ Fixed values of the derivation (mirrored by the oracle SQL):
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ledgerline import schemas
 from ledgerline.functions.money import to_cents
+from ledgerline.session import scratch_path
+from ledgerline.sources.sinks import build_once
 from ledgerline.sources.driver_tables import USD, plan_id, plan_name, read, status_name
 
 PAGE_SIZE = 100
+LANDING = "landed"
 ADJUSTED_PRIORITIES = ("1-URGENT", "2-HIGH")
 ADJUSTMENT_RATE = 0.02
 
@@ -217,3 +223,32 @@ def invoice_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.regexp_replace(F.to_json(rec), r'"total":"(-?[0-9.]+)"', '"total":$1')
     return o.select(F.col("o_custkey").alias("page_id"), text.alias("json"))
+
+
+def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where the records derived from ``sf_dir`` land, under the shared
+    checkpoint folder named by the cluster."""
+    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    return scratch_path(spark, f"{LANDING}/{tag}/{name}")
+
+
+def landed_invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested invoices as landed by the ingest (typed parquet), built
+    once from the driver tables and then read like any landed table."""
+    return build_once(spark, landing_path(spark, sf_dir, "invoice_records"),
+                      lambda: invoice_records(spark, sf_dir))
+
+
+def landed_grant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_once(spark, landing_path(spark, sf_dir, "grant_records"),
+                      lambda: grant_records(spark, sf_dir))
+
+
+def landed_invoice_json(spark: SparkSession, sf_dir: str) -> str:
+    """Land the raw invoice records as JSON lines ``{"page_id": .., "record": {..}}``
+    and return the folder; readers parse them in the scan."""
+    path = landing_path(spark, sf_dir, "invoice_json")
+    build_once(spark, path, lambda: invoice_json_lines(spark, sf_dir).select(
+        F.concat(F.lit('{"page_id":'), F.col("page_id").cast("string"), F.lit(',"record":'), F.col("json"),
+                 F.lit("}")).alias("value")), fmt="text")
+    return path

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
@@ -57,11 +58,21 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
     w.json(path)
 
 
-def build_once(spark: SparkSession, path: str, build: Callable[[], DataFrame], fmt: str = "parquet") -> DataFrame:
-    """Reuse ``path`` if it exists, else build and write it; then read it.
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a completed Spark write (its ``_SUCCESS``
+    marker exists); a half-written folder from a failed job is not."""
+    try:
+        spark.read.text(path.rstrip("/") + "/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
+
 
-    ``mode("ignore")`` skips the write (and the build's computation)
-    when the output is already there.
+def build_once(spark: SparkSession, path: str, build: Callable[[], DataFrame], fmt: str = "parquet") -> DataFrame:
+    """Reuse ``path`` if a completed write is there, else build and write
+    it (replacing any partial output); then read it.  The build's plan is
+    not even constructed when the output exists.
     """
-    build().write.mode("ignore").format(fmt).save(path)
+    if not is_committed(spark, path):
+        build().write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
