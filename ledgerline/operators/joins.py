@@ -21,7 +21,8 @@ def merge_left_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on:
     ``right_on`` are the same name the key appears once (the left one,
     which a left join always keeps).  ``null_safe`` makes a null key
     match a null key (``<=>``), the way an in-memory dataframe merge
-    pairs missing keys.
+    pairs missing keys.  The join is skew-safe on the right side (see
+    :func:`left_join_skew_safe`).
     """
     same_key = left_on == right_on
     shared = set(left.columns) & set(right.columns)
@@ -31,9 +32,8 @@ def merge_left_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on:
     rsel = [F.col(c).alias(c + suffixes[1] if c in shared else c)
             for c in right.columns if not (same_key and c == right_on)]
     l2 = left.select(*lsel, F.col(left_on).alias("__lk"))
-    r2 = right.select(*rsel, F.col(right_on).alias("__rk"))
-    cond = l2["__lk"].eqNullSafe(r2["__rk"]) if null_safe else (l2["__lk"] == r2["__rk"])
-    return l2.join(r2, cond, "left").drop("__lk", "__rk")
+    r2 = right.select(*rsel, F.col(right_on).alias("__rkey"))
+    return left_join_skew_safe(l2, r2, "__lk", "__rkey", null_safe=null_safe).drop("__lk", "__rkey")
 
 
 def lookup_last_wins(names: DataFrame, name_col: str, value_col: str, order_col: str) -> DataFrame:
@@ -51,3 +51,48 @@ def left_join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
                         how: str = "left") -> DataFrame:
     """Fact-to-dimension join on one key, strategy chosen by Spark."""
     return fact.join(dim, fact[fact_key] == dim[dim_key], how)
+
+
+# Largest key set a semi-join reduction broadcasts (checked at run time).
+SEMI_BROADCAST_MAX_KEYS = 2_000_000
+
+
+def semi_reduce(big: DataFrame, big_key: str, small: DataFrame, small_key: str,
+                max_broadcast_keys: int = SEMI_BROADCAST_MAX_KEYS) -> DataFrame:
+    """Keep only rows of ``big`` whose key occurs in ``small``.
+
+    Used before a left outer join whose preserved (left) side is small:
+    such a join cannot broadcast its left side, so without this the whole
+    big side is shuffled.  The distinct keys of ``small`` are counted up
+    to ``max_broadcast_keys`` (a job over the already filtered small
+    side); under the bound they are broadcast, so the big side is
+    filtered where it is scanned, with no shuffle, and the semi join is
+    pushed below aggregates on that key.  Over the bound the join
+    strategy is left to Spark/AQE.  Rows of ``big`` without a match
+    could not have joined, so the outer join's result is unchanged.
+    """
+    keys = (small.select(F.col(small_key).alias("__semi_key")).where(F.col("__semi_key").isNotNull())
+            .distinct())
+    if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+        keys = F.broadcast(keys)
+    return big.join(keys, big[big_key] == keys["__semi_key"], "left_semi")
+
+
+def left_join_skew_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                        null_safe: bool = False) -> DataFrame:
+    """``left LEFT JOIN right`` that stays balanced when one right-side
+    key holds a large share of the rows.
+
+    A left outer join can only split skewed partitions of its left side;
+    here the matches come from an inner join (AQE may split either side)
+    and the unmatched left rows from an anti join against the *distinct*
+    right keys (the hot key collapses to one row before the shuffle).
+    """
+    def cond(lk, rk):
+        return lk.eqNullSafe(rk) if null_safe else lk == rk
+    matched = left.join(right, cond(left[left_key], right[right_key]), "inner")
+    rkeys = right.select(F.col(right_key).alias("__rk")).distinct()
+    unmatched = left.join(rkeys, cond(left[left_key], rkeys["__rk"]), "left_anti")
+    for c in right.columns:
+        unmatched = unmatched.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
+    return matched.unionByName(unmatched)

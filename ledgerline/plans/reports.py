@@ -22,6 +22,7 @@ from ledgerline.functions.money import (cents_to_units, divide_safe, format_mone
 from ledgerline.functions.parsing import json_array_first, kv_get
 from ledgerline.operators.aggregates import slice_totals  # noqa: F401  (re-exported)
 from ledgerline.operators.filters import finalized_positive, ts_range
+from ledgerline.operators.joins import semi_reduce
 from ledgerline.operators.windows import latest_per_key
 
 
@@ -111,9 +112,13 @@ def invoice_lines(customer: DataFrame, invoice: DataFrame, line_item: DataFrame,
                           F.col("name").alias("line_item_name"))
     sl = sub_line_item.select(F.col("line_item_id").alias("sl_line_item_id"), "billable_metric_name",
                               "quantity", "subtotal")
-    j = (c.join(i, F.col("c_id") == F.col("i_customer_id"), "inner")
-         .join(li, F.col("i_id") == F.col("l_invoice_id"), "left")
-         .join(sl, F.col("l_id") == F.col("sl_line_item_id"), "left"))
+    ci = c.join(i, F.col("c_id") == F.col("i_customer_id"), "inner")
+    # One customer's invoices are few; cut the line tables down to them
+    # before the outer joins (see joins.semi_reduce).
+    li = semi_reduce(li, "l_invoice_id", ci, "i_id")
+    cil = ci.join(li, F.col("i_id") == F.col("l_invoice_id"), "left")
+    sl = semi_reduce(sl, "sl_line_item_id", cil, "l_id")
+    j = cil.join(sl, F.col("l_id") == F.col("sl_line_item_id"), "left")
     money = F.max("subtotal") if total_agg == "max" else F.sum("subtotal")
     g = (j.groupBy("line_item_name", "billable_metric_name")
          .agg(F.sum("quantity").alias("Quantity"), money.cast("bigint").alias("total_cents")))

@@ -60,6 +60,33 @@ def test_latest_per_key_matches_row_number_with_hot_key(spark):
     assert top == {k: v[0] for k, v in ref.items()}
 
 
+def test_row_number_skew_safe_matches_window(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(6000):
+        k = 0 if i % 3 == 0 else (None if i % 89 == 0 else rnd.randint(1, 30))   # hot key and null key
+        rows.append((k, "a" if i % 2 else "b", i, rnd.randint(0, 9)))
+    df = spark.createDataFrame(rows, "k int, g string, id int, ts int")
+    order = [F.col("ts").desc(), F.col("id").desc()]
+    for keys in (["k"], ["k", "g"]):
+        got = sorted((r.id, r.rn) for r in windows.row_number_skew_safe(df, keys, order, num_partitions=7).collect())
+        ref = sorted((r.id, r.rn) for r in windows.with_row_number(df, keys, order).collect())
+        assert got == ref
+
+
+def test_semi_reduce_and_skew_safe_left_join(spark):
+    big = spark.createDataFrame([(i % 5, i) for i in range(100)] + [(None, 999)], "k int, v int")
+    small = spark.createDataFrame([(1,), (3,), (None,), (42,)], "k int")
+    assert sorted({r.k for r in joins.semi_reduce(big, "k", small, "k").collect()}) == [1, 3]
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "id int, name string")
+    right = spark.createDataFrame([(1, 10)] * 50 + [(None, 7)], "cid int, x int")
+    plain = sorted((r.name, r.x) for r in left.join(right, left.id == right.cid, "left").collect())
+    safe = sorted((r.name, r.x) for r in joins.left_join_skew_safe(left, right, "id", "cid").collect())
+    assert safe == plain
+    ns = joins.left_join_skew_safe(left, right, "id", "cid", null_safe=True).collect()
+    assert sorted((r.name, r.x) for r in ns if r.name == "n") == [("n", 7)]
+
+
 def test_slice_totals_drops_null_keys_and_sorts(spark):
     df = spark.createDataFrame([("p1", 10), (None, 5), ("p0", 7), ("p1", 1)], "plan string, total long")
     out = aggregates.slice_totals(df, ["plan"], customer_name="A1 Company")
