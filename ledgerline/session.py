@@ -61,8 +61,6 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
             continue
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    # Timestamps are compared as wall-clock values; pin the zone.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 

@@ -137,3 +137,24 @@ def test_streaming_ingest(spark, tmp_path):
     rejects = spark.read.parquet(str(tmp_path / "out" / "rejects"))
     assert sorted(r.id for r in valid.collect()) == ["i1", "i3"]
     assert [list(r.reasons) for r in rejects.collect()] == [["total: not a number"]]
+
+
+def test_single_object_envelope(spark, tmp_path):
+    p = str(tmp_path / "one" / "c.json")
+    _write_lines(p, [{"data": {"id": "c1", "name": "A1 Company", "external_id": None, "ingest_aliases": [],
+                               "custom_fields": {}, "customer_config": {}}},
+                     {"error": "Unauthorized access, please check your API key."}])
+    df = pages.read_pages(spark, p, schemas.CUSTOMER, single=True)
+    ok = df.where(F.col("error").isNull()).select("data.*").collect()
+    assert [(r.id, r.name) for r in ok] == [("c1", "A1 Company")]
+
+
+def test_report_job_writes_one_csv_per_report(spark, tmp_path):
+    from conftest import SF001
+    from ledgerline.plans import jobs
+    paths = jobs.run(spark, SF001, str(tmp_path / "reports"))
+    assert sorted(os.path.basename(p) for p in paths) == ["billings_by_plan", "customer_statement",
+                                                          "invoice_lines", "usage_by_attribute"]
+    stmt = spark.read.option("header", True).csv(paths[0])
+    assert stmt.count() == 150
+    assert len([f for f in os.listdir(paths[0]) if f.endswith(".csv")]) == 1
