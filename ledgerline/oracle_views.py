@@ -57,7 +57,10 @@ ORDER = list(VIEWS)
 
 
 def with_views(body: str, *names: str) -> str:
-    """Prefix ``body`` with the CTEs it needs, in dependency order."""
+    """Prefix ``body`` with the CTEs it needs, in dependency order.
+
+    ``body`` may start with ``, name AS (...)`` to add its own CTEs after
+    the views."""
     needed = set(names)
     if "bline" in needed:
         needed.add("bsub")

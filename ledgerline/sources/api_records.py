@@ -225,10 +225,23 @@ def invoice_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_custkey").alias("page_id"), text.alias("json"))
 
 
+SOURCES = {"invoice_records": ("orders", "lineitem", "part"), "grant_records": ("orders", "lineitem"),
+           "invoice_json": ("orders",)}
+
+
 def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Where the records derived from ``sf_dir`` land, under the shared
-    checkpoint folder named by the cluster."""
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    checkpoint folder named by the cluster.
+
+    The folder name carries a fingerprint of the inputs (their file
+    lists and row counts, both answered from parquet metadata), so new
+    or rewritten input tables land afresh instead of reusing old output.
+    """
+    parts = [os.path.abspath(sf_dir), name]
+    for t in SOURCES.get(name, ()):
+        src = read(spark, sf_dir, t)
+        parts += sorted(src.inputFiles()) + [str(src.count())]
+    tag = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
     return scratch_path(spark, f"{LANDING}/{tag}/{name}")
 
 

@@ -36,7 +36,7 @@ def read_pages(spark: SparkSession, path: str, record: StructType, multi_line: b
     schema = schemas.page_schema(record, single=single)
     return (spark.read.schema(schema).option("multiLine", multi_line)
             .option("mode", "PERMISSIVE").json(path)
-            .withColumn("source_file", F.input_file_name()))
+            .select("*", F.col("_metadata.file_path").alias("source_file")))
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
