@@ -39,11 +39,12 @@ def kv_get(text, key: str) -> Column:
 
     The key is the text before the first ``=`` of a pair and the value
     is everything after it, so ``{a=b=c}`` gives ``b=c`` for ``a``.  A
-    value holding ``", "`` is cut at that separator.  Missing key gives
-    null.
+    value holding ``", "`` is cut at that separator, and a piece without
+    ``=`` is not a pair.  Missing key gives null.
     """
     pairs = F.split(kv_body(text), KV_PAIR_SEPARATOR)
-    hit = F.get(F.filter(pairs, lambda p: F.substring_index(p, KV_KEY_SEPARATOR, 1) == F.lit(key)), 0)
+    hit = F.get(F.filter(pairs, lambda p: (F.instr(p, KV_KEY_SEPARATOR) > 0) &
+                         (F.substring_index(p, KV_KEY_SEPARATOR, 1) == F.lit(key))), 0)
     return F.substr(hit, F.instr(hit, KV_KEY_SEPARATOR) + 1)
 
 

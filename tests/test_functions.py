@@ -95,3 +95,11 @@ def test_casts(spark):
     rows = df.select(parsing.to_int_rounded("v").alias("r"), parsing.cast_lenient("s", "int").alias("i")).collect()
     assert [r.r for r in rows] == [3, -3]
     assert [r.i for r in rows] == [12, None]
+
+
+def test_kv_value_with_separator_is_cut(spark):
+    # The pair separator is ", ": a value holding it is cut there (stated rule).
+    df = spark.createDataFrame([("{note=a, b, num=2}",)], "p string")
+    r = df.select(parsing.kv_get(F.col("p"), "note").alias("note"), parsing.kv_get(F.col("p"), "num").alias("num"),
+                  parsing.kv_get(F.col("p"), "b").alias("b")).collect()[0]
+    assert (r.note, r.num, r.b) == ("a", "2", None)

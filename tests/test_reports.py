@@ -106,3 +106,14 @@ def test_invoice_slices_and_summary(spark):
     assert [(r.plan, r.total) for r in out.collect()] == [("p1", 100.0), ("p2", 30.0)]
     s = reports.customer_summary(inv.withColumn("customer_id", F.lit("c")).withColumn("subtotal", F.lit(1.0)))
     assert s.collect()[0].total == 180.0
+
+
+def test_billings_by_plan_duplicate_customer_names_merge(spark):
+    customer = spark.createDataFrame([("a1", "Same Name"), ("a2", "Same Name")], "id string, name string")
+    plan = spark.createDataFrame([("p1", "Paygo")], "id string, name string")
+    invoice = spark.createDataFrame([
+        ("i1", "a1", "p1", D(2024, 3, 2), 100), ("i2", "a2", "p1", D(2024, 3, 3), 250),
+    ], "id string, customer_id string, plan_id string, issued_at timestamp_ntz, total bigint")
+    out = reports.billings_by_plan(invoice, plan, customer, "2024-03-01", "2024-03-31").collect()
+    # grouped by the names, as the report's GROUP BY plan name, customer name does
+    assert [(r.plan_name, r.customer_name, r.total_billed) for r in out] == [("Paygo", "Same Name", "$3.5USD")]
