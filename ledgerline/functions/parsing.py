@@ -90,7 +90,9 @@ def json_array_first(array_or_text, field: str) -> Column:
     holding JSON text.
     """
     c = as_col(array_or_text)
-    return F.get(c, 0).getField(field)
+    # ``arr.field`` then element 0: same value as ``arr[0].field``, and it
+    # lets the parquet reader fetch only that nested field.
+    return F.get(c.getField(field), 0)
 
 
 def json_text_array_first(text, field: str) -> Column:
