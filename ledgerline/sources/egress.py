@@ -55,7 +55,7 @@ def list_csv_files(spark: SparkSession, root: str) -> list[str]:
     return sorted(r["path"] for r in files.collect())
 
 
-def load_egress_dir(spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None,
+def load_egress_dir(spark: SparkSession, root: str, schemas: dict[str, StructType | str] | None = None,
                     infer_schema: bool = True, multi_line: bool = False,
                     register: bool = True) -> dict[str, DataFrame]:
     """Read every table of an export tree; optionally register views.
