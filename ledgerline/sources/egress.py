@@ -96,3 +96,13 @@ def describe_tables(spark: SparkSession, names: list[str] | None = None) -> Data
             rows.append((t.name, c.name, c.dataType, bool(t.isTemporary)))
     schema = "table string, column string, data_type string, is_temporary boolean"
     return spark.createDataFrame(rows, schema).orderBy("table", F.monotonically_increasing_id())
+
+
+def parse_dict_text_columns(df: DataFrame, columns: dict[str, StructType | str]) -> DataFrame:
+    """Columns exported as Python-dict/list text (``{'a': 1, 'b': None}``)
+    back to typed structs/arrays, in place.  Built-in expressions only."""
+    from ledgerline.functions.parsing import pydict_to_struct
+    out = df
+    for name, dtype in columns.items():
+        out = out.withColumn(name, pydict_to_struct(F.col(name), dtype))
+    return out

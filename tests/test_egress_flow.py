@@ -65,3 +65,35 @@ def test_reports_over_csv_equal_reports_over_parquet(spark, tmp_path):
     for build in (billings, usage, lines):
         a, b = _rows(build(tables)), _rows(build(views))
         assert a == b and len(a) > 0
+
+
+def test_statement_from_grants_exported_with_dict_text(spark, tmp_path):
+    import pandas as pd
+    from pyspark.sql.types import ArrayType
+
+    from ledgerline import schemas
+    grants = [
+        {"id": "g1", "customer_id": "c1", "reason": None,
+         "balance": {"including_pending": 5, "excluding_pending": None, "effective_at": "2024-03-01"},
+         "deductions": [{"amount": 1.0, "reason": "it's usage", "running_balance": 82630.0,
+                         "effective_at": "2024-03-02", "created_by": "x", "credit_grant_id": "g1",
+                         "invoice_id": None}],
+         "grant_amount": {"amount": 100.0, "credit_type": {"id": "USD", "name": "USD"}}},
+        {"id": "g2", "customer_id": "c2", "reason": None, "balance": None, "deductions": [],
+         "grant_amount": {"amount": 5.0, "credit_type": {"id": "USD", "name": "USD"}}},
+    ]
+    path = str(tmp_path / "credit_balances.csv")
+    pd.DataFrame(grants).to_csv(path, index=False)       # nested values become Python repr text
+    raw = egress.read_csv(spark, path, schema="id string, customer_id string, reason string, balance string, "
+                                              "deductions string, grant_amount string")
+    typed = egress.parse_dict_text_columns(raw, {"balance": schemas.BALANCE,
+                                                 "deductions": ArrayType(schemas.DEDUCTION),
+                                                 "grant_amount": schemas.AMOUNT})
+    row = typed.where("id = 'g1'").collect()[0]
+    assert row.balance.excluding_pending is None and row.deductions[0].reason == "it's usage"
+    customers = spark.createDataFrame([("c1", "A1 Company"), ("c2", "B1 Company")], "id string, name string")
+    invoices = spark.createDataFrame([], "id string, customer_id string, status string, "
+                                         "end_timestamp timestamp_ntz, total bigint")
+    out = reports.customer_statement(customers, invoices, typed)
+    assert [(r.name, r.credit_balance) for r in out.collect()] == [("A1 Company", "$826.3 USD"),
+                                                                    ("B1 Company", None)]
