@@ -149,7 +149,10 @@ def billing_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def register_billing_views(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Register the billing views as temp views for SQL users."""
+    """Register the billing views as temp views for SQL users, together
+    with the SQL functions (``kv_get``, ``format_money``, ...)."""
+    from ledgerline.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
     views = billing_views(spark, sf_dir)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
