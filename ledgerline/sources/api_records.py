@@ -228,6 +228,10 @@ def invoice_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_custkey").alias("page_id"), text.alias("json"))
 
 
+# Fingerprints computed in this session (inputs are not rewritten under
+# a running session).
+_FINGERPRINTS: dict = {}
+
 SOURCES = {"invoice_records": ("orders", "lineitem", "part"), "grant_records": ("orders", "lineitem"),
            "invoice_json": ("orders",)}
 
@@ -240,12 +244,14 @@ def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     lists and row counts, both answered from parquet metadata), so new
     or rewritten input tables land afresh instead of reusing old output.
     """
-    parts = [os.path.abspath(sf_dir), name]
-    for t in SOURCES.get(name, ()):
-        src = read(spark, sf_dir, t)
-        parts += sorted(src.inputFiles()) + [str(src.count())]
-    tag = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
-    return scratch_path(spark, f"{LANDING}/{tag}/{name}")
+    key = (id(spark.sparkContext), os.path.abspath(sf_dir), name)
+    if key not in _FINGERPRINTS:
+        parts = [os.path.abspath(sf_dir), name]
+        for t in SOURCES.get(name, ()):
+            src = read(spark, sf_dir, t)
+            parts += sorted(src.inputFiles()) + [str(src.count())]
+        _FINGERPRINTS[key] = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+    return scratch_path(spark, f"{LANDING}/{_FINGERPRINTS[key]}/{name}")
 
 
 def check_record_arrays(spark: SparkSession, sf_dir: str, limit: int = RECORD_ARRAY_MAX) -> int:
