@@ -50,14 +50,16 @@ def customer_statement(customers: DataFrame, invoices: DataFrame, grants: DataFr
     j = (customers.select(F.col("id"), F.col("name"))
          .join(inv, F.col("id") == F.col("inv_customer_id"), "left")
          .join(credits, F.col("id") == F.col("cr_customer_id"), "left"))
-    return (j.select(
-        "name",
-        format_money(F.col("current_invoice_cents"), suffix=suffix,
-                     legacy_null_concat=legacy_null_concat).alias("current_invoice_balance"),
-        format_money(F.col("credit_balance_cents"), suffix=suffix,
-                     legacy_null_concat=legacy_null_concat).alias("credit_balance"),
-        "current_invoice_cents", "credit_balance_cents")
-        .orderBy(F.col("name").asc_nulls_last()))
+    # The customer id breaks ties between equal names, so a name shared
+    # by many customers can still be split across sort partitions.
+    return (j.orderBy(F.col("name").asc_nulls_last(), F.col("id").asc_nulls_last())
+            .select(
+                "name",
+                format_money(F.col("current_invoice_cents"), suffix=suffix,
+                             legacy_null_concat=legacy_null_concat).alias("current_invoice_balance"),
+                format_money(F.col("credit_balance_cents"), suffix=suffix,
+                             legacy_null_concat=legacy_null_concat).alias("credit_balance"),
+                "current_invoice_cents", "credit_balance_cents"))
 
 
 def usage_by_attribute(events: DataFrame, customers: DataFrame, start: str, end: str,
@@ -86,7 +88,8 @@ def usage_by_attribute(events: DataFrame, customers: DataFrame, start: str, end:
     j = pre.join(c, pre.customer_id == c.c_id, "left")
     return (j.groupBy("name", "customer_id", "attr").agg(F.sum("s").cast("bigint").alias(total_alias))
             .select("name", "customer_id", F.col("attr").alias(attribute_alias), total_alias)
-            .orderBy(F.col(total_alias).asc_nulls_last()))
+            .orderBy(F.col(total_alias).asc_nulls_last(), F.col("customer_id").asc_nulls_last(),
+                     F.col(attribute_alias).asc_nulls_last(), F.col("name").asc_nulls_last()))
 
 
 def invoice_lines(customer: DataFrame, invoice: DataFrame, line_item: DataFrame,
