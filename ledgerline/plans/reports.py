@@ -8,7 +8,8 @@ one row per event or invoice, and every aggregate is algebraic (partial
 aggregation before the shuffle, safe under key skew).
 
 Money stays integer cents until the display column; each display
-string has a numeric ``*_cents`` column beside it.
+string has a numeric column beside it (``*_cents``, or ``*_amount`` =
+cents / 100 where the value can be missing).
 """
 
 from __future__ import annotations
@@ -59,7 +60,8 @@ def customer_statement(customers: DataFrame, invoices: DataFrame, grants: DataFr
                              legacy_null_concat=legacy_null_concat).alias("current_invoice_balance"),
                 format_money(F.col("credit_balance_cents"), suffix=suffix,
                              legacy_null_concat=legacy_null_concat).alias("credit_balance"),
-                "current_invoice_cents", "credit_balance_cents"))
+                cents_to_units(F.col("current_invoice_cents")).alias("current_invoice_amount"),
+                cents_to_units(F.col("credit_balance_cents")).alias("credit_balance_amount")))
 
 
 def usage_by_attribute(events: DataFrame, customers: DataFrame, start: str, end: str,

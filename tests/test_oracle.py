@@ -42,8 +42,8 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
-    assert df.columns == ["name", "current_invoice_balance", "credit_balance", "current_invoice_cents",
-                          "credit_balance_cents"]
+    assert df.columns == ["name", "current_invoice_balance", "credit_balance", "current_invoice_amount",
+                          "credit_balance_amount"]
 
 
 def test_every_query_has_oracle_or_is_documented():
