@@ -1,7 +1,6 @@
 """Sources and sinks on files under a temp folder."""
 import json
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
