@@ -157,3 +157,16 @@ def test_report_job_writes_one_csv_per_report(spark, tmp_path):
     stmt = spark.read.option("header", True).csv(paths[0])
     assert stmt.count() == 150
     assert len([f for f in os.listdir(paths[0]) if f.endswith(".csv")]) == 1
+
+
+def test_streaming_restart_processes_only_new_files(spark, tmp_path):
+    landing, out, ckpt = str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    _write_lines(os.path.join(landing, "a.json"), [{"data": [INV_OK, dict(INV_OK, id="i2", total="x")]}])
+    start_ingest(spark, landing, out, ckpt, all_or_nothing=True).awaitTermination(120)
+    # the page of a.json has a reject: none of its records is valid
+    assert spark.read.parquet(os.path.join(out, "valid")).count() == 0
+    _write_lines(os.path.join(landing, "b.json"), [{"data": [dict(INV_OK, id="i5")]}])
+    start_ingest(spark, landing, out, ckpt, all_or_nothing=True).awaitTermination(120)
+    valid = spark.read.parquet(os.path.join(out, "valid"))
+    assert sorted(r.id for r in valid.collect()) == ["i5"]
+    assert spark.read.parquet(os.path.join(out, "rejects")).count() == 1
