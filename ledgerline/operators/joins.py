@@ -3,8 +3,9 @@
 Join strategy is left to Spark: a side is broadcast only when its
 estimated or AQE-measured size is under ``autoBroadcastJoinThreshold``;
 beyond it Spark shuffles both sides (sort-merge), and AQE splits skewed
-partitions of the large side.  Nothing here forces a broadcast of a
-side whose size grows with the data.
+partitions of the large side.  The one explicit broadcast here
+(``semi_reduce``) comes after counting the key set against a bound,
+with a plain join beyond it.
 """
 
 from __future__ import annotations
