@@ -36,8 +36,10 @@ SQL_FUNCTIONS: dict[str, tuple[str, str, str]] = {
 }
 
 
-def register_sql_functions(spark: SparkSession) -> list[str]:
-    """Create (or replace) the temporary SQL functions in this session."""
+def register_sql_functions(spark: SparkSession, force: bool = False) -> list[str]:
+    """Create the temporary SQL functions in this session (once; ``force``
+    replaces existing definitions)."""
     for name, (params, returns, body) in SQL_FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}")
+        if force or not spark.catalog.functionExists(name):
+            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}")
     return list(SQL_FUNCTIONS)

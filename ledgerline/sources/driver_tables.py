@@ -148,12 +148,16 @@ def billing_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def register_billing_views(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Register the billing views as temp views for SQL users, together
-    with the SQL functions (``kv_get``, ``format_money``, ...)."""
+VIEW_BUILDERS = {"customer": customers, "plan": plans, "invoice": invoices, "line_item": line_items,
+                 "sub_line_item": sub_line_items, "events": events}
+
+
+def register_billing_views(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> list[str]:
+    """Register billing views (all, or ``names``) as temp views for SQL
+    users, together with the SQL functions (``kv_get``, ...)."""
     from ledgerline.functions.sql_functions import register_sql_functions
     register_sql_functions(spark)
-    views = billing_views(spark, sf_dir)
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return sorted(views)
+    wanted = names or list(VIEW_BUILDERS)
+    for name in wanted:
+        VIEW_BUILDERS[name](spark, sf_dir).createOrReplaceTempView(name)
+    return sorted(wanted)
