@@ -62,3 +62,19 @@ def test_kv_get_matches_the_stated_rule(spark):
     for key in ("a", "size", "num"):
         got = {r.i: r.v for r in df.select("i", parsing.kv_get(F.col("t"), key).alias("v")).collect()}
         assert got == {i: _kv_rule(t, key) for i, t in enumerate(texts)}, key
+
+
+def test_unit_price_text_matches_duckdb(spark):
+    rnd = random.Random(4)
+    rows = [(i, rnd.randint(0, 10**7), rnd.choice([0.0, 1.0, 3.0, 7.0, rnd.uniform(0.1, 20000.0)]))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "i int, c bigint, q double")
+    total = money.cents_to_units(F.col("c"))
+    unit = money.round_2(money.divide_safe(total, F.col("q")))
+    got = {r.i: r.s for r in df.select("i", money.format_money(money.to_cents(unit)).alias("s")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INTEGER, c BIGINT, q DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", rows)
+    want = dict(con.execute("SELECT i, '$' || CAST(round(round(c / 100, 2) / nullif(q, 0), 2) AS VARCHAR) "
+                            "|| ' USD' FROM t").fetchall())
+    assert got == want
