@@ -1,6 +1,7 @@
 """Declared schemas of the billing API records and of the page envelope.
 
-Ids are strings and timestamps are parsed after the read; amounts are
+Ids are strings and timestamps arrive as text (a validated read types
+them, see ``TIMESTAMPS``); amounts are
 doubles as the API sends them.  ``REQUIRED`` lists, per entity, the
 fields a record must carry with a non-null value to be valid.
 """
@@ -66,6 +67,14 @@ REQUIRED = {
                      "grant_amount", "paid_amount", "balance", "deductions"],
 }
 
+# Text fields holding timestamps; a validated read types them as
+# ``timestamp_ntz`` (wall-clock time as written) and rejects bad text.
+TIMESTAMPS = {
+    "customer": [],
+    "invoice": ["start_timestamp", "end_timestamp"],
+    "credit_grant": ["effective_at", "expires_at"],
+}
+
 ENTITIES = {"customer": CUSTOMER, "invoice": INVOICE, "credit_grant": CREDIT_GRANT}
 
 

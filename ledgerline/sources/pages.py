@@ -105,7 +105,8 @@ def _bad_number_reasons(text: Column, dtype: DataType, path: str) -> list[Column
 
 def validate_records(parsed_text: DataFrame, record: StructType, required: list[str],
                      record_col: str = "r", keep: list[str] | None = None,
-                     all_or_nothing_by: str | None = None) -> tuple[DataFrame, DataFrame]:
+                     all_or_nothing_by: str | None = None,
+                     timestamp_fields: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Split records read with text leaves into ``(valid, rejects)``.
 
     ``parsed_text`` has a struct column ``record_col`` parsed with
@@ -113,17 +114,27 @@ def validate_records(parsed_text: DataFrame, record: StructType, required: list[
     fields typed as declared plus ``keep`` columns; ``rejects`` has
     ``keep`` columns, the record as JSON text and ``reasons``.
     ``all_or_nothing_by`` names a page column: a page with any reject
-    contributes no valid records.
+    contributes no valid records.  ``timestamp_fields`` (top-level text
+    fields) come out as ``timestamp_ntz``; text that is not a timestamp
+    is a reject reason.
     """
     keep = keep or []
+    ts = set(timestamp_fields or [])
     r = F.col(record_col)
     reasons = [F.when(r.getField(n).isNull(), F.lit(f"{n}: missing")) for n in required]
     for f in record.fields:
         reasons += _bad_number_reasons(r.getField(f.name), f.dataType, f.name)
+    for n in sorted(ts):
+        t = r.getField(n)
+        reasons.append(F.when(t.isNotNull() & t.try_cast("timestamp_ntz").isNull(), F.lit(f"{n}: not a timestamp")))
     checked = parsed_text.withColumn("reasons", F.array_compact(F.array(*reasons)))
     is_valid = F.size("reasons") == 0
-    valid = checked.where(is_valid).select(
-        *keep, *[_typed(r.getField(f.name), f.dataType).alias(f.name) for f in record.fields])
+
+    def typed(f):
+        if f.name in ts:
+            return r.getField(f.name).try_cast("timestamp_ntz")
+        return _typed(r.getField(f.name), f.dataType)
+    valid = checked.where(is_valid).select(*keep, *[typed(f).alias(f.name) for f in record.fields])
     rejects = checked.where(~is_valid).select(*keep, F.to_json(r).alias("record"), "reasons")
     if all_or_nothing_by is not None:
         bad_pages = rejects.select(all_or_nothing_by).distinct()

@@ -50,7 +50,8 @@ def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         valid, rejects = validate_records(batch, record, required, keep=["source_file"],
-                                          all_or_nothing_by="source_file" if all_or_nothing else None)
+                                          all_or_nothing_by="source_file" if all_or_nothing else None,
+                                          timestamp_fields=schemas.TIMESTAMPS[entity])
         valid.write.mode("overwrite").parquet(os.path.join(out_dir, "valid", f"batch_id={batch_id}"))
         rejects.write.mode("overwrite").parquet(os.path.join(out_dir, "rejects", f"batch_id={batch_id}"))
 

@@ -29,13 +29,14 @@ def _write_lines(path, objs):
 
 
 def test_pages_error_routing_and_per_record_rejects(spark, tmp_path):
+    bad_ts = dict(INV_OK, id="i5", end_timestamp="31/03/2024")
     bad_qty = json.loads(json.dumps(INV_OK))
     bad_qty["id"] = "i2"
     bad_qty["line_items"][0]["quantity"] = "12.5x"
     missing = dict(INV_OK, id="i3")
     del missing["plan_id"]
     pages_path = str(tmp_path / "landing" / "p1.json")
-    _write_lines(pages_path, [{"data": [INV_OK, bad_qty, missing]}, {"error": "Endpoint not found."},
+    _write_lines(pages_path, [{"data": [INV_OK, bad_qty, missing, bad_ts]}, {"error": "Endpoint not found."},
                               {"next_page": None}])
     _write_lines(str(tmp_path / "landing" / "p2.json"), [{"data": [dict(INV_OK, id="i4")]}])
 
@@ -43,13 +44,15 @@ def test_pages_error_routing_and_per_record_rejects(spark, tmp_path):
     errs = pages.page_errors(raw).collect()
     assert [e.error for e in errs] == ["Endpoint not found."]
     recs = pages.explode_pages(raw)
-    assert recs.count() == 4                       # missing data gives no record
+    assert recs.count() == 5                       # missing data gives no record
     parsed = recs.select("source_file", F.struct(*[c for c in recs.columns if c != "source_file"]).alias("r"))
     valid, rejects = pages.validate_records(parsed, schemas.INVOICE, schemas.REQUIRED["invoice"],
-                                            keep=["source_file"])
+                                            keep=["source_file"], timestamp_fields=schemas.TIMESTAMPS["invoice"])
     assert sorted(r.id for r in valid.collect()) == ["i1", "i4"]
     got = {json.loads(r.record)["id"]: list(r.reasons) for r in rejects.collect()}
-    assert got == {"i2": ["line_items: not a number"], "i3": ["plan_id: missing"]}
+    assert got == {"i2": ["line_items: not a number"], "i3": ["plan_id: missing"],
+                   "i5": ["end_timestamp: not a timestamp"]}
+    assert dict(valid.dtypes)["start_timestamp"] == "timestamp_ntz"
     typed = valid.where(F.col("id") == "i1").collect()[0]
     assert typed.total == 7163.0 and typed.line_items[0].quantity == 25.5   # fractional quantity kept
     strict, _ = pages.validate_records(parsed, schemas.INVOICE, schemas.REQUIRED["invoice"],
