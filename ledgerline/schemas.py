@@ -1,9 +1,9 @@
 """Declared schemas of the billing API records and of the page envelope.
 
-Ids are strings and timestamps arrive as text (a validated read types
-them, see ``TIMESTAMPS``); amounts are
-doubles as the API sends them.  ``REQUIRED`` lists, per entity, the
-fields a record must carry with a non-null value to be valid.
+Ids are strings, amounts are doubles as the API sends them, and
+timestamps arrive as text (a validated read types them, see
+``TIMESTAMPS``).  ``REQUIRED`` lists, per entity, the fields a record
+must carry with a non-null value to be valid.
 """
 
 from __future__ import annotations
