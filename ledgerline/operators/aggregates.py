@@ -46,8 +46,8 @@ def slice_totals(invoices: DataFrame, by: list[str], value: str = "total",
 def count_unique_with_null(df: DataFrame, column: str, alias: str = "n_unique") -> DataFrame:
     """Distinct values of ``column`` where null counts as one value."""
     c = F.col(column)
-    return df.agg((F.countDistinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))).cast("bigint")
-                  .alias(alias))
+    has_null = F.coalesce(F.max(F.when(c.isNull(), 1).otherwise(0)), F.lit(0))
+    return df.agg((F.countDistinct(c) + has_null).cast("bigint").alias(alias))
 
 
 def _round_to(x: Column, digits: int) -> Column:

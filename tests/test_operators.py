@@ -191,3 +191,13 @@ def test_explode_lines_keeps_empty(spark):
             ("i2", "c1", "DRAFT", "t", [])]
     rows = nested.explode_lines(spark.createDataFrame(data, schema)).collect()
     assert sorted((r.id, r.line_index, r.sub_index) for r in rows) == [("i1", 0, None), ("i2", None, None)]
+
+
+def test_multi_pass_operators_on_empty_input(spark):
+    empty = spark.createDataFrame([], "k int, id int, ts int, v double")
+    assert windows.row_number_skew_safe(empty, "k", [F.col("ts").desc()]).count() == 0
+    d = aggregates.describe_numeric(empty, ["v"]).collect()[0]
+    assert d["count"] == 0 and d["p50"] is None and d["min"] is None
+    nested_empty = spark.createDataFrame([], "id string, xs array<struct<a:int>>, m map<string,string>")
+    assert nested.flatten_wide(nested_empty).columns == ["id"]
+    assert aggregates.count_unique_with_null(empty, "v").collect()[0][0] == 0
