@@ -76,3 +76,30 @@ def build_once(spark: SparkSession, path: str, build: Callable[[], DataFrame], f
     if not is_committed(spark, path):
         build().write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
+
+
+def month_column(ts_col: str) -> str:
+    return f"{ts_col}_month"
+
+
+def write_by_month(df: DataFrame, path: str, ts_col: str, mode: str = "overwrite") -> None:
+    """Parquet partitioned by the month of ``ts_col`` (a ``yyyy-MM``
+    folder per month), so date-bounded reads skip whole months."""
+    month = F.date_format(F.col(ts_col), "yyyy-MM")
+    (df.withColumn(month_column(ts_col), month)
+     .write.mode(mode).partitionBy(month_column(ts_col)).parquet(path))
+
+
+def read_time_range(spark: SparkSession, path: str, ts_col: str, start: str, end: str,
+                    whole_last_day: bool = False) -> DataFrame:
+    """Rows of a month-partitioned table with ``start <= ts <= end``.
+
+    The month predicate prunes partitions (only the folders of the
+    months in range are listed and read); the exact timestamp predicate
+    keeps the result identical to filtering the whole table.
+    """
+    from ledgerline.operators.filters import ts_range
+    df = spark.read.parquet(path)
+    m = F.col(month_column(ts_col))
+    months = (m >= F.lit(start[:7])) & (m <= F.lit(end[:7]))
+    return df.where(months).where(ts_range(ts_col, start, end, whole_last_day)).drop(month_column(ts_col))

@@ -173,3 +173,22 @@ def test_streaming_restart_processes_only_new_files(spark, tmp_path):
     valid = spark.read.parquet(os.path.join(out, "valid"))
     assert sorted(r.id for r in valid.collect()) == ["i5"]
     assert spark.read.parquet(os.path.join(out, "rejects")).count() == 1
+
+
+def test_month_partitioned_layout_prunes_and_matches(spark, tmp_path):
+    import contextlib
+    import io as _io
+
+    from conftest import SF001
+    from ledgerline.sources import driver_tables as dt
+    inv = dt.invoices(spark, SF001)
+    path = str(tmp_path / "invoice_by_month")
+    sinks.write_by_month(inv, path, "issued_at")
+    got = sinks.read_time_range(spark, path, "issued_at", "1998-03-01", "1998-03-31")
+    buf = _io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain("formatted")
+    assert "PartitionFilters: [isnotnull(issued_at_month" in buf.getvalue()
+    want = inv.where(F.col("issued_at").between(F.to_timestamp_ntz(F.lit("1998-03-01")),
+                                                F.to_timestamp_ntz(F.lit("1998-03-31"))))
+    assert sorted(tuple(r) for r in got.select(*inv.columns).collect()) == sorted(tuple(r) for r in want.collect())
