@@ -52,10 +52,65 @@ def summarize(stats: dict[int, dict]) -> list[str]:
     return out
 
 
+def run_case(label: str, build, extra: dict | None = None) -> None:
+    from ledgerline.session import build_session, checkpoint_dir
+    from pyspark.sql import SparkSession
+    log_dir = tempfile.mkdtemp(prefix=f"ledgerline-events-{label}-")
+    conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+            "spark.eventLog.compress": "false", "spark.ui.showConsoleProgress": "false",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    conf.update(extra or {})
+    spark = build_session("local[8]", shuffle_partitions=8, extra=conf)
+    spark.sparkContext.setLogLevel("ERROR")
+    checkpoint_dir(spark)
+    build(spark).write.format("noop").mode("overwrite").save()
+    spark.stop()
+    SparkSession._instantiatedSession = None
+    print(f"== {label}")
+    for line in summarize(stage_stats(log_dir)):
+        print(line)
+
+
+def merge_cases(sf: str) -> None:
+    """customers LEFT JOIN invoices with one customer holding a third of
+    the invoices; AQE skew thresholds scaled down to this data size and
+    broadcast off, as it would be for tables of real size."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import joins
+    from ledgerline.sources import driver_tables as dt
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
+
+    def sides(spark):
+        c = dt.customers(spark, sf)
+        inv = dt.invoices(spark, sf).select(F.col("id").alias("invoice_id"), "customer_id", "total")
+        hot = inv.withColumn("customer_id", F.when(F.col("invoice_id") % 3 == 0, F.lit(0))
+                             .otherwise(F.col("customer_id")))
+        return c, hot
+
+    def plain(spark):
+        c, hot = sides(spark)
+        return c.join(hot, c.id == hot.customer_id, "left")
+
+    def safe(spark):
+        c, hot = sides(spark)
+        return joins.left_join_skew_safe(c, hot, "id", "customer_id")
+    run_case("left_join_plain", plain, small)
+    run_case("left_join_skew_safe", safe, small)
+
+
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.1")
+    ap.add_argument("--case", choices=["row_number", "merge"], default="row_number")
     args = ap.parse_args()
+    if args.case == "merge":
+        merge_cases(args.sf)
+        return
     from pyspark.sql import functions as F
 
     from ledgerline.operators import windows
