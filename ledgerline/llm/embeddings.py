@@ -39,7 +39,7 @@ from ledgerline.llm.components import connected_components, merge_labels
 
 COSINE = 0.9
 NEAREST = 8
-SHARED = 4
+SHARED = 3
 MOST_PIVOTS = 1024
 VECTORS_A_PIVOT = 64
 BLOCK = 1024

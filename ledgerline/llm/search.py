@@ -34,7 +34,7 @@ read.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +51,7 @@ K1, B = 1.2, 0.75
 SHARD_CHARS = 64_000_000
 QUERY_BLOCK = 4096
 FREQUENT = 16
-RUN = 64
+RUN = 8
 DIGITS = 9
 SLACK = 1e-6  # above any rounding in the bounds
 FLUSH = 500_000
@@ -114,48 +114,63 @@ def query_terms(queries: DataFrame) -> DataFrame:
         "query_id", "query_hash", F.explode("terms").alias("term"))
 
 
+def _commonest(numbers: np.ndarray) -> int:
+    if not len(numbers):
+        return -1
+    values, counts = np.unique(numbers, return_counts=True)
+    return int(values[np.argmax(counts)])
+
+
 class Shard:
     """Inverted index of some documents."""
 
     def __init__(self, ids: np.ndarray, texts: list[str], mean_length: float):
-        vocabulary: dict[str, int] = {}
-        terms, counts, sizes, lengths = [], [], [], []
-        for text in texts:
-            found = terms_of(text)
-            terms.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in found), np.int32, len(found)))
-            counts.append(np.fromiter(found.values(), np.int32, len(found)))
-            sizes.append(len(found))
-            lengths.append(found.total())
-        self.ids, self.n = ids, len(ids)
-        term, tf = np.concatenate(terms), np.concatenate(counts).astype(float)
-        doc = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
-        norm = K1 * (1 - B + B * np.array(lengths) / mean_length)
-        order = np.argsort(term, kind="stable")
-        self.doc = doc[order]
-        self.impact = (tf * (K1 + 1) / (tf + np.repeat(norm, sizes)))[order]
-        self.size = np.bincount(term, minlength=len(vocabulary))
+        vocabulary: defaultdict[str, int] = defaultdict()
+        vocabulary.default_factory = vocabulary.__len__  # the next number
+        found = [np.fromiter(map(vocabulary.__getitem__, _WORD.findall(t.lower())), np.int64) for t in texts]
+        # Documents with the same commonest word, and of like length, lie
+        # together: that makes a run's maxima tight.
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        order = np.lexsort((lengths, [_commonest(f) for f in found]))
+        found, lengths = [found[n] for n in order], lengths[order]
+        self.ids, self.n = ids[order], len(ids)
+        # One number for each word's (term, document); equal ones make tf.
+        word = np.concatenate(found) * self.n + np.repeat(np.arange(self.n), lengths)
+        del found
+        word.sort()
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: len(word)])
+        tf = np.diff(np.r_[first, len(word)]).astype(float)
+        word = word[first]
+        self.doc = (word % self.n).astype(np.int32)
+        norm = K1 * (1 - B + B * lengths / mean_length)
+        self.impact = tf * (K1 + 1) / (tf + norm[self.doc])
+        self.size = np.bincount(word // self.n, minlength=len(vocabulary))
         self.start = np.cumsum(self.size) - self.size
         hashes = _hashed(vocabulary)
         self.number = np.argsort(hashes)
         self.hashes = hashes[self.number]
         self.runs = -(-self.n // RUN)
         self.row: dict[int, int] = {}
-        self.dense = np.zeros((0, self.n))
+        self.dense = np.zeros((self.runs * RUN, 0))  # a document's impacts lie together
         self.most = np.zeros((0, self.runs))
 
     def _rows(self, terms: np.ndarray) -> np.ndarray:
         """Rows of frequent terms in the impact and run-maximum tables,
         which are filled as queries need them."""
-        new = [t for t in terms.tolist() if t not in self.row]
-        if new:
-            dense = np.zeros((len(new), self.runs * RUN))
-            for r, t in zip(dense, new):
-                at = slice(self.start[t], self.start[t] + self.size[t])
-                r[self.doc[at]] = self.impact[at]
-            self.row.update((t, len(self.dense) + n) for n, t in enumerate(new))
-            most = dense.reshape(len(new), self.runs, RUN).max(axis=2)
-            self.dense = np.concatenate([self.dense, dense[:, :self.n]])
-            self.most = np.concatenate([self.most, most])
+        for t in terms.tolist():
+            if t in self.row:
+                continue
+            r = len(self.row)
+            if r == self.dense.shape[1]:
+                more = max(64, r)
+                self.dense = np.concatenate([self.dense, np.zeros((self.runs * RUN, more))], axis=1)
+                self.most = np.concatenate([self.most, np.zeros((more, self.runs))])
+            at = slice(self.start[t], self.start[t] + self.size[t])
+            column = np.zeros(self.runs * RUN)
+            column[self.doc[at]] = self.impact[at]
+            self.dense[:, r] = column
+            self.most[r] = column.reshape(self.runs, RUN).max(axis=1)
+            self.row[t] = r
         return np.array([self.row[t] for t in terms.tolist()], np.int64)
 
     def search(self, terms: np.ndarray, df: np.ndarray, total: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,18 +186,27 @@ class Shard:
         score = np.bincount(self.doc[place], self.impact[place] * np.repeat(weight, size), self.n)
         rows, weight = self._rows(term[frequent]), idf[frequent]
         bound = score + np.repeat(weight @ self.most[rows], RUN)[: self.n]
-        order = np.argsort(-bound, kind="stable")
         best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        step = 4 * k
-        for s in range(0, self.n, step):
-            some = order[s:s + step]
-            if len(best) == k and bound[some[0]] < best[-1] - SLACK or bound[some[0]] <= 0:
-                break
-            exact = np.round(score[some] + weight @ self.dense[np.ix_(rows, some)], DIGITS)
+
+        def consider(some: np.ndarray) -> None:
+            nonlocal best_ids, best
+            exact = np.round(score[some] + self.dense[np.ix_(some, rows)] @ weight, DIGITS)
             ids = np.concatenate([best_ids, self.ids[some][exact > 0]])
             exact = np.concatenate([best, exact[exact > 0]])
             top = np.lexsort((ids, -exact))[:k]
             best_ids, best = ids[top], exact[top]
+
+        # The highest bounds give a first k-th score; only documents whose
+        # bounds reach it are ordered and looked at, in growing steps.
+        first = np.argpartition(-bound, 4 * k)[: 4 * k] if self.n > 4 * k else np.arange(self.n)
+        consider(first)
+        bound[first] = 0
+        rest = np.flatnonzero(bound >= max(best[-1] - SLACK if len(best) == k else 0, SLACK))
+        rest = rest[np.argsort(-bound[rest], kind="stable")]
+        s, step = 0, 8 * k
+        while s < len(rest) and not (len(best) == k and bound[rest[s]] < best[-1] - SLACK):
+            consider(rest[s:s + step])
+            s, step = s + step, 2 * step
         return best_ids, best
 
 
