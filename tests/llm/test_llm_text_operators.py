@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest import SF001, SF01
+from llm_cases import edge_docs, no_docs  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
