@@ -56,9 +56,22 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return map_batches(encoded.select("doc_id", "ids"), decode, "doc_id long, ids binary, text string")
 
 
+def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """(doc_id, ids, text) by both operators in one pass."""
+    path = path or tokenizer_path()
+
+    def both(batch: pa.RecordBatch) -> pa.RecordBatch:
+        coder = word_bpe(path)
+        ids = [coder.encode(t) for t in batch.column("text").to_pylist()]
+        texts = [coder.decode(i).decode("utf-8") for i in ids]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()),
+                                           pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+
+    return map_batches(id_and_text(docs), both, "doc_id long, ids binary, text string")
+
+
 def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Number of ids, and SHA-256 of the ids and of the decoded text."""
-    both = decode_documents(encode_documents(docs, path), path)
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    return round_trip(docs, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))

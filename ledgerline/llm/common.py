@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ledgerline.session import checkpoint_dir
 
 
+SLICE = 256
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,11 +32,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``fn`` on each Arrow batch: no shuffle, one batch in memory."""
+    """``fn`` on slices of each Arrow batch: no shuffle, and the memory of
+    one batch and one slice's results."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for start in range(0, batch.num_rows, SLICE):
+                yield fn(batch.slice(start, SLICE))
 
     return df.mapInArrow(run, schema)

@@ -49,6 +49,8 @@ def test_bpe_digests(spark, edge_docs, no_docs, library, which):
         want.append((r["doc_id"], len(ids), hashlib.sha256(as_bytes(ids)).hexdigest(),
                      hashlib.sha256(text.encode()).hexdigest()))
     assert Counter(map(tuple, bpe.bpe_digests(docs).collect())) == Counter(want)
+    apart, at_once = bpe.decode_documents(bpe.encode_documents(docs)), bpe.round_trip(docs)
+    assert Counter(map(tuple, apart.collect())) == Counter(map(tuple, at_once.collect()))
 
 
 @pytest.mark.parametrize("which", ["edge", "none", "sf0.01"])
