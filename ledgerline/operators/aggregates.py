@@ -50,10 +50,6 @@ def count_unique_with_null(df: DataFrame, column: str, alias: str = "n_unique")
     return df.agg((F.countDistinct(c) + has_null).cast("bigint").alias(alias))
 
 
-def _round_to(x: Column, digits: int) -> Column:
-    scale = float(10 ** digits)
-    return F.round(x * F.lit(scale), 0) / F.lit(scale)
-
 
 def _exact_quantiles(df: DataFrame, column: str, probs) -> list[float | None]:
     """Exact linearly interpolated quantiles of one column.
@@ -107,16 +103,15 @@ def _exact_quantiles(df: DataFrame, column: str, probs) -> list[float | None]:
     return out
 
 
-def describe_numeric(df: DataFrame, columns: list[str], digits: int = 6,
+def describe_numeric(df: DataFrame, columns: list[str],
                      exact: bool = True, accuracy: int = 100_000) -> DataFrame:
     """count, mean, std, min, 25/50/75 % and max per column, one row per
     column.
 
     Quantiles interpolate linearly between the two nearest ranks.
     ``exact=False`` uses ``percentile_approx`` (one pass, bounded memory
-    per task) for callers who accept an approximation.  ``mean`` and
-    ``std`` are rounded to ``digits`` places: their last bits depend on
-    summation order.
+    per task) for callers who accept an approximation.  The last bits of
+    ``mean`` and ``std`` depend on summation order.
     """
     spark: SparkSession = df.sparkSession
     aggs = []
@@ -136,6 +131,4 @@ def describe_numeric(df: DataFrame, columns: list[str], digits: int = 6,
     schema = StructType([StructField("column", StringType()), StructField("count", LongType())] +
                         [StructField(n, DoubleType()) for n in
                          ("mean", "std", "min", "p25", "p50", "p75", "max")])
-    out = spark.createDataFrame(rows, schema)
-    return (out.withColumn("mean", _round_to(F.col("mean"), digits))
-            .withColumn("std", _round_to(F.col("std"), digits)))
+    return spark.createDataFrame(rows, schema)

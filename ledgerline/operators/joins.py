@@ -48,34 +48,18 @@ def lookup_last_wins(names: DataFrame, name_col: str, value_col: str, order_col:
             .agg(F.max_by(F.col(value_col), F.col(order_col)).alias(value_col)))
 
 
-def left_join_dimension(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                        how: str = "left") -> DataFrame:
-    """Fact-to-dimension join on one key, strategy chosen by Spark."""
-    return fact.join(dim, fact[fact_key] == dim[dim_key], how)
-
-
-# Largest key set a semi-join reduction broadcasts (checked at run time).
-SEMI_BROADCAST_MAX_KEYS = 2_000_000
-
-
-def semi_reduce(big: DataFrame, big_key: str, small: DataFrame, small_key: str,
-                max_broadcast_keys: int = SEMI_BROADCAST_MAX_KEYS) -> DataFrame:
+def semi_reduce(big: DataFrame, big_key: str, small: DataFrame, small_key: str) -> DataFrame:
     """Keep only rows of ``big`` whose key occurs in ``small``.
 
     Used before a left outer join whose preserved (left) side is small:
     such a join cannot broadcast its left side, so without this the whole
-    big side is shuffled.  The distinct keys of ``small`` are counted up
-    to ``max_broadcast_keys`` (a job over the already filtered small
-    side); under the bound they are broadcast, so the big side is
-    filtered where it is scanned, with no shuffle, and the semi join is
-    pushed below aggregates on that key.  Over the bound the join
-    strategy is left to Spark/AQE.  Rows of ``big`` without a match
-    could not have joined, so the outer join's result is unchanged.
+    big side is shuffled.  Spark chooses the semi join's strategy by the
+    size of the keys, from its estimate or at run time.  Rows of ``big``
+    without a match could not have joined, so the outer join's result is
+    unchanged.
     """
     keys = (small.select(F.col(small_key).alias("__semi_key")).where(F.col("__semi_key").isNotNull())
             .distinct())
-    if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
-        keys = F.broadcast(keys)
     return big.join(keys, big[big_key] == keys["__semi_key"], "left_semi")
 
 

@@ -15,7 +15,7 @@ The width depends on the data (the longest array, the set of map keys),
 so it takes one pass over the data for the shape and then a single
 projection (no shuffle).  Array widths are taken per path, over all
 records and all enclosing elements, so columns form the rectangle of
-the longest arrays.  A shape wider than ``max_columns`` raises: use
+the longest arrays.  For shapes too wide for a table, use
 ``explode_lines`` (long form, no width limit) instead.
 """
 
@@ -25,8 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-DEFAULT_MAX_COLUMNS = 20_000
-
 
 def _field_getter(name: str):
     return lambda x: x.getField(name)
@@ -65,7 +63,7 @@ def _probe(dtype: DataType, path: tuple, getter: Column, multi: bool,
             _probe(dtype.valueType, path + ("{}",), vals, True, arrays, maps)
 
 
-def flatten_shape(df: DataFrame, max_columns: int = DEFAULT_MAX_COLUMNS) -> tuple[dict, dict]:
+def flatten_shape(df: DataFrame) -> tuple[dict, dict]:
     """Data pass: longest array per path and sorted map keys per path."""
     arrays: dict = {}
     maps: dict = {}
@@ -79,16 +77,13 @@ def flatten_shape(df: DataFrame, max_columns: int = DEFAULT_MAX_COLUMNS) -> tupl
     keys: dict = {p: [] for p in maps}
     if maps:
         # All map paths in one distributed distinct over (path, key)
-        # pairs; only the key vocabulary (bounded by the width guard)
+        # pairs; only the key vocabulary, the columns of the result,
         # reaches the driver.
         paths = list(maps.items())
         pairs = F.flatten(F.array(*[
             F.transform(F.coalesce(e, F.array().cast("array<string>")), _tag(i)) for i, (_, e) in enumerate(paths)]))
         found = (df.select(F.explode(pairs).alias("pk")).select("pk.p", "pk.k")
-                 .where(F.col("k").isNotNull()).distinct()
-                 .limit(max_columns + 1).collect())
-        if len(found) > max_columns:
-            raise ValueError(f"maps have more than {max_columns} distinct keys; use explode_lines")
+                 .where(F.col("k").isNotNull()).distinct().collect())
         for r in found:
             keys[paths[r["p"]][0]].append(r["k"])
         keys = {p: sorted(v) for p, v in keys.items()}
@@ -120,18 +115,16 @@ def _project(dtype: DataType, path: tuple, name: str, getter: Column, sep: str,
         out.append((name, getter))
 
 
-def flatten_wide(df: DataFrame, sep: str = "_", max_columns: int = DEFAULT_MAX_COLUMNS,
+def flatten_wide(df: DataFrame, sep: str = "_",
                  shape: tuple[dict, dict] | None = None) -> DataFrame:
     """Nested records to one wide row each (see module doc)."""
-    sizes, keys = shape if shape is not None else flatten_shape(df, max_columns)
+    sizes, keys = shape if shape is not None else flatten_shape(df)
     out: list = []
     for f in df.schema.fields:
         _project(f.dataType, (f.name,), f.name, F.col(f.name), sep, sizes, keys, out)
     order: dict = {}
     for n, c in out:
         order[n] = c          # later name wins, first position kept
-    if len(order) > max_columns:
-        raise ValueError(f"flattening gives {len(order)} columns (> {max_columns}); use explode_lines")
     return df.select(*[c.alias(n) for n, c in order.items()])
 
 

@@ -28,7 +28,6 @@ SESSION_DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.ansi.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
@@ -43,22 +42,24 @@ def build_session(master: str | None = None, app_name: str = "ledgerline",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SESSION_DEFAULTS.items():
-        builder = builder.config(key, value)
+    if master:
+        builder = builder.config("spark.ui.enabled", "false")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    apply_defaults(spark)
+    # Only what neither the cluster nor the caller has named.
+    given = spark.sparkContext.getConf()
+    for key, value in SESSION_DEFAULTS.items():
+        if not given.contains(key) and key not in (extra or {}):
+            spark.conf.set(key, value)
     return spark
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL defaults on an existing session where unset."""
     for key, value in SESSION_DEFAULTS.items():
-        if key.startswith("spark.ui."):
-            continue
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark

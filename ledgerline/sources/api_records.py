@@ -8,9 +8,8 @@ array element, validated read) run on data that grows with the input.
 Arrays are built per API record, the way the API nests them: an
 invoice's line items, a grant's deductions.  A record must fit in one
 row in any engine, so these groups are bounded by the record itself
-(an order's lines, at most 17 in the driver data), and the bound is
-checked (``check_record_arrays``) before lines are gathered; nothing is
-grouped by customer or by any other open-ended key.  Arrays are sorted
+(an order's lines); nothing is grouped by customer or by any other
+open-ended key.  Arrays are sorted
 so element order is deterministic.
 
 Fixed values of the derivation (mirrored by the oracle SQL):
@@ -49,8 +48,6 @@ from ledgerline.sources.driver_tables import USD, plan_id, plan_name, read, stat
 
 PAGE_SIZE = 100
 LANDING = "landed"
-# Largest array one landed API record may hold (an order's lines).
-RECORD_ARRAY_MAX = 10_000
 ADJUSTED_PRIORITIES = ("1-URGENT", "2-HIGH")
 ADJUSTMENT_RATE = 0.02
 
@@ -254,30 +251,16 @@ def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return scratch_path(spark, f"{LANDING}/{_FINGERPRINTS[key]}/{name}")
 
 
-def check_record_arrays(spark: SparkSession, sf_dir: str, limit: int = RECORD_ARRAY_MAX) -> int:
-    """Longest per-order line list, checked before lines are gathered into
-    one record.  The count is an ordinary partial aggregate (skew-safe);
-    an order above ``limit`` raises instead of becoming one giant row."""
-    li = read(spark, sf_dir, "lineitem")
-    longest = li.groupBy("l_orderkey").count().agg(F.max("count").alias("m")).collect()[0]["m"] or 0
-    if longest > limit:
-        raise ValueError(f"an order has {longest} lines, more than one record may hold ({limit}); "
-                         "use the flat line tables or explode_lines instead")
-    return longest
-
-
 def landed_invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested invoices as landed by the ingest (typed parquet), built
     once from the driver tables and then read like any landed table."""
     def build():
-        check_record_arrays(spark, sf_dir)
         return invoice_records(spark, sf_dir)
     return build_once(spark, landing_path(spark, sf_dir, "invoice_records"), build)
 
 
 def landed_grant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
-        check_record_arrays(spark, sf_dir)
         return grant_records(spark, sf_dir)
     return build_once(spark, landing_path(spark, sf_dir, "grant_records"), build)
 

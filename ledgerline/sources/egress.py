@@ -21,12 +21,12 @@ TABLE_NAME_SEPARATOR = " - "
 
 
 def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
-             infer_schema: bool = False, multi_line: bool = False) -> DataFrame:
+             infer_schema: bool = False, multi_line: bool = True) -> DataFrame:
     """Read export CSV.
 
     Pass ``schema`` in production: inference is an extra full pass.
-    ``multi_line=True`` is needed only when quoted fields hold line
-    breaks; it makes every file a single task.
+    Quoted fields may hold line breaks, which makes every file a single
+    task; ``multi_line=False`` splits files that are known to have none.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
     if schema is not None:
@@ -56,7 +56,7 @@ def list_csv_files(spark: SparkSession, root: str) -> list[str]:
 
 
 def load_egress_dir(spark: SparkSession, root: str, schemas: dict[str, StructType | str] | None = None,
-                    infer_schema: bool = True, multi_line: bool = False,
+                    infer_schema: bool = False, multi_line: bool = True,
                     register: bool = True) -> dict[str, DataFrame]:
     """Read every table of an export tree; optionally register views.
 

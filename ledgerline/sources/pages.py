@@ -33,10 +33,14 @@ def read_pages(spark: SparkSession, path: str, record: StructType, multi_line: b
     ``multi_line=True`` for pretty-printed one-envelope-per-file pages
     (one task per file); JSON lines (one envelope per line) split freely.
     """
-    schema = schemas.page_schema(record, single=single)
-    return (spark.read.schema(schema).option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE").json(path)
-            .select("*", F.col("_metadata.file_path").alias("source_file")))
+    schema = schemas.page_schema(record, single=single).add("_unreadable", StringType())
+    pages = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", "_unreadable").json(path)
+             .select("*", F.col("_metadata.file_path").alias("source_file")))
+    # A page that cannot be read goes the way of an error page.
+    error = F.coalesce("error", F.when(F.col("_unreadable").isNotNull(),
+                                       F.concat(F.lit("unreadable page: "), F.col("_unreadable"))))
+    return pages.withColumn("error", error).drop("_unreadable")
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:

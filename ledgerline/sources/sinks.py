@@ -1,8 +1,7 @@
 """Writing results: CSV reports, JSON records, build-once outputs.
 
-Bulk data is written in parallel (one file per task).  A single CSV
-file is offered for report outputs only, and only after checking the
-row count is under a bound, because one file means one writing task.
+Data is written in parallel, one file per task.  One single CSV file, and
+with it one writing task, comes only on explicit request.
 """
 
 from __future__ import annotations
@@ -16,9 +15,6 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ledgerline.sources.egress import CSV_OPTIONS
 
-# Largest report written as one CSV file.
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
 
 def csv_ready(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text, since CSV holds only scalars."""
@@ -31,28 +27,24 @@ def csv_ready(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False,
-              max_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
     """CSV with a header row and ``"``-escaped quotes.
 
-    ``single_file=True`` writes one part file; it raises if the frame
-    has more than ``max_rows`` rows instead of funnelling a large result
-    through one task.
+    ``single_file=True`` writes one part file, through one task: for
+    reports that the caller knows to be small.
     """
     out = csv_ready(df)
     if single_file:
-        n = out.limit(max_rows + 1).count()
-        if n > max_rows:
-            raise ValueError(f"{n}+ rows is too many for a single CSV file; write it partitioned")
         out = out.coalesce(1)
     out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                partition_by: list[str] | None = None) -> None:
-    """JSON lines; ``partition_by=["customer_id"]`` gives one folder per
-    customer (the per-customer invoice files of the ingest)."""
-    w = df.write.mode(mode)
+    """JSON lines with null fields kept; ``partition_by=["customer_id"]``
+    gives one folder per customer (the per-customer invoice files of the
+    ingest)."""
+    w = df.write.mode(mode).option("ignoreNullFields", "false")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.json(path)
