@@ -11,8 +11,9 @@ URLs).  Predictions run over every row.
 
 Everything is DataFrame functions and Spark's own tree learner in the
 JVM.  A row's host, path, rule and features are computed where it is
-read; only the suffix statistics, grouped by suffix, are shuffled, and
-joined by key (Spark broadcasts them if they are small).
+read.  One pass counts the labelled URLs of each (suffix, first part);
+the statistics that follow from it are tables in the shared folder, so
+that Spark knows their sizes and broadcasts them if they are small.
 
 Defined results.  Null URL, or one without ``://``: empty host and path,
 no rule, and the verdict of the trees.  If the labelled URLs show one
@@ -24,14 +25,20 @@ whole.  Other columns are not read.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import cut_lineage
+from ledgerline.session import scratch_path
+
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
          ("net/fr/", "block")]
 SAMPLE = 20_000
+SAMPLE_PARTS = 8  # of the bounded sample, which every tree level reads
 TREES = 10
 DEPTH = 4
 PRIOR = 10.0
@@ -83,9 +90,11 @@ def lexical_features(pages: DataFrame) -> DataFrame:
         F.when(F.size(F.split("path", "/")) > 1, F.coalesce(first, F.lit(""))).otherwise("").alias("first"))
 
 
-def _blocked_share(labelled: DataFrame, key: str, prior: float) -> DataFrame:
-    rate = (F.sum("label") + PRIOR * prior) / (F.count("*") + PRIOR)
-    return labelled.groupBy(key).agg(rate.alias(f"{key}_blocked"))
+def _blocked_share(counts: DataFrame, key: str, prior: float) -> DataFrame:
+    rate = (F.sum("blocked") + PRIOR * prior) / (F.sum("n") + PRIOR)
+    path = scratch_path(counts.sparkSession, f"urlfilter-{uuid.uuid4().hex}-{key}")
+    counts.groupBy(key).agg(rate.alias(f"{key}_blocked")).write.parquet(path)
+    return counts.sparkSession.read.parquet(path)
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]] | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -97,14 +106,17 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] | None = None, sample:
     rows = rows.select("*", rule_column(F.col("host"), F.col("path"), rules, 0).alias("rule"),
                        rule_column(F.col("host"), F.col("path"), rules, 1).alias("ruled"))
     labelled = rows.where("ruled IS NOT NULL").withColumn("label", (F.col("ruled") == "block").cast("double"))
-    counts = labelled.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("blocked")).first()
-    n, blocked = counts["n"], counts["blocked"]
+    counts = cut_lineage(lexical_features(labelled).groupBy("suffix", "first").agg(
+        F.count("*").alias("n"), F.sum("label").alias("blocked")))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                       F.coalesce(F.sum("blocked"), F.lit(0.0)).alias("blocked")).first()
+    n, blocked = total["n"], total["blocked"]
     if blocked == 0 or blocked == n:
         other = F.lit("block" if n and blocked == n else "allow")
         return rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", other).alias("verdict"))
 
     prior = blocked / n
-    shares = [(k, _blocked_share(lexical_features(labelled), k, prior)) for k in ("suffix", "first")]
+    shares = [(k, _blocked_share(counts, k, prior)) for k in ("suffix", "first")]
 
     def with_features(df: DataFrame) -> DataFrame:
         df = lexical_features(df)
@@ -113,7 +125,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] | None = None, sample:
         return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
 
     spot = (F.xxhash64("url") % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003.0
-    chosen = with_features(labelled.where(spot < min(1.0, sample / n))).select("features", "label").cache()
+    chosen = with_features(labelled.where(spot < min(1.0, sample / n))).select("features", "label")
+    chosen = chosen.repartition(SAMPLE_PARTS).cache()
     try:
         seen = {r["label"] for r in chosen.select("label").distinct().collect()}
         if len(seen) < 2:
