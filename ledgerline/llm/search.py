@@ -8,14 +8,16 @@ not depend on its shard.  A query's terms go to every shard in blocks of
 about ``QUERY_BLOCK`` queries; one task holds one shard's index and one
 block of queries, and returns k rows a query, which are merged exactly.
 
-In a shard, posting lists of rare terms are added up for all documents.
-Frequent terms (in more than one document in ``FREQUENT``) are not: for
-each run of ``RUN`` documents only the greatest impact of each term is
-added, which bounds the score of every document of the run.  Documents
-are then scored in falling order of their bounds, until the next bound is
-below the k-th best score: the pivot test of block-max WAND, for all
-documents of a run at once.  No document that could enter the top k is
-skipped.
+A shard answers its queries in batches.  Posting lists of rare terms are
+added up for all documents.  Frequent terms (in more than one document in
+``FREQUENT``) are not: for each run of ``RUN`` documents only the greatest
+impact of each term is added, which bounds the score of every document of
+the run.  The documents with the highest bounds give a first k-th score;
+those whose bounds stay below it are skipped, the pivot test of block-max
+WAND.  What is left for any query of the batch is scored in one matrix
+product, in single precision; documents that the proven rounding error
+still lets into the top k are scored again in double precision.  No
+document that could enter the top k is skipped.
 
 score = sum over the query's distinct terms of idf * tf * (k1 + 1) /
 (tf + k1 * (1 - b + b * length / mean length)), idf = ln(1 + (N - df +
@@ -49,11 +51,13 @@ from ledgerline.llm.common import cut_lineage, id_and_text
 K = 10
 K1, B = 1.2, 0.75
 SHARD_CHARS = 64_000_000
-QUERY_BLOCK = 4096
-FREQUENT = 16
+QUERY_BLOCK = 16_384
+BATCH = 64
+BATCH_CELLS = 2_000_000  # queries x documents at once
+FREQUENT = 8
 RUN = 8
 DIGITS = 9
-SLACK = 1e-6  # above any rounding in the bounds
+SLACK = 1e-6  # above any rounding in double precision
 FLUSH = 500_000
 
 _WORD = re.compile(r"\w+")
@@ -127,7 +131,7 @@ class Shard:
     def __init__(self, ids: np.ndarray, texts: list[str], mean_length: float):
         vocabulary: defaultdict[str, int] = defaultdict()
         vocabulary.default_factory = vocabulary.__len__  # the next number
-        found = [np.fromiter(map(vocabulary.__getitem__, _WORD.findall(t.lower())), np.int64) for t in texts]
+        found = [np.fromiter(map(vocabulary.__getitem__, _WORD.findall(t.lower())), np.int32) for t in texts]
         # Documents with the same commonest word, and of like length, lie
         # together: that makes a run's maxima tight.
         lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -135,12 +139,12 @@ class Shard:
         found, lengths = [found[n] for n in order], lengths[order]
         self.ids, self.n = ids[order], len(ids)
         # One number for each word's (term, document); equal ones make tf.
-        word = np.concatenate(found) * self.n + np.repeat(np.arange(self.n), lengths)
+        word = np.concatenate(found).astype(np.int64) * self.n + np.repeat(np.arange(self.n), lengths)
         del found
         word.sort()
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: len(word)])
         tf = np.diff(np.r_[first, len(word)]).astype(float)
-        word = word[first]
+        self.word = word = word[first]
         self.doc = (word % self.n).astype(np.int32)
         norm = K1 * (1 - B + B * lengths / mean_length)
         self.impact = tf * (K1 + 1) / (tf + norm[self.doc])
@@ -149,65 +153,74 @@ class Shard:
         hashes = _hashed(vocabulary)
         self.number = np.argsort(hashes)
         self.hashes = hashes[self.number]
-        self.runs = -(-self.n // RUN)
-        self.row: dict[int, int] = {}
-        self.dense = np.zeros((self.runs * RUN, 0))  # a document's impacts lie together
-        self.most = np.zeros((0, self.runs))
-
-    def _rows(self, terms: np.ndarray) -> np.ndarray:
-        """Rows of frequent terms in the impact and run-maximum tables,
-        which are filled as queries need them."""
-        for t in terms.tolist():
-            if t in self.row:
-                continue
-            r = len(self.row)
-            if r == self.dense.shape[1]:
-                more = max(64, r)
-                self.dense = np.concatenate([self.dense, np.zeros((self.runs * RUN, more))], axis=1)
-                self.most = np.concatenate([self.most, np.zeros((more, self.runs))])
+        self.load(np.zeros(0, np.int64))
+
+    def load(self, columns: np.ndarray) -> None:
+        """Tables of the impacts and run maxima of frequent terms."""
+        runs = -(-self.n // RUN)
+        self.columns = columns
+        self.dense = np.zeros((runs * RUN, len(columns)), np.float32)  # a document's impacts lie together
+        for column, t in enumerate(columns.tolist()):
             at = slice(self.start[t], self.start[t] + self.size[t])
-            column = np.zeros(self.runs * RUN)
-            column[self.doc[at]] = self.impact[at]
-            self.dense[:, r] = column
-            self.most[r] = column.reshape(self.runs, RUN).max(axis=1)
-            self.row[t] = r
-        return np.array([self.row[t] for t in terms.tolist()], np.int64)
-
-    def search(self, terms: np.ndarray, df: np.ndarray, total: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the best k."""
-        at = np.minimum(np.searchsorted(self.hashes, terms), len(self.hashes) - 1)
-        here = self.hashes[at] == terms
-        term, df = self.number[at[here]], df[here]
-        idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
-        frequent = df * FREQUENT > total
-        rare, weight = term[~frequent], idf[~frequent]
-        size = self.size[rare]
-        place = np.arange(size.sum()) + np.repeat(self.start[rare] - (np.cumsum(size) - size), size)
-        score = np.bincount(self.doc[place], self.impact[place] * np.repeat(weight, size), self.n)
-        rows, weight = self._rows(term[frequent]), idf[frequent]
-        bound = score + np.repeat(weight @ self.most[rows], RUN)[: self.n]
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-
-        def consider(some: np.ndarray) -> None:
-            nonlocal best_ids, best
-            exact = np.round(score[some] + self.dense[np.ix_(some, rows)] @ weight, DIGITS)
-            ids = np.concatenate([best_ids, self.ids[some][exact > 0]])
-            exact = np.concatenate([best, exact[exact > 0]])
-            top = np.lexsort((ids, -exact))[:k]
-            best_ids, best = ids[top], exact[top]
-
-        # The highest bounds give a first k-th score; only documents whose
-        # bounds reach it are ordered and looked at, in growing steps.
-        first = np.argpartition(-bound, 4 * k)[: 4 * k] if self.n > 4 * k else np.arange(self.n)
-        consider(first)
-        bound[first] = 0
-        rest = np.flatnonzero(bound >= max(best[-1] - SLACK if len(best) == k else 0, SLACK))
-        rest = rest[np.argsort(-bound[rest], kind="stable")]
-        s, step = 0, 8 * k
-        while s < len(rest) and not (len(best) == k and bound[rest[s]] < best[-1] - SLACK):
-            consider(rest[s:s + step])
-            s, step = s + step, 2 * step
-        return best_ids, best
+            self.dense[self.doc[at], column] = self.impact[at]
+        self.most = self.dense.reshape(runs, RUN, len(columns)).max(axis=1)
+
+    def terms(self, hashes: np.ndarray, df: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(term, idf, whether frequent) of a query's terms that the shard has."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        here = self.hashes[at] == hashes
+        df = df[here]
+        return self.number[at[here]], np.log(1 + (total - df + 0.5) / (df + 0.5)), df * FREQUENT > total
+
+    def search_all(self, queries: list, total: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, scores) of the best k of each query (term hashes, df)."""
+        found = [self.terms(h, df, total) for h, df in queries]
+        self.load(np.unique(np.concatenate([term[often] for term, _, often in found])))
+        step = max(1, min(BATCH, BATCH_CELLS // self.n))
+        for s in range(0, len(found), step):
+            yield from self._batch(found[s:s + step], k)
+
+    def _batch(self, queries: list, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        score = np.empty((len(queries), self.n))
+        weights = np.zeros((len(queries), len(self.columns)), np.float32)
+        slack = np.empty((len(queries), 1))
+        for q, (term, idf, often) in enumerate(queries):
+            rare, weight = term[~often], idf[~often]
+            size = self.size[rare]
+            place = np.arange(size.sum()) + np.repeat(self.start[rare] - (np.cumsum(size) - size), size)
+            score[q] = np.bincount(self.doc[place], self.impact[place] * np.repeat(weight, size), self.n)
+            weights[q, np.searchsorted(self.columns, term[often])] = idf[often]
+            # Twice the rounding error of a sum of that many single-precision products.
+            slack[q] = SLACK + (often.sum() + 4) * np.finfo(np.float32).eps * (K1 + 1) * idf[often].sum()
+        bound = score + np.repeat(weights @ self.most.T, RUN, axis=1)[:, : self.n] + slack
+        floor = np.zeros((len(queries), 1))
+        if self.n > 4 * k:
+            for q, first in enumerate(np.argpartition(-bound, 4 * k, axis=1)[:, : 4 * k]):
+                near = np.sort(score[q, first] + self.dense[first] @ weights[q])
+                floor[q] = max(0, near[-k] - slack[q, 0])
+        alive = bound >= floor
+        some = np.flatnonzero(alive.any(axis=0))
+        dense = self.dense[: self.n] if len(some) == self.n else self.dense[some]
+        scored = score[:, some] + weights @ dense.T
+        for q, (term, idf, often) in enumerate(queries):
+            docs = np.flatnonzero(alive[q, some])
+            if len(docs) > k:
+                near = scored[q, docs]
+                docs = docs[near >= np.partition(near, len(near) - k)[-k] - 2 * slack[q, 0]]
+            docs = some[docs]
+            exact = np.round(score[q, docs] + self._exact(term[often], idf[often], docs), DIGITS)
+            docs, exact = docs[exact > 0], exact[exact > 0]
+            top = np.lexsort((self.ids[docs], -exact))[:k]
+            yield self.ids[docs[top]], exact[top]
+
+    def _exact(self, term: np.ndarray, weight: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Double-precision scores of the documents for frequent terms."""
+        out = np.zeros(len(docs))
+        for s in range(0, len(docs), 1024):
+            key = docs[s:s + 1024, None] + term * self.n
+            at = np.minimum(np.searchsorted(self.word, key), len(self.word) - 1)
+            out[s:s + 1024] = np.where(self.word[at] == key, self.impact[at] * weight, 0.0).sum(axis=1)
+        return out
 
 
 def top_k(docs: DataFrame, is_query: Column, k: int = K, shard_chars: int = SHARD_CHARS,
@@ -240,8 +253,10 @@ def top_k(docs: DataFrame, is_query: Column, k: int = K, shard_chars: int = SHAR
             index = Shard(left["doc_id"].to_numpy(np.int64), left["text"].tolist(), mean)
             del left
             if len(index.hashes):
-                for q, h, terms, df in zip(right["query_id"], right["query_hash"], right["terms"], right["dfs"]):
-                    ids, scores = index.search(np.asarray(terms, np.int64), np.asarray(df, float), total, k)
+                queries = [(np.asarray(terms, np.int64), np.asarray(df, float))
+                           for terms, df in zip(right["terms"], right["dfs"])]
+                found = index.search_all(queries, total, k)
+                for q, h, (ids, scores) in zip(right["query_id"], right["query_hash"], found):
                     out.append(pd.DataFrame({"query_id": q, "query_hash": h, "doc_id": ids, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({n: pd.Series(dtype="float64") for n in names})
 
