@@ -50,7 +50,7 @@ from ledgerline.llm.common import cut_lineage, id_and_text
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD_CHARS = 64_000_000
+SHARD_CHARS = 40_000_000
 QUERY_BLOCK = 16_384
 BATCH = 64
 BATCH_CELLS = 2_000_000  # queries x documents at once
@@ -139,8 +139,10 @@ class Shard:
         found, lengths = [found[n] for n in order], lengths[order]
         self.ids, self.n = ids[order], len(ids)
         # One number for each word's (term, document); equal ones make tf.
-        word = np.concatenate(found).astype(np.int64) * self.n + np.repeat(np.arange(self.n), lengths)
+        word = np.concatenate(found).astype(np.int64)
         del found
+        word *= self.n
+        word += np.repeat(np.arange(self.n, dtype=np.int32), lengths)
         word.sort()
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: len(word)])
         tf = np.diff(np.r_[first, len(word)]).astype(float)
