@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 
 def _as_list(x) -> list:
@@ -52,51 +51,6 @@ def top1_by_window(df: DataFrame, partition_by, order_by: list[Column]) -> DataF
     return with_row_number(df, partition_by, order_by, "__rn").where(F.col("__rn") == 1).drop("__rn")
 
 
-def _local_ranks(keys: list[str]):
-    """Per-partition rank within runs of equal keys (rows arrive sorted).
-
-    Keeps the last key and run length across Arrow batches, so a run that
-    spans batches continues; one pass, vectorised per batch.
-    """
-    import numpy as np
-    import pandas as pd
-
-    def run(batches):
-        prev_key = None
-        prev_len = 0
-        pos0 = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            k = pdf[keys]
-            change = np.zeros(n, dtype=bool)
-            for c in keys:
-                a = k[c]
-                b = a.shift(1)
-                both_null = a.isna() & b.isna()
-                change |= ((a != b) & ~both_null).to_numpy()
-            if prev_key is None:
-                change[0] = True
-            else:
-                first = tuple(None if pd.isna(v) else v for v in k.iloc[0].tolist())
-                change[0] = first != prev_key
-            idx = np.arange(n)
-            starts = np.maximum.accumulate(np.where(change, idx, -1))
-            ranks = idx - starts + 1
-            if not change[0]:
-                # the first run continues the previous batch's run
-                cont = starts < 0
-                ranks = np.where(cont, idx + 1 + prev_len, ranks)
-            pdf = pdf.assign(__lr=ranks.astype("int64"), __pos=(idx + pos0).astype("int64"))
-            last = tuple(None if pd.isna(v) else v for v in k.iloc[n - 1].tolist())
-            prev_len = int(ranks[-1])
-            prev_key = last
-            pos0 += n
-            yield pdf
-    return run
-
-
 def row_number_skew_safe(df: DataFrame, partition_by, order_by: list[Column], name: str = "rn",
                          num_partitions: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ..)`` that stays
@@ -104,14 +58,18 @@ def row_number_skew_safe(df: DataFrame, partition_by, order_by: list[Column], na
 
     A plain window sends each key to one task.  Here the rows are
     range-partitioned on (keys, ordering, random tie-breaker), so the
-    sampler cuts a hot key's rows into several partitions; each
-    partition is ranked locally in one sorted pass (Arrow batches in
-    ``mapInPandas``); a key can only continue across a partition
-    boundary, so one boundary row per partition (its last key and run
-    length) is enough to compute the offsets.  That table has at most
-    one row per partition; it is read on the driver and broadcast back
-    (a proven bound).  The ranked rows are checkpointed to the shared
-    folder so both passes see the same partitioning.
+    sampler cuts a hot key's rows into several partitions; each row gets
+    its partition and its place there.  Rows are numbered within
+    (partition, key), which is never more than one partition's rows, and
+    a key that goes on from earlier partitions adds its rows there.  Such
+    continuations are at most one per partition boundary, so their table
+    is broadcast (a proven bound).  The placed rows are checkpointed to
+    the shared folder, as both passes must see the same partitioning.
+
+    All of it is Spark's own operators: payloads of any type pass
+    through unchanged, and null and NaN keys are keys as in the plain
+    window.  Select the columns you need first; all of ``df`` is
+    shuffled.
     """
     from ledgerline.session import checkpoint_dir
 
@@ -120,38 +78,21 @@ def row_number_skew_safe(df: DataFrame, partition_by, order_by: list[Column], na
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(k).asc_nulls_first() for k in keys] + list(order_by) + [F.col("__t").asc()]
-    ranged = (df.withColumn("__t", F.rand(11))
+    placed = (df.withColumn("__t", F.rand(11))
               .repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-              .withColumn("__pid", F.spark_partition_id()))
-    out_schema = StructType(list(ranged.schema.fields) + [StructField("__lr", LongType()),
-                                                           StructField("__pos", LongType())])
-    ranked = ranged.mapInPandas(_local_ranks(keys), out_schema).checkpoint(eager=True)
-
-    bounds = (ranked.groupBy("__pid")
-              .agg(F.min_by(F.struct(*keys), F.col("__pos")).alias("first"),
-                   F.max_by(F.struct(F.struct(*keys).alias("k"), F.col("__lr").alias("lr")), F.col("__pos"))
-                   .alias("last"))
-              .collect())
-    bounds = sorted(bounds, key=lambda r: r["__pid"])
-    offsets = []
-    carry_key, carry = None, 0
-    for r in bounds:
-        first = tuple(r["first"])
-        last_key, last_lr = tuple(r["last"]["k"]), r["last"]["lr"]
-        off = carry if (carry_key is not None and first == carry_key) else 0
-        if off:
-            offsets.append((r["__pid"], *first, off))
-        # length of last_key's run so far, carried into the next partition
-        carry = off + last_lr if last_key == first else last_lr
-        carry_key = last_key
-    key_fields = [ranked.schema[k] for k in keys]
-    off_schema = StructType([StructField("__opid", IntegerType())] +
-                            [StructField(f"__o_{f.name}", f.dataType) for f in key_fields] +
-                            [StructField("__off", LongType())])
-    off_df = spark.createDataFrame(offsets, off_schema)
-    cond = F.col("__pid") == F.col("__opid")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__o_{k}"))
-    joined = ranked.join(F.broadcast(off_df), cond, "left")
-    rn = (F.col("__lr") + F.coalesce(F.col("__off"), F.lit(0))).alias(name)
-    return joined.select(*df.columns, rn)
+              .select(*df.columns, F.spark_partition_id().alias("__pid"),
+                      F.monotonically_increasing_id().alias("__place"))
+              .checkpoint(eager=True))
+
+    earlier = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = (placed.groupBy("__pid", *keys).agg(F.count("*").alias("n"))
+              .withColumn("__before", F.sum("n").over(earlier)).where(F.col("__before").isNotNull())
+              .select(F.col("__pid").alias("__at"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                      "__before"))
+    same = F.col("__pid") == F.col("__at")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    here = F.row_number().over(Window.partitionBy("__pid", *keys).orderBy("__place"))
+    numbered = placed.withColumn("__here", here).join(F.broadcast(before), same, "left")
+    rn = (F.col("__here") + F.coalesce("__before", F.lit(0))).cast("long").alias(name)
+    return numbered.select(*df.columns, rn)

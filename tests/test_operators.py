@@ -74,6 +74,23 @@ def test_row_number_skew_safe_matches_window(spark):
         assert got == ref
 
 
+
+def test_row_number_keeps_payload_and_odd_keys(spark):
+    df = spark.sql("""
+        SELECT * FROM VALUES
+          (CAST('NaN' AS DOUBLE), 1, 9007199254740993L, TIMESTAMP_NTZ'9999-12-31 00:00:00', named_struct('a', array(1, 2))),
+          (CAST(NULL AS DOUBLE), 2, CAST(NULL AS BIGINT), TIMESTAMP_NTZ'0001-01-01 00:00:00', NULL),
+          (CAST('NaN' AS DOUBLE), 3, 9007199254740995L, NULL, named_struct('a', array())),
+          (CAST(NULL AS DOUBLE), 4, -1L, TIMESTAMP_NTZ'2024-02-29 12:00:00', named_struct('a', NULL)),
+          (0.0D, 5, 7L, NULL, NULL), (-0.0D, 6, 8L, NULL, NULL)
+        AS t(k, id, big, ts, nested)""")
+    for parts in (1, 3, 6):
+        ranked = windows.row_number_skew_safe(df, "k", [F.col("id").asc()], num_partitions=parts)
+        assert {r["id"]: r["rn"] for r in ranked.select("id", "rn").collect()} == {1: 1, 3: 2, 2: 1, 4: 2, 5: 1, 6: 2}
+        text = F.to_json(F.struct("id", "big", "ts", "nested"), {"ignoreNullFields": "false"})
+        assert sorted(ranked.select(text).collect()) == sorted(df.select(text).collect())
+
+
 def test_semi_reduce_and_skew_safe_left_join(spark):
     big = spark.createDataFrame([(i % 5, i) for i in range(100)] + [(None, 999)], "k int, v int")
     small = spark.createDataFrame([(1,), (3,), (None,), (42,)], "k int")
