@@ -57,14 +57,34 @@ CREDIT_GRANT = _struct(
     ("pending_deductions", ArrayType(DEDUCTION)), ("custom_fields", _struct(("x_account_id", S))),
     ("credit_grant_type", S))
 
-# Fields that must be present and non-null for a record to be valid.
+def _under(path: str, names: list[str]) -> list[str]:
+    return [path] + [f"{path}.{n}" for n in names]
+
+
+def _each(path: str, names: list[str]) -> list[str]:
+    """The array, its elements, and ``names`` in each element."""
+    return [path] + _under(f"{path}[]", names)
+
+
+_CREDIT_TYPE = _under("credit_type", ["id", "name"])
+_SUB_LINE = ["charge_id", "name", "subtotal", "price", "quantity", "custom_fields"]
+_LINE = ["total", *_CREDIT_TYPE, "name", "product_id", "quantity", "custom_fields", *_each("sub_line_items", _SUB_LINE)]
+_DEDUCTION = ["amount", "reason", "running_balance", "effective_at", "created_by", "credit_grant_id"]
+
+# Fields that must be present and non-null for a record to be valid.  A
+# nested field is required wherever its parent is there; ``[]`` means
+# every element of an array.
 REQUIRED = {
-    "customer": ["id", "name", "ingest_aliases", "custom_fields", "customer_config"],
+    "customer": ["id", "name", *_each("ingest_aliases", []), "custom_fields", "customer_config"],
     "invoice": ["id", "customer_id", "start_timestamp", "end_timestamp", "type", "status",
-                "billable_status", "plan_id", "plan_name", "total", "subtotal", "credit_type",
-                "line_items", "invoice_adjustments"],
+                "billable_status", "plan_id", "plan_name", "total", "subtotal", *_CREDIT_TYPE,
+                "customer_custom_fields", "plan_custom_fields", "custom_fields", *_each("line_items", _LINE),
+                *_each("invoice_adjustments", ["total", *_CREDIT_TYPE])],
     "credit_grant": ["id", "name", "customer_id", "effective_at", "expires_at", "priority",
-                     "grant_amount", "paid_amount", "balance", "deductions"],
+                     *_under("grant_amount", ["amount", *_CREDIT_TYPE]),
+                     *_under("paid_amount", ["amount", *_CREDIT_TYPE]), *_under("balance", ["effective_at"]),
+                     *_each("deductions", _DEDUCTION),
+                     *[n for n in _each("pending_deductions", _DEDUCTION) if n != "pending_deductions"]],
 }
 
 # Text fields holding timestamps; a validated read types them as

@@ -193,16 +193,22 @@ def grant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Fixed corruption rules of the landed-record fixture: a total that is
-# not a number, and a missing required field.
+# not a number, a missing required field, and one missing in line items.
 BAD_TOTAL_WHEN = ("P", "1-URGENT")      # (o_orderstatus, o_orderpriority) -> total "n/a"
 MISSING_PLAN_WHEN = ("O", "5-LOW")      # (o_orderstatus, o_orderpriority) -> no plan_id
+MISSING_PRODUCT_WHEN = ("F", "2-HIGH")  # (o_orderstatus, o_orderpriority) -> line items without product_id
 
 
 def invoice_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices as landed JSON text, one record per line, paged by
     customer (``page_id``), with a few records broken on purpose."""
-    o = read(spark, sf_dir, "orders")
+    nested = invoice_records(spark, sf_dir).select(F.col("id").cast("long").alias("o_orderkey"), "line_items",
+                                                   "invoice_adjustments")
+    o = read(spark, sf_dir, "orders").join(nested, "o_orderkey", "left")
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    no_product = F.transform("line_items", lambda x: x.withField("product_id", F.lit(None).cast("string")))
+    lines = F.when((st == MISSING_PRODUCT_WHEN[0]) & (pr == MISSING_PRODUCT_WHEN[1]), no_product).otherwise(
+        F.col("line_items"))
     cents_text = to_cents(F.col("o_totalprice")).cast("string")
     total = F.when((st == BAD_TOTAL_WHEN[0]) & (pr == BAD_TOTAL_WHEN[1]), F.lit("n/a")).otherwise(cents_text)
     rec = F.struct(
@@ -218,8 +224,9 @@ def invoice_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         total.alias("total"),
         to_cents(F.col("o_totalprice")).alias("subtotal"),
         _usd().alias("credit_type"),
-        F.array().cast("array<string>").alias("line_items"),
-        F.array().cast("array<string>").alias("invoice_adjustments"),
+        *[_empty_map().alias(n) for n in ("customer_custom_fields", "plan_custom_fields", "custom_fields")],
+        F.coalesce(lines, F.array()).alias("line_items"),
+        F.coalesce("invoice_adjustments", F.array()).alias("invoice_adjustments"),
     )
     text = F.regexp_replace(F.to_json(rec), r'"total":"(-?[0-9.]+)"', '"total":$1')
     return o.select(F.col("o_custkey").alias("page_id"), text.alias("json"))
@@ -230,7 +237,7 @@ def invoice_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FINGERPRINTS: dict = {}
 
 SOURCES = {"invoice_records": ("orders", "lineitem", "part"), "grant_records": ("orders", "lineitem"),
-           "invoice_json": ("orders",)}
+           "invoice_json": ("orders", "lineitem", "part")}
 
 
 def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:

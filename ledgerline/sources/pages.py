@@ -5,9 +5,11 @@ folder; Spark reads them with a declared schema, so no schema inference
 pass and no per-row Python.  Validation is expressed with column
 predicates:
 
-* every leaf number is read as text and cast with ``try_cast``, so a bad
-  value is reported instead of silently becoming null;
-* required fields (``schemas.REQUIRED``) must be present and non-null;
+* every leaf number is read as text, must look like a number, and is cast
+  with ``try_cast``, so a bad value is reported instead of silently
+  becoming null;
+* required fields (``schemas.REQUIRED``), nested ones too, must be
+  present and non-null;
 * every record gets a list of reasons; no reason means valid.
 
 ``validate_records`` returns ``(valid, rejects)``: one bad record does
@@ -65,6 +67,20 @@ def read_raw_json(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return spark.read.text(path).withColumnRenamed("value", "json")
 
 
+# What a number looks like; a cast alone would also take "12d" or "NaN".
+NUMBER = {DoubleType: r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$",
+          LongType: r"^\s*[+-]?[0-9]+(\.0*)?\s*$"}
+
+
+def _lacks(value: Column, path: list[str]) -> Column:
+    """Whether a required field is missing where its parent is there."""
+    field, rest = value.getField(path[0].removesuffix("[]")), path[1:]
+    if path[0].endswith("[]"):
+        bad = F.exists(field, lambda e: e.isNotNull() & _lacks(e, rest) if rest else e.isNull())
+        return F.coalesce(bad, F.lit(False))
+    return field.isNotNull() & _lacks(field, rest) if rest else field.isNull()
+
+
 def _typed(field_text: Column, dtype: DataType) -> Column:
     """Text-read value back to its declared type (nested numbers too)."""
     if isinstance(dtype, (DoubleType, LongType)):
@@ -93,8 +109,8 @@ def _bad_number_reasons(text: Column, dtype: DataType, path: str) -> list[Column
     """One reason per numeric leaf that is present but not a number."""
     out = []
     if isinstance(dtype, (DoubleType, LongType)):
-        out.append(F.when(text.isNotNull() & text.try_cast(dtype).isNull(),
-                          F.lit(f"{path}: not a number")))
+        number = text.rlike(NUMBER[type(dtype)]) & text.try_cast(dtype).isNotNull()
+        out.append(F.when(text.isNotNull() & ~number, F.lit(f"{path}: not a number")))
     elif isinstance(dtype, StructType):
         for f in dtype.fields:
             out += _bad_number_reasons(text.getField(f.name), f.dataType, f"{path}.{f.name}")
@@ -125,7 +141,7 @@ def validate_records(parsed_text: DataFrame, record: StructType, required: list[
     keep = keep or []
     ts = set(timestamp_fields or [])
     r = F.col(record_col)
-    reasons = [F.when(r.getField(n).isNull(), F.lit(f"{n}: missing")) for n in required]
+    reasons = [F.when(_lacks(r, n.split(".")), F.lit(f"{n}: missing")) for n in required]
     for f in record.fields:
         reasons += _bad_number_reasons(r.getField(f.name), f.dataType, f.name)
     for n in sorted(ts):

@@ -61,6 +61,37 @@ def test_pages_error_routing_and_per_record_rejects(spark, tmp_path):
     assert sorted(r.id for r in strict.collect()) == ["i4"]
 
 
+def test_nested_requirements_and_strict_numbers(spark, tmp_path):
+    def broken(key, change):
+        record = json.loads(json.dumps(dict(INV_OK, id=key)))
+        change(record)
+        return record
+
+    line = {"total": 25.0}
+    records = [
+        INV_OK, broken("empty", lambda r: r.update(line_items=[])), broken("exp", lambda r: r.update(total=7.5e9)),
+        broken("suffix", lambda r: r.update(total="12d")), broken("nan", lambda r: r.update(total="NaN")),
+        broken("credit", lambda r: r.update(credit_type={"id": None, "name": "USD"})),
+        broken("map", lambda r: r.pop("custom_fields")), broken("none", lambda r: r.update(line_items=[None])),
+        broken("sub", lambda r: r["line_items"][0]["sub_line_items"][0].pop("charge_id")),
+        broken("line", lambda r: r["line_items"].append(line)),
+        broken("adjust", lambda r: r.update(invoice_adjustments=[{"total": 1.0, "credit_type": {"id": "USD"}}]))]
+    _write_lines(str(tmp_path / "in" / "p.json"), [{"data": records}])
+    raw = pages.read_pages(spark, str(tmp_path / "in"), schemas.as_text_leaves(schemas.INVOICE))
+    recs = pages.explode_pages(raw)
+    parsed = recs.select("source_file", F.struct(*[c for c in recs.columns if c != "source_file"]).alias("r"))
+    valid, rejects = pages.validate_records(parsed, schemas.INVOICE, schemas.REQUIRED["invoice"], keep=["source_file"])
+    assert sorted(r.id for r in valid.collect()) == ["empty", "exp", "i1"]
+    got = {json.loads(r.record)["id"]: list(r.reasons) for r in rejects.collect()}
+    assert got.pop("line") == [f"line_items[].{n}: missing" for n in (
+        "credit_type", "name", "product_id", "quantity", "custom_fields", "sub_line_items")]
+    assert got == {
+        "suffix": ["total: not a number"], "nan": ["total: not a number"], "credit": ["credit_type.id: missing"],
+        "map": ["custom_fields: missing"], "none": ["line_items[]: missing"],
+        "sub": ["line_items[].sub_line_items[].charge_id: missing"],
+        "adjust": ["invoice_adjustments[].credit_type.name: missing"]}
+
+
 def test_raw_passthrough(spark, tmp_path):
     p = str(tmp_path / "raw" / "b.json")
     _write_lines(p, [{"balance": 5, "anything": [1, 2]}, {"other": True}])
