@@ -47,6 +47,10 @@ KINDS = {
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
 }
 
+# What every candidate has a part of: all numbers but IPv4 addresses have
+# two digits in a row.
+_MAY_HOLD = r"[0-9][0-9]|[0-9]\.[0-9]|@|AKIA|(?i:passw|secret|token|api_key)"
+
 
 def _pattern() -> str:
     numbered = []
@@ -218,8 +222,8 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     gets the number of values replaced."""
     pattern, text = _text(_pattern()), f"CAST(`{text_col}` AS STRING)"
     names = docs.columns
-    # Few texts hold a candidate; the rest skip the long pattern.
-    found = F.expr(f"CASE WHEN {text} RLIKE '[0-9][0-9]|@|AKIA' THEN regexp_extract_all({text}, {pattern}, 0) END")
+    # The rest of the texts holds no candidate and skips the long pattern.
+    found = F.expr(f"CASE WHEN {text} RLIKE {_text(_MAY_HOLD)} THEN regexp_extract_all({text}, {pattern}, 0) END")
     out = docs.select("*", found.alias("__found"))
     out = out.withColumn("__new", F.expr(f"transform(__found, m -> {pseudonym_sql(key)})"))
     rebuilt = (f"IF(size(__found) > 0, array_join(zip_with(split({text}, {pattern}, -1), __new, "

@@ -169,6 +169,9 @@ def test_pii_formats_and_links(spark, edge_docs, no_docs):
         if "." not in old or "@" in old:
             assert re.sub("[0-9]", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", old.split("@")[0].removeprefix("token")))) == \
                 re.sub("[0-9]", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", got.split("@")[0].removeprefix("token"))))
+    # Each alone in its text: one digit at a time, capitals, no digits beside the value.
+    sparse = ["1.2.3.4", "secret=abcdefghijk1m", "PASSWD: a1bcdefghijklm", "Api_Key = a1bcdefghijklm"]
+    assert all(old != got for old, got in zip(sparse, pseudonyms(spark, sparse)))
     kept = ["4041894974608796", "46.23.103.999", "2021-02-29", "000-12-3456", "987-65-4321", "version 3.10", "1234567"]
     assert pseudonyms(spark, kept) == kept
     twice = pii.pii_report(spark.createDataFrame([(1, "a@b.org x a@b.org"), (2, "a@b.org")], "doc_id long, text string"))
@@ -185,7 +188,7 @@ def test_pii_formats_and_links(spark, edge_docs, no_docs):
 def test_pii_leaves_clean_documents(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     new = {r["doc_id"]: r for r in pii.pii_report(docs).collect()}
-    mark = re.compile(r"[0-9]{2}|@|AKIA")
+    mark = re.compile(r"[0-9]{2}|[0-9]\.[0-9]|@|AKIA|passw|secret|token|api_key", re.IGNORECASE)
     for r in docs.collect():
         if not mark.search(r["text"] or ""):
             assert new[r["doc_id"]]["text"] == r["text"]
