@@ -243,8 +243,9 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = SHIN
     roots = connected_components(star_links(classes.select("fp"), distance))
     classes = cut_lineage(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left"))
     named = cut_lineage(classes.where("root IS NOT NULL").groupBy("root").agg(F.min("first_id").alias("component_id")))
-    classes = classes.join(named, "root", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    # Fingerprints without a link have no root: they skip the join, where their null key would be one task.
+    alone = classes.where("root IS NULL").select("fp", F.col("first_id").alias("component_id"))
+    classes = classes.where("root IS NOT NULL").join(named, "root").select("fp", "component_id").unionByName(alone)
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
