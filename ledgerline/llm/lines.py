@@ -126,4 +126,6 @@ marked AS (
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
        count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_removed
 FROM marked GROUP BY doc_id
+UNION ALL
+SELECT doc_id, NULL, 0::BIGINT, 0::BIGINT FROM documents WHERE text IS NULL
 """
