@@ -7,16 +7,21 @@ columns ``parent_child`` and ``list_0_child``:
   map gives no column;
 * array elements get their index; struct (and map) elements are
   flattened further, an array directly inside an array is kept whole;
-* map keys become name parts; the keys come from the data;
+* map keys (text) become name parts, and lists and records held in a map
+  are flattened like any other; the keys come from the data;
 * when two paths produce the same name the later one wins, in the
   position of the first.
 
-The width depends on the data (the longest array, the set of map keys),
-so it takes one pass over the data for the shape and then a single
-projection (no shuffle).  Array widths are taken per path, over all
-records and all enclosing elements, so columns form the rectangle of
-the longest arrays.  For shapes too wide for a table, use
-``explode_lines`` (long form, no width limit) instead.
+The width depends on the data, so it takes one pass for the shape and
+then a single projection (no shuffle of records).  The shape holds the
+length of the array, or the keys of the map, at each concrete position
+(``line_items``, ``line_items_0_sub_line_items``, ...), so there is a
+column exactly for each position that some record has.  Only the shape,
+which is the list of the result's columns, reaches the driver.
+
+``flatten_long`` gives the same leaves as rows (name, value) in one
+pass: no shape, and no width.  ``explode_lines`` is the long form of
+invoices with typed columns.
 """
 
 from __future__ import annotations
@@ -25,94 +30,81 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+_NESTED = (StructType, MapType)
+_CONTAINERS = "array<struct<path:array<string>,key:string,size:int>>"
+_LEAVES = "array<struct<name:string,value:string>>"
 
-def _field_getter(name: str):
-    return lambda x: x.getField(name)
 
+def _or_none(entries: Column, kind: str) -> Column:
+    return F.coalesce(entries, F.array().cast(kind))
 
-def _tag(i: int):
-    return lambda k: F.struct(F.lit(i).alias("p"), k.alias("k"))
 
+def _join(parts: list[Column], kind: str) -> Column:
+    return F.concat(*parts) if parts else F.array().cast(kind)
 
-def _probe(dtype: DataType, path: tuple, getter: Column, multi: bool,
-           arrays: dict, maps: dict) -> None:
-    """Collect per-path expressions: max array size, map key arrays.
 
-    ``multi`` means ``getter`` is an array of all instances of this path
-    within one record (the path sits inside an array).
-    """
+def _containers(dtype: DataType, value: Column, path: Column) -> list[Column]:
+    """Arrays of (path, key, size): the size of each array and the keys
+    of each map in ``value``, at their concrete positions."""
+
+    def inside(child: DataType, child_value: Column, step: Column) -> Column:
+        return _join(_containers(child, child_value, F.concat(path, F.array(step))), _CONTAINERS)
+
+    out = []
     if isinstance(dtype, StructType):
         for f in dtype.fields:
-            child = F.transform(getter, _field_getter(f.name)) if multi else getter.getField(f.name)
-            _probe(f.dataType, path + (f.name,), child, multi, arrays, maps)
+            out += _containers(f.dataType, value.getField(f.name), F.concat(path, F.array(F.lit(f.name))))
     elif isinstance(dtype, ArrayType):
-        size = (F.array_max(F.transform(getter, lambda x: F.coalesce(F.size(x), F.lit(0)))) if multi
-                else F.size(getter))
-        arrays[path] = F.coalesce(size, F.lit(0))
-        elems = F.flatten(F.transform(getter, lambda x: F.coalesce(x, F.array().cast(dtype)))) if multi \
-            else getter
-        if isinstance(dtype.elementType, (StructType, MapType)):
-            _probe(dtype.elementType, path + ("[]",), elems, True, arrays, maps)
+        out.append(F.array(F.struct(path.alias("path"), F.lit(None).cast("string").alias("key"),
+                                    F.size(value).alias("size"))))
+        if isinstance(dtype.elementType, _NESTED):
+            out.append(F.flatten(F.transform(value, lambda x, i: inside(dtype.elementType, x, i.cast("string")))))
     elif isinstance(dtype, MapType):
-        keys = (F.flatten(F.transform(getter, lambda m: F.coalesce(F.map_keys(m), F.array().cast("array<string>"))))
-                if multi else F.map_keys(getter))
-        maps[path] = keys
-        vals = F.flatten(F.transform(getter, lambda m: F.coalesce(F.map_values(m), F.array().cast(
-            ArrayType(dtype.valueType))))) if multi else F.map_values(getter)
-        if isinstance(dtype.valueType, (StructType, MapType, ArrayType)):
-            _probe(dtype.valueType, path + ("{}",), vals, True, arrays, maps)
+        out.append(F.transform(F.map_keys(value), lambda k: F.struct(
+            path.alias("path"), k.alias("key"), F.lit(None).cast("int").alias("size"))))
+        if isinstance(dtype.valueType, (*_NESTED, ArrayType)):
+            out.append(F.flatten(F.transform(F.map_entries(value), lambda e: inside(
+                dtype.valueType, e.getField("value"), e.getField("key")))))
+    return out if isinstance(dtype, StructType) else [_or_none(c, _CONTAINERS) for c in out]
 
 
 def flatten_shape(df: DataFrame) -> tuple[dict, dict]:
-    """Data pass: longest array per path and sorted map keys per path."""
-    arrays: dict = {}
-    maps: dict = {}
+    """One pass: the longest array and the sorted map keys at each
+    concrete position (a tuple of names, indexes and keys)."""
+    found = []
     for f in df.schema.fields:
-        _probe(f.dataType, (f.name,), F.col(f.name), False, arrays, maps)
-    sizes = {}
-    if arrays:
-        items = list(arrays.items())
-        row = df.agg(*[F.max(e).alias(f"a{i}") for i, (_, e) in enumerate(items)]).collect()[0]
-        sizes = {p: int(row[f"a{i}"] or 0) for i, (p, _) in enumerate(items)}
-    keys: dict = {p: [] for p in maps}
-    if maps:
-        # All map paths in one distributed distinct over (path, key)
-        # pairs; only the key vocabulary, the columns of the result,
-        # reaches the driver.
-        paths = list(maps.items())
-        pairs = F.flatten(F.array(*[
-            F.transform(F.coalesce(e, F.array().cast("array<string>")), _tag(i)) for i, (_, e) in enumerate(paths)]))
-        found = (df.select(F.explode(pairs).alias("pk")).select("pk.p", "pk.k")
-                 .where(F.col("k").isNotNull()).distinct().collect())
-        for r in found:
-            keys[paths[r["p"]][0]].append(r["k"])
-        keys = {p: sorted(v) for p, v in keys.items()}
-    return sizes, keys
-
-
-def _project(dtype: DataType, path: tuple, name: str, getter: Column, sep: str,
-             sizes: dict, keys: dict, out: list) -> None:
+        found += _containers(f.dataType, F.col(f"`{f.name}`"), F.array(F.lit(f.name)))
+    sizes: dict = {}
+    keys: dict = {}
+    if found:
+        entries = df.select(F.explode(F.concat(*found)).alias("e")).select("e.*")
+        for r in entries.groupBy("path", "key").agg(F.max("size").alias("size")).collect():
+            if r["key"] is None:
+                sizes[tuple(r["path"])] = max(r["size"] or 0, 0)
+            else:
+                keys.setdefault(tuple(r["path"]), []).append(r["key"])
+    return sizes, {p: sorted(k) for p, k in keys.items()}
+
+
+def _project(dtype: DataType, path: tuple, value: Column, sep: str, sizes: dict, keys: dict, out: list) -> None:
     if isinstance(dtype, StructType):
         for f in dtype.fields:
-            _project(f.dataType, path + (f.name,), f"{name}{sep}{f.name}" if name else f.name,
-                     getter.getField(f.name), sep, sizes, keys, out)
+            _project(f.dataType, (*path, f.name), value.getField(f.name), sep, sizes, keys, out)
     elif isinstance(dtype, ArrayType):
-        elem = dtype.elementType
         for i in range(sizes.get(path, 0)):
-            g = F.get(getter, i)
-            if isinstance(elem, (StructType, MapType)):
-                _project(elem, path + ("[]",), f"{name}{sep}{i}", g, sep, sizes, keys, out)
-            else:
-                out.append((f"{name}{sep}{i}", g))
+            _element(dtype.elementType, (*path, str(i)), F.get(value, i), sep, sizes, keys, out)
     elif isinstance(dtype, MapType):
         for k in keys.get(path, []):
-            g = getter.getItem(k)
-            if isinstance(dtype.valueType, (StructType, MapType)):
-                _project(dtype.valueType, path + ("{}",), f"{name}{sep}{k}", g, sep, sizes, keys, out)
-            else:
-                out.append((f"{name}{sep}{k}", g))
+            _project(dtype.valueType, (*path, k), value.getItem(k), sep, sizes, keys, out)
     else:
-        out.append((name, getter))
+        out.append((sep.join(path), value))
+
+
+def _element(dtype: DataType, path: tuple, value: Column, sep: str, sizes: dict, keys: dict, out: list) -> None:
+    if isinstance(dtype, ArrayType):
+        out.append((sep.join(path), value))
+    else:
+        _project(dtype, path, value, sep, sizes, keys, out)
 
 
 def flatten_wide(df: DataFrame, sep: str = "_",
@@ -121,13 +113,47 @@ def flatten_wide(df: DataFrame, sep: str = "_",
     sizes, keys = shape if shape is not None else flatten_shape(df)
     out: list = []
     for f in df.schema.fields:
-        _project(f.dataType, (f.name,), f.name, F.col(f.name), sep, sizes, keys, out)
+        _project(f.dataType, (f.name,), F.col(f"`{f.name}`"), sep, sizes, keys, out)
     order: dict = {}
     for n, c in out:
         order[n] = c          # later name wins, first position kept
     return df.select(*[c.alias(n) for n, c in order.items()])
 
 
+def _leaves(dtype: DataType, value: Column, name: Column, sep: str) -> list[Column]:
+    """Arrays of (name, value) of the leaves of ``value``."""
+
+    def inside(child: DataType, child_value: Column, step: Column) -> Column:
+        child_name = F.concat(name, F.lit(sep), step)
+        if isinstance(child, ArrayType) and isinstance(dtype, ArrayType):
+            return F.array(F.struct(child_name.alias("name"), F.to_json(child_value).alias("value")))
+        return _join(_leaves(child, child_value, child_name, sep), _LEAVES)
+
+    if isinstance(dtype, StructType):
+        return [c for f in dtype.fields
+                for c in _leaves(f.dataType, value.getField(f.name), F.concat(name, F.lit(sep + f.name)), sep)]
+    if isinstance(dtype, ArrayType):
+        each = F.flatten(F.transform(value, lambda x, i: inside(dtype.elementType, x, i.cast("string"))))
+        return [_or_none(each, _LEAVES)]
+    if isinstance(dtype, MapType):
+        each = F.flatten(F.transform(F.map_entries(value), lambda e: inside(
+            dtype.valueType, e.getField("value"), e.getField("key"))))
+        return [_or_none(each, _LEAVES)]
+    return [F.array(F.struct(name.alias("name"), value.cast("string").alias("value")))]
+
+
+def flatten_long(df: DataFrame, keep: list[str], sep: str = "_") -> DataFrame:
+    """One row (``keep`` columns, name, value as text) for each leaf that
+    isn't null; names as in ``flatten_wide``, an array inside an array as
+    JSON text.  Narrow; two paths of one name give two rows."""
+    found = []
+    for f in df.schema.fields:
+        if f.name not in keep:
+            found += _leaves(f.dataType, F.col(f"`{f.name}`"), F.lit(f.name), sep)
+    leaves = df.select(*keep, F.explode(_join(found, _LEAVES)).alias("__leaf"))
+    return leaves.select(*keep, "__leaf.name", "__leaf.value").where(F.col("value").isNotNull())
+
+
 def explode_lines(invoices: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Long form: one row per (invoice, line item, sub-line item).
 

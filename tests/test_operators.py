@@ -160,6 +160,28 @@ def test_flatten_wide_columns_and_values(spark):
         "lines_1_tags_t": None, "grid_0": [4], "grid_1": None}
 
 
+def test_flatten_ragged_positions(spark):
+    schema = ("id string, l array<struct<n:string, s array<struct<p:int>>>>, m map<string,array<int>>, "
+              "r map<string,struct<a:int, tags:map<string,string>>>, g array<array<int>>")
+    data = [("r1", [{"n": "x", "s": [{"p": 1}, {"p": 2}]}, {"n": "y", "s": [{"p": 3}]}], {"k": [7, 8]},
+             {"one": {"a": 1, "tags": {"t": "u"}}, "two": {"a": 2, "tags": {}}}, [[1], [2, 3]]),
+            ("r2", [{"n": "z", "s": None}, None], {"k": [9], "j": [], "q": None}, {"two": None}, None),
+            ("r3", None, None, None, [])]
+    df = spark.createDataFrame(data, schema.replace(" array<struct<p:int>>", ":array<struct<p:int>>"))
+    flat = nested.flatten_wide(df)
+    # No second sub line at line 1, no element under "j" and "q", no tag under "two".
+    assert flat.columns == ["id", "l_0_n", "l_0_s_0_p", "l_0_s_1_p", "l_1_n", "l_1_s_0_p", "m_k_0", "m_k_1",
+                            "r_one_a", "r_one_tags_t", "r_two_a", "g_0", "g_1"]
+    got = {r["id"]: list(r)[1:] for r in flat.collect()}
+    assert got == {"r1": ["x", 1, 2, "y", 3, 7, 8, 1, "u", 2, [1], [2, 3]],
+                   "r2": ["z", None, None, None, None, 9] + [None] * 6, "r3": [None] * 12}
+    long = {(r["id"], r["name"]): r["value"] for r in nested.flatten_long(df, ["id"]).collect()}
+    assert long == {("r1", "l_0_n"): "x", ("r1", "l_0_s_0_p"): "1", ("r1", "l_0_s_1_p"): "2", ("r1", "l_1_n"): "y",
+                    ("r1", "l_1_s_0_p"): "3", ("r1", "m_k_0"): "7", ("r1", "m_k_1"): "8", ("r1", "r_one_a"): "1",
+                    ("r1", "r_one_tags_t"): "u", ("r1", "r_two_a"): "2", ("r1", "g_0"): "[1]", ("r1", "g_1"): "[2,3]",
+                    ("r2", "l_0_n"): "z", ("r2", "m_k_0"): "9"}
+
+
 def test_flatten_later_name_wins(spark):
     df = spark.createDataFrame([(1, {"b": 2})], "a_b int, a struct<b:int>")
     flat = nested.flatten_wide(df)
