@@ -115,14 +115,16 @@ def invoice_lines(customer: DataFrame, invoice: DataFrame, line_item: DataFrame,
     i = i.select(F.col("id").alias("i_id"), F.col("customer_id").alias("i_customer_id"))
     li = line_item.select(F.col("id").alias("l_id"), F.col("invoice_id").alias("l_invoice_id"),
                           F.col("name").alias("line_item_name"))
+    by_invoice = "invoice_id" in sub_line_item.columns
     sl = sub_line_item.select(F.col("line_item_id").alias("sl_line_item_id"), "billable_metric_name",
-                              "quantity", "subtotal")
+                              "quantity", "subtotal", *[F.col("invoice_id").alias("sl_invoice_id")] * by_invoice)
     ci = c.join(i, F.col("c_id") == F.col("i_customer_id"), "inner")
     # One customer's invoices are few; cut the line tables down to them
     # before the outer joins (see joins.semi_reduce).
     li = semi_reduce(li, "l_invoice_id", ci, "i_id")
     cil = ci.join(li, F.col("i_id") == F.col("l_invoice_id"), "left")
-    sl = semi_reduce(sl, "sl_line_item_id", cil, "l_id")
+    # Sub lines that name their invoice need no second look at the lines.
+    sl = semi_reduce(sl, "sl_invoice_id", ci, "i_id") if by_invoice else semi_reduce(sl, "sl_line_item_id", cil, "l_id")
     j = cil.join(sl, F.col("l_id") == F.col("sl_line_item_id"), "left")
     money = F.max("subtotal") if total_agg == "max" else F.sum("subtotal")
     g = (j.groupBy("line_item_name", "billable_metric_name")

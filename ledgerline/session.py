@@ -91,3 +91,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path under the folder that ``spark.checkpoint.dir`` names, for
+    tables that outlive the application."""
+    own = checkpoint_dir(spark)
+    return os.path.join(spark.conf.get("spark.checkpoint.dir", None) or own, name)

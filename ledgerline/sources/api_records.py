@@ -42,7 +42,7 @@ from pyspark.sql.types import ArrayType
 
 from ledgerline import schemas
 from ledgerline.functions.money import to_cents
-from ledgerline.session import scratch_path
+from ledgerline.session import shared_path
 from ledgerline.sources.sinks import build_once
 from ledgerline.sources.driver_tables import USD, plan_id, plan_name, read, status_name
 
@@ -232,30 +232,25 @@ def invoice_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_custkey").alias("page_id"), text.alias("json"))
 
 
-# Fingerprints computed in this session (inputs are not rewritten under
-# a running session).
-_FINGERPRINTS: dict = {}
-
 SOURCES = {"invoice_records": ("orders", "lineitem", "part"), "grant_records": ("orders", "lineitem"),
-           "invoice_json": ("orders", "lineitem", "part")}
+           "invoice_json": ("orders", "lineitem", "part"), "customer_pages": ("customer",)}
 
 
 def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Where the records derived from ``sf_dir`` land, under the shared
-    checkpoint folder named by the cluster.
+    """Where the records derived from ``sf_dir`` land, in the shared
+    folder that ``spark.checkpoint.dir`` names (not in the part of it that
+    belongs to one application, so a later application reuses them).
 
-    The folder name carries a fingerprint of the inputs (their file
-    lists and row counts, both answered from parquet metadata), so new
-    or rewritten input tables land afresh instead of reusing old output.
+    The folder name carries a fingerprint of the inputs: path, length and
+    modification time of every file, listed and summed up by Spark at
+    each call, so a rewritten table lands afresh.
     """
-    key = (id(spark.sparkContext), os.path.abspath(sf_dir), name)
-    if key not in _FINGERPRINTS:
-        parts = [os.path.abspath(sf_dir), name]
-        for t in SOURCES.get(name, ()):
-            src = read(spark, sf_dir, t)
-            parts += sorted(src.inputFiles()) + [str(src.count())]
-        _FINGERPRINTS[key] = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
-    return scratch_path(spark, f"{LANDING}/{_FINGERPRINTS[key]}/{name}")
+    tables = [os.path.join(sf_dir, f"{t}.parquet") for t in SOURCES[name]]
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(tables).select(F.xxhash64("path", "length", "modificationTime").alias("h")))
+    seen = files.agg(F.count("*"), F.sum(F.col("h").cast("decimal(38,0)"))).first()
+    mark = hashlib.sha1("|".join([os.path.abspath(sf_dir), name, *map(str, seen)]).encode()).hexdigest()[:16]
+    return shared_path(spark, f"{LANDING}/{mark}/{name}")
 
 
 def landed_invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,3 +275,33 @@ def landed_invoice_json(spark: SparkSession, sf_dir: str) -> str:
         F.concat(F.lit('{"page_id":'), F.col("page_id").cast("string"), F.lit(',"record":'), F.col("json"),
                  F.lit("}")).alias("value")), fmt="text")
     return path
+
+
+# Fixed rules of the landed page fixture: which pages the API answered
+# with an error, and which are cut off.
+FAILED_PAGE = (7, 3)      # page number mod 7 = 3: an error envelope
+CUT_OFF_PAGE = (7, 5)     # page number mod 7 = 5: text that ends too early
+
+
+def customer_page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer pages as landed text, one envelope per line."""
+    n = F.col("page_no").cast("string")
+    failed = F.to_json(F.struct(F.lit(None).cast("string").alias("data"), F.lit(None).cast("string").alias("next_page"),
+                                F.concat(F.lit("page "), n, F.lit(": no answer")).alias("error")),
+                       {"ignoreNullFields": "false"})
+    cut_off = F.concat(F.lit('{"page":'), n, F.lit(',"data":[{"id":'))
+    whole = F.to_json("page", {"ignoreNullFields": "false"})
+    kind = F.col("page_no") % FAILED_PAGE[0]
+    line = F.when(kind == FAILED_PAGE[1], failed).when(kind == CUT_OFF_PAGE[1], cut_off).otherwise(whole)
+    return customer_pages(spark, sf_dir).select(line.alias("value"))
+
+
+def landed_customer_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Lands the customer pages and returns their folder."""
+    path = landing_path(spark, sf_dir, "customer_pages")
+    build_once(spark, path, lambda: customer_page_lines(spark, sf_dir), fmt="text")
+    return path
+
+
+LANDINGS = {"invoice_records": landed_invoice_records, "grant_records": landed_grant_records,
+            "invoice_json": landed_invoice_json, "customer_pages": landed_customer_pages}

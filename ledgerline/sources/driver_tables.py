@@ -74,8 +74,12 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
-def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def invoices(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+    """One per order; ``status`` keeps those of one status, by a predicate
+    on the stored code, which reaches the parquet scan."""
     o = read(spark, sf_dir, "orders")
+    if status is not None:
+        o = o.where(F.col("o_orderstatus").isin([code for code, name in STATUS_BY_CODE.items() if name == status]))
     pr = F.col("o_orderpriority")
     return o.select(
         F.col("o_orderkey").alias("id"),
