@@ -3,23 +3,21 @@
 All of these are algebraic (sum/count/min/max/avg/stddev), so Spark
 runs a partial aggregate before the shuffle and a hot key is combined
 map-side.  The one order statistic, exact quantiles for
-``describe_numeric``, is computed from a distributed sort, never by
-gathering a column into one task.
+``describe_numeric``, is narrowed down by counting passes of the same
+kind, never by sorting a column or gathering it into one task.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from ledgerline.session import checkpoint_dir
-
 QUANTILES = (0.25, 0.5, 0.75)
-# Rows of one partition: the low 33 bits of monotonically_increasing_id.
-_ROW_BITS = 33
+ACCURACY = 100_000  # of the sketches that narrow down exact quantiles
+GATHERED = 10_000   # values at most that their last step sorts in one buffer
 
 
 def slice_totals(invoices: DataFrame, by: list[str], value: str = "total",
@@ -51,60 +49,83 @@ def count_unique_with_null(df: DataFrame, column: str, alias: str = "n_unique")
 
 
 
-def _exact_quantiles(df: DataFrame, column: str, probs) -> list[float | None]:
-    """Exact linearly interpolated quantiles of one column.
+def _exact_quantiles(df: DataFrame, counts: dict[str, int], probs) -> dict[str, list[float | None]]:
+    """Exact linearly interpolated quantiles of all columns together.
 
-    The column is range-partitioned (a random tie-breaker lets the
-    sampler split a value that holds a large share of rows), sorted
-    within partitions, tagged with partition/position ids and written to
-    the checkpoint folder.  Per-partition counts (one row per partition)
-    give every row's global rank; only the handful of rows at the wanted
-    ranks are read back.
+    Each wanted rank lies in an open interval of values, at first all of
+    them.  A round takes two cut points around every rank from a mergeable
+    sketch, then counts exactly what lies below and at them: the rank is
+    at a cut point, or in one of the intervals these leave, which hold a
+    small share of the rows.  Intervals of ``GATHERED`` rows or fewer are
+    sorted in one buffer.  All of it is partial aggregates: no row is
+    shuffled, a value that holds a large share of the rows costs no more
+    than others, and the driver gets a few numbers for each rank.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    v = F.col(column).cast("double")
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranked = (df.select(v.alias("v")).where(F.col("v").isNotNull())
-              .withColumn("t", F.rand(17))
-              .repartitionByRange(n_parts, "v", "t")
-              .sortWithinPartitions("v", "t")
-              .select("v", F.monotonically_increasing_id().alias("mid"))
-              .checkpoint(eager=True))
-    pid = F.shiftrightunsigned(F.col("mid"), _ROW_BITS)
-    counts = sorted((r["p"], r["n"]) for r in ranked.groupBy(pid.alias("p")).agg(F.count("*").alias("n"))
-                    .collect())
-    total = sum(n for _, n in counts)
-    if total == 0:
-        return [None for _ in probs]
-    starts, acc = [], 0
-    for p, n in counts:
-        starts.append((p, acc, n))
-        acc += n
-
-    def mid_of(rank: int) -> int:
-        for p, first, n in starts:
-            if first <= rank < first + n:
-                return (p << _ROW_BITS) + (rank - first)
-        raise ValueError(rank)
-
-    wanted = {}
-    for q in probs:
-        pos = q * (total - 1)
-        for r in (math.floor(pos), math.ceil(pos)):
-            wanted[r] = mid_of(r)
-    got = {r["mid"]: r["v"] for r in ranked.where(F.col("mid").isin(list(wanted.values()))).collect()}
-    out = []
-    for q in probs:
-        pos = q * (total - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        a, b = got[wanted[lo]], got[wanted[hi]]
-        out.append(a + (b - a) * (pos - lo))
-    return out
+    found: dict[tuple[str, int], float] = {}
+    # (column, rank) -> lower and upper bound (None: open), rows below, rows inside
+    open_ranks: dict[tuple[str, int], tuple] = {}
+    for c, n in counts.items():
+        for q in probs if n else ():
+            for rank in (math.floor(q * (n - 1)), math.ceil(q * (n - 1))):
+                open_ranks[c, rank] = (None, None, 0, n)
+    while open_ranks:
+        tasks = list(open_ranks.items())
+        aggs = []
+        for k, ((c, rank), (lo, hi, below, inside)) in enumerate(tasks):
+            x = F.col(f"`{c}`").cast("double")
+            within = x.isNotNull()
+            if lo is not None:
+                within = within & (x > lo)
+            if hi is not None:
+                within = within & (x < hi)
+            x = F.when(within, x)
+            if inside <= GATHERED:
+                aggs.append(F.get(F.sort_array(F.collect_list(x)), rank - below).alias(f"v{k}"))
+            else:
+                p = (rank - below + 0.5) / inside
+                aggs.append(F.percentile_approx(x, [max(p - 2 / ACCURACY, 0.0), min(p + 2 / ACCURACY, 1.0)],
+                                                ACCURACY).alias(f"v{k}"))
+        values = df.agg(*aggs).first()
+        cuts = {}
+        for k, (key, state) in enumerate(tasks):
+            if state[3] <= GATHERED:
+                found[key] = values[k]
+                del open_ranks[key]
+            else:
+                cuts[key] = values[k]
+        if not cuts:
+            continue
+        aggs = []
+        for (c, _), points in cuts.items():
+            x = F.col(f"`{c}`").cast("double")
+            aggs += [F.count_if(test) for v in points for test in (x < v, x <= v)]
+        seen = list(df.agg(*aggs).first())
+        for k, ((c, rank), (a, b)) in enumerate(cuts.items()):
+            under_a, upto_a, under_b, upto_b = seen[4 * k:4 * k + 4]
+            lo, hi, below, inside = open_ranks.pop((c, rank))
+            if under_a <= rank < upto_a:
+                found[c, rank] = a
+            elif under_b <= rank < upto_b:
+                found[c, rank] = b
+            elif rank < under_a:
+                open_ranks[c, rank] = (lo, a, below, under_a - below)
+            elif rank < under_b:
+                open_ranks[c, rank] = (a, b, upto_a, under_b - upto_a)
+            else:
+                open_ranks[c, rank] = (b, hi, upto_b, below + inside - upto_b)
+
+    def at(c: str, n: int, q: float) -> float | None:
+        if not n:
+            return None
+        pos = q * (n - 1)
+        a, b = found[c, math.floor(pos)], found[c, math.ceil(pos)]
+        return a + (b - a) * (pos - math.floor(pos)) if a != b else a
+
+    return {c: [at(c, n, q) for q in probs] for c, n in counts.items()}
 
 
 def describe_numeric(df: DataFrame, columns: list[str],
-                     exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+                     exact: bool = True, accuracy: int = ACCURACY) -> DataFrame:
     """count, mean, std, min, 25/50/75 % and max per column, one row per
     column.
 
@@ -116,16 +137,17 @@ def describe_numeric(df: DataFrame, columns: list[str],
     spark: SparkSession = df.sparkSession
     aggs = []
     for c in columns:
-        x = F.col(c).cast("double")
+        x = F.col(f"`{c}`").cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]
         if not exact:
             aggs.append(F.percentile_approx(x, list(QUANTILES), accuracy).alias(f"{c}__q"))
     row = df.agg(*aggs).collect()[0]
+    quantiles = _exact_quantiles(df, {c: row[f"{c}__count"] for c in columns}, QUANTILES) if exact else {}
     rows = []
     for c in columns:
-        qs = _exact_quantiles(df, c, QUANTILES) if exact else list(row[f"{c}__q"] or [None] * 3)
+        qs = quantiles[c] if exact else list(row[f"{c}__q"] or [None] * 3)
         rows.append((c, row[f"{c}__count"], row[f"{c}__mean"], row[f"{c}__std"], row[f"{c}__min"],
                      qs[0], qs[1], qs[2], row[f"{c}__max"]))
     schema = StructType([StructField("column", StringType()), StructField("count", LongType())] +

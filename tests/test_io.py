@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from conftest import SF001
+
 from ledgerline import schemas
 from ledgerline.plans.ingest import load_and_process
-from ledgerline.sources import egress, pages, sinks
+from ledgerline.sources import api_records, egress, pages, sinks
 from ledgerline.streaming.landed_pages import start_ingest
 
 INV_OK = {"id": "i1", "customer_id": "c1", "start_timestamp": "2024-03-01", "end_timestamp": "2024-03-31",
@@ -182,7 +184,6 @@ def test_single_object_envelope(spark, tmp_path):
 
 
 def test_report_job_writes_one_csv_per_report(spark, tmp_path):
-    from conftest import SF001
     from ledgerline.plans import jobs
     paths = jobs.run(spark, SF001, str(tmp_path / "reports"))
     assert sorted(os.path.basename(p) for p in paths) == ["billings_by_plan", "customer_statement",
@@ -209,7 +210,6 @@ def test_month_partitioned_layout_prunes_and_matches(spark, tmp_path):
     import contextlib
     import io as _io
 
-    from conftest import SF001
     from ledgerline.sources import driver_tables as dt
     inv = dt.invoices(spark, SF001)
     path = str(tmp_path / "invoice_by_month")
@@ -243,3 +243,17 @@ def test_quoted_newline_is_one_row_by_default(spark, tmp_path):
     out = str(tmp_path / "csv")
     sinks.write_csv(spark.createDataFrame([(1, "a\nb")], "id int, t string"), out)
     assert [tuple(r) for r in egress.read_csv(spark, out, schema="id int, t string").collect()] == [(1, "a\nb")]
+
+
+def test_landed_records_follow_a_rewritten_input(spark, tmp_path):
+    for t in ("orders", "lineitem", "part"):
+        spark.read.parquet(f"{SF001}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    first = api_records.landed_invoice_records(spark, str(tmp_path))
+    assert first.inputFiles() == api_records.landed_invoice_records(spark, str(tmp_path)).inputFiles()
+    before = {r["id"]: r["total"] for r in first.select("id", "total").collect()}
+    # As many rows, other totals.
+    orders = spark.read.parquet(f"{SF001}/orders.parquet").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    orders.write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    after = {r["id"]: r["total"] for r in
+             api_records.landed_invoice_records(spark, str(tmp_path)).select("id", "total").collect()}
+    assert after == {k: v + 100 for k, v in before.items()}

@@ -3,6 +3,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -134,6 +135,20 @@ def test_describe_matches_pandas_with_hot_value(spark):
     assert approx["min"] == ref["min"]
 
 
+def test_exact_quantiles_in_many_rounds(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "ACCURACY", 20)
+    monkeypatch.setattr(aggregates, "GATHERED", 4)
+    rnd = random.Random(5)
+    cols = {"hot": [7.0] * 700 + [rnd.uniform(-9, 9) for _ in range(1300)],
+            "near": [1.0] * 501 + [float(n) for n in range(2, 1501)],
+            "same": [2.5] * 2000, "odd": [float("inf"), float("-inf")] + [rnd.gauss(0, 1e300) for _ in range(1998)]}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols)).repartition(5)
+    got = {r["column"]: r for r in aggregates.describe_numeric(df, list(cols)).collect()}
+    for c, vals in cols.items():
+        want = pd.Series(vals).quantile([0.25, 0.5, 0.75]).tolist()
+        assert [got[c][q] for q in ("p25", "p50", "p75")] == pytest.approx(want, rel=1e-12)
+
+
 def test_flatten_wide_columns_and_values(spark):
     schema = ("id string, meta map<string,string>, info struct<a:int, b:struct<c:string>>, "
               "lines array<struct<n:string, q:double, subs:array<struct<p:double>>, tags:map<string,string>>>, "

@@ -44,3 +44,14 @@ def test_filters_and_columns_reach_the_parquet_scan(spark):
 def test_latest_per_key_is_an_aggregate_not_a_window(spark):
     text = plan_text(E.queries()["latest_per_key"](spark, SF01))
     assert "partial_max_by" in text and "Window" not in text
+
+
+def test_status_filter_reaches_the_scan(spark):
+    for name in ("filter_eq", "filter_mask", "slice_totals", "latest_per_key"):
+        assert "EqualTo(o_orderstatus,F)" in plan_text(E.queries()[name](spark, SF01))
+
+
+def test_line_reports_scan_the_lines_twice_at_most(spark):
+    for name in ("invoice_lines", "join_left_chain"):
+        text = plan_text(E.queries()[name](spark, SF01))
+        assert text.count("lineitem.parquet]") <= 2
