@@ -3,9 +3,7 @@
 Join strategy is left to Spark: a side is broadcast only when its
 estimated or AQE-measured size is under ``autoBroadcastJoinThreshold``;
 beyond it Spark shuffles both sides (sort-merge), and AQE splits skewed
-partitions of the large side.  The one explicit broadcast here
-(``semi_reduce``) comes after counting the key set against a bound,
-with a plain join beyond it.
+partitions of the large side.  Nothing here is hinted.
 """
 
 from __future__ import annotations
@@ -22,8 +20,8 @@ def merge_left_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on:
     ``right_on`` are the same name the key appears once (the left one,
     which a left join always keeps).  ``null_safe`` makes a null key
     match a null key (``<=>``), the way an in-memory dataframe merge
-    pairs missing keys.  The join is skew-safe on the right side (see
-    :func:`left_join_skew_safe`).
+    pairs missing keys: n and m null keys give n x m rows, as there.  The
+    join is skew-safe on the right side (see :func:`left_join_skew_safe`).
     """
     same_key = left_on == right_on
     shared = set(left.columns) & set(right.columns)

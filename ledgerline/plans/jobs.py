@@ -1,9 +1,8 @@
 """Batch report job: the billing reports written as CSV files.
 
 The scheduled form of the reports: read the billing tables, run each
-report and write it as one CSV with a header (report outputs are small:
-one row per customer, plan or line; the writer checks the row count
-before using a single file and refuses beyond its bound).
+report and write it as CSV with a header, one file per task; one single
+file, and with it one writing task, only with ``--single-file``.
 
     python -m ledgerline.plans.jobs --sf /path/to/tables --out /shared/reports
 """
