@@ -1,7 +1,10 @@
 """Embedding near-duplicates through a pivot-permutation index.
 
-Pivots are a bounded sample of the distinct vectors (``MOST_PIVOTS`` at
-most, those with the smallest hashes).  Every distinct vector is
+Pivots are distinct vectors, ``MOST_PIVOTS`` at most, spread over the
+space: of a bounded sample (those with the smallest hashes) each is taken
+whose cosine with all taken before is below ``APART``.  So a dense group,
+however large, has few pivots of its own and its members share them.
+Retrieval is approximate; README gives the measured recall.  Every distinct vector is
 described by its ``NEAREST`` pivots in order of closeness.  Inverted
 lists hold the vectors of each pivot; pairs with ``SHARED`` or more
 pivots in common are retrieved and verified by their cosine in double
@@ -42,6 +45,8 @@ NEAREST = 8
 SHARED = 3
 MOST_PIVOTS = 1024
 VECTORS_A_PIVOT = 64
+APART = 0.8
+SAMPLED_A_PIVOT = 4
 BLOCK = 1024
 
 
@@ -61,6 +66,18 @@ def _unit(rows: list) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
+def _spread(units: np.ndarray, want: int) -> np.ndarray:
+    """The first ``want`` of the unit vectors that lie apart from all
+    taken before them."""
+    taken: list[int] = []
+    closest = np.full(len(units), -np.inf)
+    for n in range(len(units)):
+        if len(taken) < want and closest[n] < APART:
+            taken.append(n)
+            closest = np.maximum(closest, units @ units[n])
+    return units[taken]
+
+
 def describe(classes: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """(cid, many, unit, near): unit vector and ordered nearest pivots,
     as bytes; and the number of each pivot's vectors."""
@@ -69,9 +86,10 @@ def describe(classes: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     first = 0
     for d, n in sorted(sizes.items()):
         want = int(min(MOST_PIVOTS, max(16, n // VECTORS_A_PIVOT)))
-        chosen = classes.where(F.size("vec") == d).orderBy(F.xxhash64("vec"), "cid").limit(want).select("vec").collect()
-        pivots[d] = (first, _unit([r["vec"] for r in chosen]))
-        first += len(chosen)
+        sampled = classes.where(F.size("vec") == d).orderBy(F.xxhash64("vec"), "cid").limit(want * SAMPLED_A_PIVOT)
+        points = _spread(_unit([r["vec"] for r in sampled.select("vec").collect()]), want)
+        pivots[d] = (first, points)
+        first += len(points)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

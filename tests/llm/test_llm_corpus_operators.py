@@ -317,6 +317,14 @@ def test_embedding_recall(spark):
     assert 0.9 * want <= found <= want
 
 
+def test_pivots_are_spread():
+    rng = np.random.default_rng(2)
+    unit = np.concatenate([rng.normal(size=64) + 0.2 * rng.normal(size=(400, 64)), rng.normal(size=(800, 64))])
+    unit = rng.permutation(unit / np.linalg.norm(unit, axis=1, keepdims=True))
+    pivots = embeddings._spread(unit, 300)
+    assert len(pivots) == 300 and (np.triu(pivots @ pivots.T, 1) < embeddings.APART).all()
+
+
 def test_pipeline(spark, edge_docs, no_docs, tmp_path):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "simhash_near_dedup", "pii", "packing"]
