@@ -317,6 +317,23 @@ def test_embedding_recall(spark):
     assert 0.9 * want <= found <= want
 
 
+def test_embedding_recall_in_a_dense_group(spark):
+    # A third are distinct near copies of one vector, with pairwise cosines around 0.96.
+    rng = np.random.default_rng(2)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    near = centre + rng.normal(size=(6667, 64)) / 8 * (0.04 / 0.96) ** 0.5
+    unit = np.concatenate([near, rng.normal(size=(13333, 64))])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = np.concatenate([(unit[s:s + 1000] @ unit.T >= 0.9).sum(axis=1) - 1 for s in range(0, len(unit), 1000)])
+    assert want.sum() > 40_000_000
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(unit)], "vec_id long, embedding array<double>")
+    found = np.zeros(len(unit), int)
+    for r in embeddings.near_duplicates(df).collect():
+        found[r["vec_id"]] = r["n_links"]
+    assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+
+
 def test_pivots_are_spread():
     rng = np.random.default_rng(2)
     unit = np.concatenate([rng.normal(size=64) + 0.2 * rng.normal(size=(400, 64)), rng.normal(size=(800, 64))])
