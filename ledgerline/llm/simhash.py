@@ -76,13 +76,15 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) of every row."""
+    """(doc_id, text_hash, fp) of every row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = [fingerprint(t, words) for t in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(fps, pa.int64())],
+                                          ["doc_id", "text_hash", "fp"])
 
-    return map_batches(id_and_text(docs), run, "doc_id long, fp long")
+    rows = id_and_text(docs).withColumn("text_hash", F.xxhash64("text"))
+    return map_batches(rows, run, "doc_id long, text_hash long, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -237,16 +239,17 @@ def star_links(fps: DataFrame, distance: int = DISTANCE, node_rows: int = NODE_R
 
 
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp, component_id) of every row."""
+    """(doc_id, text_hash, fp, root, component_id) of every row; the root
+    tells components apart that the same id names."""
     marked = cut_lineage(fingerprints(docs, words))
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = connected_components(star_links(classes.select("fp"), distance))
     classes = cut_lineage(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left"))
     named = cut_lineage(classes.where("root IS NOT NULL").groupBy("root").agg(F.min("first_id").alias("component_id")))
     # Fingerprints without a link have no root: they skip the join, where their null key would be one task.
-    alone = classes.where("root IS NULL").select("fp", F.col("first_id").alias("component_id"))
-    classes = classes.where("root IS NOT NULL").join(named, "root").select("fp", "component_id").unionByName(alone)
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    alone = classes.where("root IS NULL").select("fp", F.col("fp").alias("root"), F.col("first_id").alias("component_id"))
+    classes = classes.where("root IS NOT NULL").join(named, "root").select("fp", "root", "component_id").unionByName(alone)
+    return marked.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def simhash_classes(docs: DataFrame) -> DataFrame:
@@ -258,13 +261,15 @@ def simhash_classes(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents (all columns) that name their component: of each
     group one row stays, that with the smallest id.  Several rows of that
-    id: the one whose text sorts first.  Rows with a null id have no
-    identity and stay."""
+    id in the group: the one whose text sorts first.  An id with unrelated
+    texts may name several groups and keeps a row in each.  Rows with a
+    null id have no identity and stay."""
     names = docs.columns
     kept = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select(
-        F.col("doc_id").alias("__kept_id")).distinct()
+        F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_text"), F.col("root").alias("__root")).distinct()
     known = docs.where(F.col("doc_id").isNotNull())
-    known = known.join(kept, known["doc_id"].cast("long") == kept["__kept_id"], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
+    text_hash = F.xxhash64(F.coalesce(known["text"].cast("string"), F.lit("")))
+    known = known.join(kept, (known["doc_id"].cast("long") == kept["__kept_id"]) & (text_hash == kept["__kept_text"]))
+    order = Window.partitionBy("__kept_id", "__root").orderBy(F.col("text").asc_nulls_first())
     known = known.withColumn("__turn", F.row_number().over(order)).where("__turn = 1").select(*names)
     return known.unionByName(docs.where(F.col("doc_id").isNull()))

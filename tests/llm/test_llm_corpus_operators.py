@@ -98,6 +98,15 @@ def test_simhash_query(spark, edge_docs, no_docs, which):
     assert sorted(i for i in ids if i is not None) == sorted(want)
 
 
+def test_each_group_keeps_the_row_that_names_it(spark):
+    one, two, three = (" ".join(f"{c}{n}" for n in range(60)) for c in "zam")
+    # 5 names the group of `one` (with 9) and not that of `two` (3 does); 7 has two groups of its own.
+    rows = [(5, one), (9, one), (5, two), (3, two), (7, three), (7, "something else again"), (7, three), (8, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(map(tuple, simhash.keep_first(df).collect()))
+    assert kept == Counter([(5, one), (3, two), (7, three), (7, "something else again"), (8, None)])
+
+
 LINES = [(n, f"own {n}\nshared line \nfoot\n\n{'rare' if n < 3 else 'near'}", f"s{n % 12}") for n in range(40)] + [
     (50, None, "s1"), (51, "", None), (52, "shared line", None), (53, "shared line", "s1"), (53, "shared line", "s1"),
     (53, "other\nshared line", "s2"), (54, "foot\nfoot\nfoot", "s3")] + [
