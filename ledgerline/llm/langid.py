@@ -24,6 +24,7 @@ give repeated results.  Other columns are not read.
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -155,7 +156,9 @@ def language_id(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_score: float = 0.0, sample: int = SAMPLE) -> DataFrame:
     """The documents (all their columns) whose language is identified
-    with a score of at least ``min_score``."""
+    with a score of at least ``min_score``.  If nothing could be learned
+    (no labels, or all held out) languages can't be told apart, and the
+    documents with a letter stay."""
     model = train_profiles(docs, sample)
     names = docs.columns
 
@@ -163,6 +166,8 @@ def keep_identified(docs: DataFrame, min_score: float = 0.0, sample: int = SAMPL
     def score(texts):
         import pandas as pd
 
+        if not model:
+            return pd.Series([math.inf if t and any(map(str.isalpha, t)) else -math.inf for t in texts], dtype="float64")
         profiles = Profiles(model)
         found = (profiles.predict(t) if t else (UNKNOWN, 0.0) for t in texts)
         return pd.Series([s if lang != UNKNOWN else -1.0 for lang, s in found], dtype="float64")

@@ -13,7 +13,7 @@ from llm_cases import edge_docs, no_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import embeddings, lines, packing, pii, search, simhash, urlfilter
+from ledgerline.llm import embeddings, langid, lines, packing, pii, search, simhash, urlfilter
 from ledgerline.llm.components import connected_components, merge_labels
 
 
@@ -351,6 +351,12 @@ def test_pivots_are_spread():
     assert len(pivots) == 300 and (np.triu(pivots @ pivots.T, 1) < embeddings.APART).all()
 
 
+def test_documents_stay_without_language_labels(spark):
+    rows = [(1, "Some text", None), (2, "12 3!", None), (3, None, None), (4, "\u4f60\u597d", None), (None, "more", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert Counter(r["doc_id"] for r in langid.keep_identified(df, 0.2).collect()) == Counter([1, 4, None])
+
+
 def test_pipeline(spark, edge_docs, no_docs, tmp_path):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "simhash_near_dedup", "pii", "packing"]
