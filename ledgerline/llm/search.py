@@ -13,8 +13,9 @@ added up for all documents.  Frequent terms (in more than one document in
 ``FREQUENT``) are not: for each run of ``RUN`` documents only the greatest
 impact of each term is added, which bounds the score of every document of
 the run.  The documents with the highest bounds give a first k-th score;
-those whose bounds stay below it are skipped, the pivot test of block-max
-WAND.  What is left for any query of the batch is scored in one matrix
+those whose bounds stay below it are skipped.  This is term-at-a-time
+scoring with a block-max filter and stands in for WAND: there are no
+posting cursors, and rare terms' blocks are not skipped.  What is left for any query of the batch is scored in one matrix
 product, in single precision; documents that the proven rounding error
 still lets into the top k are scored again in double precision.  No
 document that could enter the top k is skipped.
