@@ -10,7 +10,11 @@ A text is aligned in windows around the places where the template may
 stand: a copy with coverage c lacks at most (1 - c) of the template's
 words, so of any larger set of its words at least one is there; the
 rarest such set in the text gives the windows.  Texts that hold too few
-of the template's words are skipped by the same bound.  Both are exact.
+of the template's words are skipped by the same bound, which loses none.
+The windows are bounded: a copy is seen whole if at most a quarter of the
+template's number of words (at least 2) is inserted before such a word,
+and at most as many after it.  A copy stretched by more is seen in part
+or not at all, also where aligning the whole text would cover it.
 
 Every row is handled by itself in its task: no shuffle.
 
