@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import bpe, embeddings, langid, licenses, lines, packing, pii, search, simhash, urlfilter
+from ledgerline.llm import (bpe, conversations, embeddings, langid, lexical, licenses, lines, packing, pii, quality, search,
+                            simhash, urlfilter)
 from ledgerline.llm.common import table
 
 
@@ -13,6 +14,10 @@ def _on(name: str, operator):
     return run
 
 
+def _ranked(spark, sf_dir):
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_vector_packing": _on("documents", packing.pack_documents),
     "op2_simhash_gray": _on("documents", simhash.simhash_classes),
@@ -24,8 +29,11 @@ QUERIES = {
     "op8_backtracking_bpe": _on("documents", bpe.bpe_digests),
     "op9_pivot_embeddings": _on("embeddings", embeddings.near_duplicates),
     "op10_line_spread": _on("documents", lines.line_report),
+    "op11_integer_dag_repair": _on("conversations", conversations.repair_report),
+    "op12_hybrid_taat_daat": _ranked,
+    "op13_weak_supervision": _on("documents", quality.quality_report),
 }
 
 # The others have a learned model, hashes or tokens that SQL cannot
 # express; they are tested against brute force.
-ORACLE = {"op10_line_spread": lines.ORACLE}
+ORACLE = {"op10_line_spread": lines.ORACLE, "op12_hybrid_taat_daat": lexical.ORACLE}
