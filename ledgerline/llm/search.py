@@ -1,21 +1,28 @@
 """Exact top-k BM25 search: inverted index with block-max pruning, run
 per shard and merged with global statistics.
 
-Documents are dealt by a hash of their id into shards of about
-``SHARD_CHARS`` characters.  Document frequencies, their number and mean
-length are counted over all documents first, so a document's score does
-not depend on its shard.  A query's terms go to every shard in blocks of
-about ``QUERY_BLOCK`` queries; one task holds one shard's index and one
-block of queries, and returns k rows a query, which are merged exactly.
-
-A shard answers its queries in batches.  Posting lists of rare terms are
-added up for all documents.  Frequent terms (in more than one document in
-``FREQUENT``) are not: for each run of ``RUN`` documents only the greatest
-impact of each term is added, which bounds the score of every document of
-the run.  The documents with the highest bounds give a first k-th score;
-those whose bounds stay below it are skipped.  This is term-at-a-time
-scoring with a block-max filter and stands in for WAND: there are no
-posting cursors, and rare terms' blocks are not skipped.  What is left for any query of the batch is scored in one matrix
+1. One narrow pass tokenises the documents and writes, for about every
+   ``SHARD_CHARS`` characters, one shard: ids, lengths and the postings
+   (document, tf) by term hash.  No text is shuffled.  Within a shard
+   documents with the same commonest word and of like length lie
+   together, which makes the maxima of a run of documents tight.
+2. Document frequencies, their number and mean length are summed over the
+   shards, so a document's score does not depend on its shard.
+3. Queries are taken in blocks of ``QUERY_BLOCK``, which bounds what the
+   driver and a task hold of them.  Each shard answers the block; a task
+   carries a query's best k from shard to shard; what tasks found is
+   merged exactly.
+
+Posting lists of rare terms are added up for all documents.  Frequent
+terms (in more than one document in ``FREQUENT``) are not: for each run of
+``RUN`` documents only the greatest impact of each term is added, which
+bounds the score of every document of the run.  Documents whose bounds
+stay below the query's k-th best score so far, from this shard or those
+before it, are skipped.  This is term-at-a-time scoring with a block-max
+filter and stands in for WAND: pivots found by the summed block maxima of
+all lists were built and measured too, and cost about five times as much
+here, as queries of hundreds of terms have more blocks than they skip
+(README).  What is left for any query of a batch is scored in one matrix
 product, in single precision; documents that the proven rounding error
 still lets into the top k are scored again in double precision.  No
 document that could enter the top k is skipped.
@@ -41,27 +48,26 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import cut_lineage, id_and_text
+from ledgerline.llm.common import id_and_text, written
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD_CHARS = 64_000_000
-QUERY_BLOCK = 16_384
+SHARD_CHARS = 48_000_000
+QUERY_BLOCK = 8_192
 BATCH = 64
 BATCH_CELLS = 2_000_000  # queries x documents at once
 FREQUENT = 8
 RUN = 8
 DIGITS = 9
 SLACK = 1e-6  # above any rounding in double precision
-FLUSH = 500_000
 
 _WORD = re.compile(r"\w+")
+SHARD = ("n_docs long, n_words long, ids binary, lengths binary, terms binary, sizes binary, docs binary, tfs binary")
 
 
 def terms_of(text: str) -> Counter:
@@ -73,34 +79,82 @@ def _hashed(words) -> np.ndarray:
     return np.fromiter((digest(w) for w in words), np.uint64, len(words)).view(np.int64)
 
 
-def term_statistics(rows: DataFrame) -> DataFrame:
-    """(kind, term, n): kind 0 the number of documents, 1 of words, 2 the
-    documents of each term (by its hash)."""
+def _commonest(numbers: np.ndarray) -> int:
+    if not len(numbers):
+        return -1
+    values, counts = np.unique(numbers, return_counts=True)
+    return int(values[np.argmax(counts)])
+
+
+class _Filing:
+    """The documents of a shard that is being written."""
+
+    def __init__(self):
+        self.vocabulary: defaultdict[str, int] = defaultdict()
+        self.vocabulary.default_factory = self.vocabulary.__len__  # the next number
+        self.ids: list[int] = []
+        self.found: list[np.ndarray] = []
+        self.chars = 0
+
+    def add(self, doc_id: int, text: str) -> None:
+        self.ids.append(doc_id)
+        self.found.append(np.fromiter(map(self.vocabulary.__getitem__, _WORD.findall(text.lower())), np.int32))
+        self.chars += len(text)
+
+    def batch(self) -> pa.RecordBatch:
+        ids, n = np.array(self.ids, np.int64), len(self.ids)
+        lengths = np.fromiter(map(len, self.found), np.int64, n)
+        # Ids last: the same shard whatever the order of its rows.
+        order = np.lexsort((ids, lengths, [_commonest(f) for f in self.found]))
+        found, lengths, ids = [self.found[i] for i in order], lengths[order], ids[order]
+        hashes = _hashed(self.vocabulary)
+        by_hash = np.argsort(hashes)
+        place = np.empty(len(hashes), np.int64)
+        place[by_hash] = np.arange(len(hashes))
+        # One number for each word's (term, document); equal ones make tf.
+        word = place[np.concatenate(found)] if n else np.zeros(0, np.int64)
+        word *= n
+        word += np.repeat(np.arange(n, dtype=np.int32), lengths)
+        word.sort()
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: len(word)])
+        tfs = np.diff(np.r_[first, len(word)])
+        word = word[first]
+        columns = {"n_docs": n, "n_words": int(lengths.sum()), "ids": ids, "lengths": lengths, "terms": hashes[by_hash],
+                   "sizes": np.bincount(word // max(n, 1), minlength=len(hashes)).astype(np.int32),
+                   "docs": (word % max(n, 1)).astype(np.int32), "tfs": tfs.astype(np.int32)}
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v.tobytes()], pa.binary()) if isinstance(v, np.ndarray) else pa.array([v], pa.int64())
+             for v in columns.values()], list(columns))
+
+
+def shards_of(rows: DataFrame, shard_chars: int) -> DataFrame:
+    """One row for each shard, see ``SHARD``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        documents = words = 0
+        filing = _Filing()
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                filing.add(doc_id, text.as_py())
+                if filing.chars >= shard_chars:
+                    yield filing.batch()
+                    filing = _Filing()
+        if filing.ids:
+            yield filing.batch()
 
-        def out() -> pa.RecordBatch:
-            terms = np.concatenate([[0, 0], _hashed(seen)])
-            n = np.array([documents, words, *seen.values()], np.int64)
-            kind = np.array([0, 1] + [2] * len(seen), np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(terms), pa.array(n)], ["kind", "term", "n"])
+    return rows.mapInArrow(run, SHARD)
 
+
+def document_frequencies(shards: DataFrame) -> DataFrame:
+    """(term, df)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                found = _WORD.findall(text.lower())
-                documents += 1
-                words += len(found)
-                seen.update(set(found))
-            if len(seen) >= FLUSH:
-                yield out()
-                seen.clear()
-                documents = words = 0
-        yield out()
+            for terms, sizes in zip(batch.column("terms"), batch.column("sizes")):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(terms.as_py(), np.int64)), pa.array(np.frombuffer(sizes.as_py(), np.int32))],
+                    ["term", "n"])
 
-    return rows.select("text").mapInArrow(run, "kind int, term long, n long").groupBy("kind", "term").agg(
-        F.sum("n").alias("n"))
+    return shards.select("terms", "sizes").mapInArrow(run, "term long, n int").groupBy("term").agg(F.sum("n").alias("df"))
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -119,71 +173,64 @@ def query_terms(queries: DataFrame) -> DataFrame:
         "query_id", "query_hash", F.explode("terms").alias("term"))
 
 
-def _commonest(numbers: np.ndarray) -> int:
-    if not len(numbers):
-        return -1
-    values, counts = np.unique(numbers, return_counts=True)
-    return int(values[np.argmax(counts)])
+class Best:
+    """The k best documents of each query of a block so far."""
+
+    def __init__(self, queries: int, k: int):
+        self.score, self.ids = np.full((queries, k), -np.inf), np.zeros((queries, k), np.int64)
+
+    def floor(self, q: int) -> float:
+        return max(0.0, self.score[q, -1])
+
+    def offer(self, q: int, score: np.ndarray, ids: np.ndarray) -> None:
+        score, ids = np.r_[self.score[q], score], np.r_[self.ids[q], ids]
+        top = np.lexsort((ids, -score))[: self.score.shape[1]]
+        self.score[q], self.ids[q] = score[top], ids[top]
 
 
 class Shard:
     """Inverted index of some documents."""
 
-    def __init__(self, ids: np.ndarray, texts: list[str], mean_length: float):
-        vocabulary: defaultdict[str, int] = defaultdict()
-        vocabulary.default_factory = vocabulary.__len__  # the next number
-        found = [np.fromiter(map(vocabulary.__getitem__, _WORD.findall(t.lower())), np.int32) for t in texts]
-        # Documents with the same commonest word, and of like length, lie
-        # together: that makes a run's maxima tight.
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        order = np.lexsort((lengths, [_commonest(f) for f in found]))
-        found, lengths = [found[n] for n in order], lengths[order]
-        self.ids, self.n = ids[order], len(ids)
-        # One number for each word's (term, document); equal ones make tf.
-        word = np.concatenate(found).astype(np.int64)
-        del found
-        word *= self.n
-        word += np.repeat(np.arange(self.n, dtype=np.int32), lengths)
-        word.sort()
-        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: len(word)])
-        tf = np.diff(np.r_[first, len(word)]).astype(float)
-        self.word = word = word[first]
-        self.doc = (word % self.n).astype(np.int32)
-        norm = K1 * (1 - B + B * lengths / mean_length)
-        self.impact = tf * (K1 + 1) / (tf + norm[self.doc])
-        self.size = np.bincount(word // self.n, minlength=len(vocabulary))
+    def __init__(self, row: dict, mean_length: float):
+        read = lambda name, kind: np.frombuffer(row[name], kind)
+        self.ids, self.hashes = read("ids", np.int64), read("terms", np.int64)
+        self.n, self.runs = len(self.ids), -(-len(self.ids) // RUN)
+        self.docs, self.size = read("docs", np.int32), read("sizes", np.int32).astype(np.int64)
         self.start = np.cumsum(self.size) - self.size
-        hashes = _hashed(vocabulary)
-        self.number = np.argsort(hashes)
-        self.hashes = hashes[self.number]
-        self.load(np.zeros(0, np.int64))
+        tf = read("tfs", np.int32).astype(float)
+        norm = K1 * (1 - B + B * read("lengths", np.int64) / mean_length)
+        self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
+        self.word = np.repeat(np.arange(len(self.size)) * self.n, self.size) + self.docs
+        self.scored = 0
 
     def load(self, columns: np.ndarray) -> None:
         """Tables of the impacts and run maxima of frequent terms."""
-        runs = -(-self.n // RUN)
         self.columns = columns
-        self.dense = np.zeros((runs * RUN, len(columns)), np.float32)  # a document's impacts lie together
+        self.dense = np.zeros((self.runs * RUN, len(columns)), np.float32)  # a document's impacts lie together
         for column, t in enumerate(columns.tolist()):
             at = slice(self.start[t], self.start[t] + self.size[t])
-            self.dense[self.doc[at], column] = self.impact[at]
-        self.most = self.dense.reshape(runs, RUN, len(columns)).max(axis=1)
+            self.dense[self.docs[at], column] = self.impact[at]
+        self.most = self.dense.reshape(self.runs, RUN, len(columns)).max(axis=1)
 
     def terms(self, hashes: np.ndarray, df: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(term, idf, whether frequent) of a query's terms that the shard has."""
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         here = self.hashes[at] == hashes
         df = df[here]
-        return self.number[at[here]], np.log(1 + (total - df + 0.5) / (df + 0.5)), df * FREQUENT > total
+        return at[here], np.log(1 + (total - df + 0.5) / (df + 0.5)), df * FREQUENT > total
 
-    def search_all(self, queries: list, total: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(ids, scores) of the best k of each query (term hashes, df)."""
+    def search(self, queries: list, total: int, best: Best) -> None:
+        """Adds the shard's results for (term hashes, df) queries."""
+        if not len(self.hashes):
+            return
         found = [self.terms(h, df, total) for h, df in queries]
         self.load(np.unique(np.concatenate([term[often] for term, _, often in found])))
         step = max(1, min(BATCH, BATCH_CELLS // self.n))
         for s in range(0, len(found), step):
-            yield from self._batch(found[s:s + step], k)
+            self._batch(found[s:s + step], s, best)
 
-    def _batch(self, queries: list, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _batch(self, queries: list, number: int, best: Best) -> None:
+        k = best.score.shape[1]
         score = np.empty((len(queries), self.n))
         weights = np.zeros((len(queries), len(self.columns)), np.float32)
         slack = np.empty((len(queries), 1))
@@ -191,30 +238,30 @@ class Shard:
             rare, weight = term[~often], idf[~often]
             size = self.size[rare]
             place = np.arange(size.sum()) + np.repeat(self.start[rare] - (np.cumsum(size) - size), size)
-            score[q] = np.bincount(self.doc[place], self.impact[place] * np.repeat(weight, size), self.n)
+            score[q] = np.bincount(self.docs[place], self.impact[place] * np.repeat(weight, size), self.n)
             weights[q, np.searchsorted(self.columns, term[often])] = idf[often]
             # Twice the rounding error of a sum of that many single-precision products.
             slack[q] = SLACK + (often.sum() + 4) * np.finfo(np.float32).eps * (K1 + 1) * idf[often].sum()
         bound = score + np.repeat(weights @ self.most.T, RUN, axis=1)[:, : self.n] + slack
-        floor = np.zeros((len(queries), 1))
+        floor = np.array([best.floor(number + q) for q in range(len(queries))])[:, None]
         if self.n > 4 * k:
-            for q, first in enumerate(np.argpartition(-bound, 4 * k, axis=1)[:, : 4 * k]):
+            for q in np.flatnonzero(floor[:, 0] == 0):  # no k documents yet: the highest bounds give a first floor
+                first = np.argpartition(-bound[q], 4 * k)[: 4 * k]
                 near = np.sort(score[q, first] + self.dense[first] @ weights[q])
                 floor[q] = max(0, near[-k] - slack[q, 0])
         alive = bound >= floor
         some = np.flatnonzero(alive.any(axis=0))
-        dense = self.dense[: self.n] if len(some) == self.n else self.dense[some]
-        scored = score[:, some] + weights @ dense.T
+        self.scored += int(alive.sum())
+        scored = score[:, some] + weights @ self.dense[some].T
         for q, (term, idf, often) in enumerate(queries):
             docs = np.flatnonzero(alive[q, some])
+            near = scored[q, docs]
+            least = floor[q, 0] - slack[q, 0]
             if len(docs) > k:
-                near = scored[q, docs]
-                docs = docs[near >= np.partition(near, len(near) - k)[-k] - 2 * slack[q, 0]]
-            docs = some[docs]
+                least = max(least, np.partition(near, len(near) - k)[-k] - 2 * slack[q, 0])
+            docs = some[docs[near >= least]]
             exact = np.round(score[q, docs] + self._exact(term[often], idf[often], docs), DIGITS)
-            docs, exact = docs[exact > 0], exact[exact > 0]
-            top = np.lexsort((self.ids[docs], -exact))[:k]
-            yield self.ids[docs[top]], exact[top]
+            best.offer(number + q, exact[exact > 0], self.ids[docs[exact > 0]])
 
     def _exact(self, term: np.ndarray, weight: np.ndarray, docs: np.ndarray) -> np.ndarray:
         """Double-precision scores of the documents for frequent terms."""
@@ -226,45 +273,47 @@ class Shard:
         return out
 
 
+def _answer(shards: DataFrame, block: pa.Table, total: int, mean: float, k: int) -> DataFrame:
+    """(query_id, query_hash, doc_id, score): the best k of each task."""
+    ids, keys = block.column("query_id").to_numpy(), block.column("query_hash").to_numpy()
+    # Two arrays for the whole block, and where each query begins.
+    terms, dfs = (np.concatenate([c.flatten().to_numpy() for c in block.column(n).chunks] or [np.zeros(0, np.int64)])
+                  for n in ("terms", "dfs"))
+    ends = np.cumsum([n for n in block.column("n").to_pylist()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = list(zip(np.split(terms, ends[:-1]), np.split(dfs.astype(float), ends[:-1])))
+        best = Best(len(queries), k)
+        for batch in batches:
+            for n in range(batch.num_rows):
+                Shard(batch.slice(n, 1).to_pylist()[0], mean).search(queries, total, best)
+        query, rank = np.nonzero(best.score > -np.inf)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[query]), pa.array(keys[query]), pa.array(best.ids[query, rank]), pa.array(best.score[query, rank])],
+            ["query_id", "query_hash", "doc_id", "score"])
+
+    return shards.mapInArrow(run, "query_id long, query_hash long, doc_id long, score double")
+
+
 def top_k(docs: DataFrame, is_query: Column, k: int = K, shard_chars: int = SHARD_CHARS,
           query_block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, doc_id, score): the k best documents of each row
     of ``docs`` for which ``is_query`` (of doc_id) holds."""
     rows = id_and_text(docs).where("doc_id IS NOT NULL")
-    statistics = cut_lineage(term_statistics(rows))
-    sums = {r["kind"]: r["n"] for r in statistics.where("kind < 2").collect()}
-    total, mean = sums.get(0, 0), max(sums.get(1, 0), 1) / max(sums.get(0, 0), 1)
-    size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("c"),
-                    F.count(F.when(is_query, 1)).alias("q")).first()
-    shards, blocks = max(1, -(-size["c"] // shard_chars)), max(1, -(-size["q"] // query_block))
-    known = query_terms(rows.where(is_query)).join(
-        statistics.where("kind = 2").select("term", F.col("n").alias("df")), "term")
-    queries = known.groupBy("query_id", "query_hash").agg(
-        F.sort_array(F.collect_list(F.struct("df", "term"))).alias("t"))
-    queries = queries.select("query_id", "query_hash", F.col("t.term").alias("terms"),
-                             F.col("t.df").cast("array<int>").alias("dfs"),
-                             F.expr(f"CAST(pmod(xxhash64(query_id, query_hash), {blocks}) AS INT)").alias("block"),
-                             F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    filed = rows.select("doc_id", "text", F.expr(f"CAST(pmod(xxhash64(doc_id), {shards}) AS INT)").alias("shard"),
-                        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    names = ["query_id", "query_hash", "doc_id", "score"]
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            left = left.sort_values("doc_id", kind="stable")
-            index = Shard(left["doc_id"].to_numpy(np.int64), left["text"].tolist(), mean)
-            del left
-            if len(index.hashes):
-                queries = [(np.asarray(terms, np.int64), np.asarray(df, float))
-                           for terms, df in zip(right["terms"], right["dfs"])]
-                found = index.search_all(queries, total, k)
-                for q, h, (ids, scores) in zip(right["query_id"], right["query_hash"], found):
-                    out.append(pd.DataFrame({"query_id": q, "query_hash": h, "doc_id": ids, "score": scores}))
-        return pd.concat(out) if out else pd.DataFrame({n: pd.Series(dtype="float64") for n in names})
-
-    found = filed.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInPandas(
-        run, "query_id long, query_hash long, doc_id long, score double")
+    shards = written(shards_of(rows, shard_chars), "shards")
+    sums = shards.agg(F.sum("n_docs").alias("n"), F.sum("n_words").alias("words")).first()
+    total = sums["n"] or 0
+    mean = max(sums["words"] or 0, 1) / max(total, 1)
+    known = query_terms(rows.where(is_query)).join(document_frequencies(shards), "term")
+    queries = known.groupBy("query_id", "query_hash").agg(F.sort_array(F.collect_list(F.struct("df", "term"))).alias("t"))
+    queries = written(queries.select("query_id", "query_hash", F.col("t.term").alias("terms"), F.col("t.df").alias("dfs"),
+                                     F.size("t").alias("n")), "queries")
+    blocks = -(-queries.count() // query_block)
+    found = docs.sparkSession.createDataFrame([], "query_id long, query_hash long, doc_id long, score double")
+    for b in range(blocks):
+        mine = queries.where(F.pmod(F.xxhash64("query_id", "query_hash", F.lit("block")), F.lit(blocks)) == b).toArrow()
+        if mine.num_rows:
+            found = found.unionByName(_answer(shards, mine, total, mean, k))
     best = Window.partitionBy("query_id", "query_hash").orderBy(F.col("score").desc(), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
