@@ -53,8 +53,3 @@ def format_money(cents, prefix: str = "$", suffix: str = " USD",
     if legacy_null_concat:
         text = F.coalesce(text, F.lit(""))
     return F.concat(F.lit(prefix), text, F.lit(suffix))
-
-
-def format_amount(value, prefix: str = "$", suffix: str = " USD") -> Column:
-    """Format a double already rounded to cents (e.g. a unit price)."""
-    return format_money(to_cents(value), prefix=prefix, suffix=suffix)

@@ -9,7 +9,7 @@ must carry with a non-null value to be valid.
 from __future__ import annotations
 
 from pyspark.sql.types import (ArrayType, DataType, DoubleType, LongType, MapType,
-                               StringType, StructField, StructType)
+                               StringType, StructField, StructType, VariantType)
 
 S = StringType()
 D = DoubleType()
@@ -87,6 +87,19 @@ REQUIRED = {
                      *[n for n in _each("pending_deductions", _DEDUCTION) if n != "pending_deductions"]],
 }
 
+# Fields that must be present but may be null, and numbers that have a
+# value where they are missing (null stays null there).
+PRESENT = {
+    "customer": ["external_id"],
+    "invoice": ["external_invoice"],
+    "credit_grant": ["reason", "deductions[].invoice_id", "pending_deductions[].invoice_id"],
+}
+DEFAULTS = {
+    "customer": {},
+    "invoice": {},
+    "credit_grant": {"balance.including_pending": 0, "balance.excluding_pending": 0},
+}
+
 # Text fields holding timestamps; a validated read types them as
 # ``timestamp_ntz`` (wall-clock time as written) and rejects bad text.
 TIMESTAMPS = {
@@ -123,3 +136,22 @@ def as_text_leaves(dtype: DataType) -> DataType:
     if isinstance(dtype, (DoubleType, LongType)):
         return StringType()
     return dtype
+
+
+def reading_schema(entity: str) -> StructType:
+    """Text leaves, and a variant for each field of ``PRESENT`` and
+    ``DEFAULTS``: the one type in which a JSON null (a variant null) and a
+    missing field (null) differ, in the same parse."""
+    told_apart = {p.replace("[]", "") for p in [*PRESENT[entity], *DEFAULTS[entity]]}
+
+    def read(dtype: DataType, path: str) -> DataType:
+        if path in told_apart:
+            return VariantType()
+        if isinstance(dtype, StructType):
+            return StructType([StructField(f.name, read(f.dataType, f"{path}.{f.name}".lstrip(".")), True)
+                               for f in dtype.fields])
+        if isinstance(dtype, ArrayType):
+            return ArrayType(read(dtype.elementType, path), True)
+        return as_text_leaves(dtype)
+
+    return read(ENTITIES[entity], "")

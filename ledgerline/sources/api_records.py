@@ -47,7 +47,7 @@ from ledgerline.sources.sinks import build_once
 from ledgerline.sources.driver_tables import USD, plan_id, plan_name, read, status_name
 
 PAGE_SIZE = 100
-LANDING = "landed"
+LANDING = "landed-2"  # another number where what lands changes
 ADJUSTED_PRIORITIES = ("1-URGENT", "2-HIGH")
 ADJUSTMENT_RATE = 0.02
 
@@ -229,11 +229,36 @@ def invoice_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("invoice_adjustments", F.array()).alias("invoice_adjustments"),
     )
     text = F.regexp_replace(F.to_json(rec), r'"total":"(-?[0-9.]+)"', '"total":$1')
-    return o.select(F.col("o_custkey").alias("page_id"), text.alias("json"))
+    return o.select(F.col("o_custkey").alias("page_id"), F.col("o_orderkey").alias("order_key"), text.alias("json"))
+
+
+# Fixed rule of the landed invoice pages: of every so many order keys one
+# has a text where an object belongs.
+MALFORMED = (997, 5)
+
+
+def invoice_page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice pages as landed text, one envelope per line: broken records
+    as in ``invoice_json_lines``, odd ones as in ``MALFORMED``, and failed
+    and cut-off pages as among the customer pages.  A page holds the
+    invoices of ``PAGE_SIZE`` order keys, which are unique."""
+    text = F.concat(F.lit('{"external_invoice":null,'), F.substring("json", 2, 1 << 30))
+    odd = F.regexp_replace(text, r'"credit_type":\{"id":"USD","name":"USD \(cents\)"\},"customer_custom',
+                           '"credit_type":"USD","customer_custom')
+    record = F.when(F.col("order_key") % MALFORMED[0] == MALFORMED[1], odd).otherwise(text)
+    rows = invoice_json_lines(spark, sf_dir).select(
+        F.floor(F.col("order_key") / PAGE_SIZE).alias("page_no"), F.struct("order_key", record.alias("record")).alias("r"))
+    pages = rows.groupBy("page_no").agg(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["record"]).alias("records"))
+    n, kind = F.col("page_no").cast("string"), F.col("page_no") % FAILED_PAGE[0]
+    whole = F.concat(F.lit('{"data":['), F.array_join("records", ","), F.lit('],"next_page":null,"error":null}'))
+    return pages.select(F.when(kind == FAILED_PAGE[1], F.concat(F.lit('{"error":"page '), n, F.lit(': no answer"}')))
+                        .when(kind == CUT_OFF_PAGE[1], F.concat(F.lit('{"page":'), n, F.lit(',"data":[{"id":')))
+                        .otherwise(whole).alias("value"))
 
 
 SOURCES = {"invoice_records": ("orders", "lineitem", "part"), "grant_records": ("orders", "lineitem"),
-           "invoice_json": ("orders", "lineitem", "part"), "customer_pages": ("customer",)}
+           "invoice_json": ("orders", "lineitem", "part"), "invoice_pages": ("orders", "lineitem", "part"),
+           "customer_pages": ("customer",)}
 
 
 def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -303,5 +328,12 @@ def landed_customer_pages(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def landed_invoice_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Lands the invoice pages and returns their folder."""
+    path = landing_path(spark, sf_dir, "invoice_pages")
+    build_once(spark, path, lambda: invoice_page_lines(spark, sf_dir), fmt="text")
+    return path
+
+
 LANDINGS = {"invoice_records": landed_invoice_records, "grant_records": landed_grant_records,
-            "invoice_json": landed_invoice_json, "customer_pages": landed_customer_pages}
+            "invoice_json": landed_invoice_json, "invoice_pages": landed_invoice_pages, "customer_pages": landed_customer_pages}

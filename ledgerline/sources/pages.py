@@ -34,15 +34,25 @@ def read_pages(spark: SparkSession, path: str, record: StructType, multi_line: b
 
     ``multi_line=True`` for pretty-printed one-envelope-per-file pages
     (one task per file); JSON lines (one envelope per line) split freely.
+
+    A page with text that is no envelope, or with a value that is not of
+    its declared type, has the fault as its ``error``, whichever columns
+    are read later: each page is found by either ``explode_pages`` or
+    ``page_errors``.  Numbers are parsed as text for that.  To keep the
+    good records of such a page use :mod:`ledgerline.sources.intake`.
     """
-    schema = schemas.page_schema(record, single=single).add("_unreadable", StringType())
+    schema = schemas.page_schema(schemas.as_text_leaves(record), single=single).add("_unreadable", StringType())
     pages = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
              .option("columnNameOfCorruptRecord", "_unreadable").json(path)
              .select("*", F.col("_metadata.file_path").alias("source_file")))
-    # A page that cannot be read goes the way of an error page.
-    error = F.coalesce("error", F.when(F.col("_unreadable").isNotNull(),
-                                       F.concat(F.lit("unreadable page: "), F.col("_unreadable"))))
-    return pages.withColumn("error", error).drop("_unreadable")
+    data = F.col("data")
+    faults = _bad_number_reasons(data, record if single else ArrayType(record), "data")
+    # The size reads ``data`` whole, so that no pruning hides a fault from the parser.
+    all_read = F.lit(False) if single else F.size(data) < -1
+    error = F.coalesce("error", F.when(F.col("_unreadable").isNotNull() | all_read,
+                                       F.concat(F.lit("unreadable page: "), F.col("_unreadable"))), *faults)
+    typed = data if not _has_numeric(record) else _typed(data, record if single else ArrayType(record))
+    return pages.withColumn("error", error).withColumn("data", typed).drop("_unreadable")
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
@@ -81,10 +91,17 @@ def _lacks(value: Column, path: list[str]) -> Column:
     return field.isNotNull() & _lacks(field, rest) if rest else field.isNull()
 
 
+def _number(text: Column, dtype: DataType) -> Column:
+    """Text as a number; ``5.0`` is an integer too."""
+    if isinstance(dtype, LongType):
+        return F.coalesce(text.try_cast(dtype), text.try_cast("decimal(38,10)").try_cast(dtype))
+    return text.try_cast(dtype)
+
+
 def _typed(field_text: Column, dtype: DataType) -> Column:
     """Text-read value back to its declared type (nested numbers too)."""
     if isinstance(dtype, (DoubleType, LongType)):
-        return field_text.try_cast(dtype)
+        return _number(field_text, dtype)
     if isinstance(dtype, StructType):
         return F.when(field_text.isNotNull(), F.struct(*[
             _typed(field_text.getField(f.name), f.dataType).alias(f.name) for f in dtype.fields]))
@@ -109,7 +126,7 @@ def _bad_number_reasons(text: Column, dtype: DataType, path: str) -> list[Column
     """One reason per numeric leaf that is present but not a number."""
     out = []
     if isinstance(dtype, (DoubleType, LongType)):
-        number = text.rlike(NUMBER[type(dtype)]) & text.try_cast(dtype).isNotNull()
+        number = text.rlike(NUMBER[type(dtype)]) & _number(text, dtype).isNotNull()
         out.append(F.when(text.isNotNull() & ~number, F.lit(f"{path}: not a number")))
     elif isinstance(dtype, StructType):
         for f in dtype.fields:
@@ -160,9 +177,3 @@ def validate_records(parsed_text: DataFrame, record: StructType, required: list[
         bad_pages = rejects.select(all_or_nothing_by).distinct()
         valid = valid.join(bad_pages, all_or_nothing_by, "left_anti")
     return valid, rejects
-
-
-def parse_records(text_df: DataFrame, text_col: str, record: StructType,
-                  record_col: str = "r") -> DataFrame:
-    """JSON text records to a struct with numeric leaves kept as text."""
-    return text_df.withColumn(record_col, F.from_json(F.col(text_col), schemas.as_text_leaves(record)))
