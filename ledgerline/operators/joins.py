@@ -8,8 +8,11 @@ partitions of the large side.  Nothing here is hinted.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 
 def merge_left_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
@@ -30,9 +33,10 @@ def merge_left_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on:
     lsel = [F.col(c).alias(c + suffixes[0] if c in shared else c) for c in left.columns]
     rsel = [F.col(c).alias(c + suffixes[1] if c in shared else c)
             for c in right.columns if not (same_key and c == right_on)]
-    l2 = left.select(*lsel, F.col(left_on).alias("__lk"))
-    r2 = right.select(*rsel, F.col(right_on).alias("__rkey"))
-    return left_join_skew_safe(l2, r2, "__lk", "__rkey", null_safe=null_safe).drop("__lk", "__rkey")
+    lkey, rkey = unused(["__lk", "__rk"], [*left.columns, *right.columns])
+    l2 = left.select(*lsel, F.col(left_on).alias(lkey))
+    r2 = right.select(*rsel, F.col(right_on).alias(rkey))
+    return left_join_skew_safe(l2, r2, lkey, rkey, null_safe=null_safe).drop(lkey, rkey)
 
 
 def lookup_last_wins(names: DataFrame, name_col: str, value_col: str, order_col: str) -> DataFrame:
@@ -61,21 +65,78 @@ def semi_reduce(big: DataFrame, big_key: str, small: DataFrame, small_key: str)
     return big.join(keys, big[big_key] == keys["__semi_key"], "left_semi")
 
 
+# Sizes of the frequent-items sketch: keys it reports, keys it tracks.
+MOST_HOT, TRACKED = 100, 10_000
+# A key is hot above this many fair shares of a shuffle partition.
+HOT_SHARES = 2
+# Below this many rows a partition needs no help.
+HOT_ROWS = 100_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[list, int]:
+    """(values, parts): the keys of ``df`` with more rows than
+    ``HOT_SHARES`` shuffle partitions should hold (null is a key), and
+    into how many parts the hottest is to be cut.
+
+    A frequent-items sketch: mergeable, one pass over the key column, at
+    most ``MOST_HOT`` values back.  A key that holds more than about
+    1/3,000 of the rows cannot escape it.
+    """
+    kind = df.schema[key].dataType
+    if not isinstance(kind, (NumericType, StringType, BooleanType, DateType, TimestampType, TimestampNTZType)):
+        return [], 1
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = df.select(F.col(key).alias("k")).agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(k, {MOST_HOT}, {TRACKED})").alias("top")).first()
+    fair = max(found["n"] / partitions, 1)
+    hot = [r for r in found["top"] or [] if r["count"] > max(HOT_SHARES * fair, hot_rows)]
+    return [r["item"] for r in hot], min(partitions, max([1, *(math.ceil(r["count"] / fair) for r in hot)]))
+
+
 def left_join_skew_safe(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                        null_safe: bool = False) -> DataFrame:
+                        null_safe: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``left LEFT JOIN right`` that stays balanced when one right-side
     key holds a large share of the rows.
 
-    A left outer join can only split skewed partitions of its left side;
-    here the matches come from an inner join (AQE may split either side)
-    and the unmatched left rows from an anti join against the *distinct*
-    right keys (the hot key collapses to one row before the shuffle).
+    A left outer join can only split skewed partitions of its left side.
+    Here the hot keys of the right side are found by a sketch of its key
+    column (:func:`hot_keys`).  Their right rows are dealt into parts and
+    their left rows, of which a lookup side has few, are copied to each
+    part; all other rows stay as they are.  It is one join, in which the
+    right side is read once.  A hot key has right rows, so copies of a
+    left row that meet none in their part are dropped, not null-extended.
     """
-    def cond(lk, rk):
+    hot, parts = hot_keys(right, right_key, hot_rows)
+    hot = [k for k in hot if null_safe or k is not None]
+
+    def same(lk, rk):
         return lk.eqNullSafe(rk) if null_safe else lk == rk
-    matched = left.join(right, cond(left[left_key], right[right_key]), "inner")
-    rkeys = right.select(F.col(right_key).alias("__rk")).distinct()
-    unmatched = left.join(rkeys, cond(left[left_key], rkeys["__rk"]), "left_anti")
-    for c in right.columns:
-        unmatched = unmatched.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
-    return matched.unionByName(unmatched)
+
+    if not hot:
+        return left.join(right, same(left[left_key], right[right_key]), "left")
+    part, met, copied = unused(["__part", "__met", "__copied"], left.columns + right.columns)
+    rpart = unused([part + "_r"], left.columns + right.columns)[0]
+
+    def is_hot(key):
+        known = [k for k in hot if k is not None]
+        found = F.coalesce(key.isin(known), F.lit(False)) if known else F.lit(False)
+        return found | key.isNull() if None in hot else found
+
+    dealt = right.withColumn(rpart, F.when(is_hot(F.col(right_key)), F.monotonically_increasing_id() % parts).otherwise(0)) \
+        .withColumn(met, F.lit(True))
+    copies = left.withColumn(copied, is_hot(F.col(left_key))).withColumn(
+        part, F.explode(F.sequence(F.lit(0), F.when(F.col(copied), parts - 1).otherwise(0))))
+    joined = copies.join(dealt, same(copies[left_key], dealt[right_key]) & (copies[part] == dealt[rpart]), "left")
+    return joined.where(F.col(met).isNotNull() | ~F.col(copied)).drop(part, rpart, met, copied)
+
+
+def unused(names: list[str], taken: list[str]) -> list[str]:
+    """Names like ``names`` that no column has."""
+    used = {t.lower() for t in taken}
+    out = []
+    for n in names:
+        while n in used:
+            n += "_"
+        used.add(n)
+        out.append(n)
+    return out

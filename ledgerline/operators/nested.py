@@ -16,8 +16,17 @@ The width depends on the data, so it takes one pass for the shape and
 then a single projection (no shuffle of records).  The shape holds the
 length of the array, or the keys of the map, at each concrete position
 (``line_items``, ``line_items_0_sub_line_items``, ...), so there is a
-column exactly for each position that some record has.  Only the shape,
-which is the list of the result's columns, reaches the driver.
+column exactly for each position that some record has.
+
+The shape is a table (``shape_table``) that merges: landed data keeps the
+shape of each part beside it (``land_part``), and the shape of all parts
+is a merge of these small tables instead of a pass over the records.
+What reaches the driver is bounded: the ``MOST_ENTRIES`` containers and
+map keys that most records have, and ``MOST_ITEMS`` positions an array.
+Data beyond that (open-ended map keys, say) has a shape that is ``cut``:
+``flatten_wide`` then asks for ``allow_cut=True`` and gives the columns
+of the shape, and ``flatten_rest`` gives every other leaf in the long
+form, so both together are whole.
 
 ``flatten_long`` gives the same leaves as rows (name, value) in one
 pass: no shape, and no width.  ``explode_lines`` is the long form of
@@ -26,7 +35,9 @@ invoices with typed columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
@@ -68,22 +79,80 @@ def _containers(dtype: DataType, value: Column, path: Column) -> list[Column]:
     return out if isinstance(dtype, StructType) else [_or_none(c, _CONTAINERS) for c in out]
 
 
-def flatten_shape(df: DataFrame) -> tuple[dict, dict]:
-    """One pass: the longest array and the sorted map keys at each
-    concrete position (a tuple of names, indexes and keys)."""
+MOST_ENTRIES, MOST_ITEMS = 20_000, 1_000
+
+
+class Shape(NamedTuple):
+    """Length of each array and keys of each map by concrete position (a
+    tuple of names, indexes and keys); whether the data has more."""
+
+    sizes: dict
+    keys: dict
+    cut: bool = False
+
+
+def shape_table(df: DataFrame) -> DataFrame:
+    """(path, key, size, n): each array position with its longest length,
+    each map key, and how many records have it.  One pass, combined in
+    the tasks."""
     found = []
     for f in df.schema.fields:
         found += _containers(f.dataType, F.col(f"`{f.name}`"), F.array(F.lit(f.name)))
+    entries = df.select(F.explode(_join(found, _CONTAINERS)).alias("e")).select("e.*")
+    return entries.groupBy("path", "key").agg(F.max("size").alias("size"), F.count("*").alias("n"))
+
+
+def merge_shapes(tables: DataFrame) -> DataFrame:
+    """One shape table of the union of several."""
+    return tables.groupBy("path", "key").agg(F.max("size").alias("size"), F.sum("n").alias("n"))
+
+
+def read_shape(table: DataFrame, most_entries: int = MOST_ENTRIES, most_items: int = MOST_ITEMS) -> Shape:
+    """The part of a shape table that makes columns."""
+    order = [F.col("n").desc(), F.size("path"), F.array_join("path", "\0"), "key"]
+    rows = table.orderBy(*order).limit(most_entries + 1).collect()
+    cut = len(rows) > most_entries
+    # A container counts only if the map keys on its path do.
+    kept: set = set()
     sizes: dict = {}
     keys: dict = {}
-    if found:
-        entries = df.select(F.explode(F.concat(*found)).alias("e")).select("e.*")
-        for r in entries.groupBy("path", "key").agg(F.max("size").alias("size")).collect():
-            if r["key"] is None:
-                sizes[tuple(r["path"])] = max(r["size"] or 0, 0)
-            else:
-                keys.setdefault(tuple(r["path"]), []).append(r["key"])
-    return sizes, {p: sorted(k) for p, k in keys.items()}
+    maps = {tuple(r["path"]) for r in rows if r["key"] is not None}
+    for r in sorted(rows[:most_entries], key=lambda r: len(r["path"])):
+        path = tuple(r["path"])
+        if any(path[:n] in maps and (path[:n], path[n]) not in kept for n in range(1, len(path))):
+            cut = True
+        elif r["key"] is None:
+            size = max(r["size"] or 0, 0)
+            cut |= size > most_items
+            sizes[path] = min(size, most_items)
+        else:
+            kept.add((path, r["key"]))
+            keys.setdefault(path, []).append(r["key"])
+    return Shape(sizes, {p: sorted(k) for p, k in keys.items()}, cut)
+
+
+def flatten_shape(df: DataFrame, most_entries: int = MOST_ENTRIES, most_items: int = MOST_ITEMS) -> Shape:
+    """The shape of records without a stored one: one pass."""
+    return read_shape(shape_table(df), most_entries, most_items)
+
+
+def _shape_folder(path: str, part: str = "") -> str:
+    return f"{path.rstrip('/')}-shape{part}"
+
+
+def land_part(df: DataFrame, path: str, part: str) -> None:
+    """Writes records as part ``part`` of ``path``, and their shape beside
+    it; a part that lands again replaces its earlier self."""
+    folder = f"/part={part}"
+    df.write.mode("overwrite").parquet(path.rstrip("/") + folder)
+    written = df.sparkSession.read.schema(df.schema).parquet(path.rstrip("/") + folder)
+    shape_table(written).write.mode("overwrite").parquet(_shape_folder(path, folder))
+
+
+def landed_shape(spark: SparkSession, path: str, most_entries: int = MOST_ENTRIES, most_items: int = MOST_ITEMS) -> Shape:
+    """The shape of all landed parts, from their shape tables."""
+    tables = spark.read.schema("path array<string>, key string, size int, n long").parquet(_shape_folder(path))
+    return read_shape(merge_shapes(tables), most_entries, most_items)
 
 
 def _project(dtype: DataType, path: tuple, value: Column, sep: str, sizes: dict, keys: dict, out: list) -> None:
@@ -107,17 +176,33 @@ def _element(dtype: DataType, path: tuple, value: Column, sep: str, sizes: dict,
         _project(dtype, path, value, sep, sizes, keys, out)
 
 
-def flatten_wide(df: DataFrame, sep: str = "_",
-                 shape: tuple[dict, dict] | None = None) -> DataFrame:
-    """Nested records to one wide row each (see module doc)."""
-    sizes, keys = shape if shape is not None else flatten_shape(df)
+def flat_columns(schema: StructType, shape: Shape, sep: str = "_", root: Column | None = None) -> dict[str, Column]:
+    """Name -> expression of the wide row's columns; ``root``: the struct
+    that holds the record, if it isn't the row itself."""
     out: list = []
-    for f in df.schema.fields:
-        _project(f.dataType, (f.name,), F.col(f"`{f.name}`"), sep, sizes, keys, out)
+    for f in schema.fields:
+        value = F.col(f"`{f.name}`") if root is None else root.getField(f.name)
+        _project(f.dataType, (f.name,), value, sep, shape.sizes, shape.keys, out)
     order: dict = {}
     for n, c in out:
         order[n] = c          # later name wins, first position kept
-    return df.select(*[c.alias(n) for n, c in order.items()])
+    return order
+
+
+def flatten_wide(df: DataFrame, sep: str = "_", shape: Shape | None = None, allow_cut: bool = False) -> DataFrame:
+    """Nested records to one wide row each (see module doc)."""
+    shape = shape or flatten_shape(df)
+    if shape.cut and not allow_cut:
+        raise ValueError("the records have more positions or map keys than columns are made for; pass allow_cut=True "
+                         "and take the rest with flatten_rest")
+    return df.select(*[c.alias(n) for n, c in flat_columns(df.schema, shape, sep).items()])
+
+
+def flatten_rest(df: DataFrame, keep: list[str], shape: Shape, sep: str = "_") -> DataFrame:
+    """The leaves that a cut shape has no column for, in the long form."""
+    columns = list(flat_columns(df.schema, shape, sep))
+    long = flatten_long(df, keep, sep)
+    return long.where(~F.col("name").isin(columns)) if columns else long
 
 
 def _leaves(dtype: DataType, value: Column, name: Column, sep: str) -> list[Column]:

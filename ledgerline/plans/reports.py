@@ -23,7 +23,8 @@ from ledgerline.functions.money import (cents_to_units, divide_safe, format_mone
 from ledgerline.functions.parsing import json_array_first, kv_get
 from ledgerline.operators.aggregates import slice_totals  # noqa: F401  (re-exported)
 from ledgerline.operators.filters import finalized_positive, ts_range
-from ledgerline.operators.joins import semi_reduce
+from ledgerline.operators.joins import left_join_skew_safe, semi_reduce
+from ledgerline.operators.nested import Shape, flat_columns, flatten_shape
 from ledgerline.operators.windows import latest_per_key
 
 
@@ -184,3 +185,21 @@ def customer_summary(invoices: DataFrame, key: str = "customer_id",
                      columns: tuple[str, ...] = ("total", "subtotal")) -> DataFrame:
     """Per-customer sums of invoice amounts."""
     return invoices.groupBy(key).agg(*[F.sum(c).alias(c) for c in columns])
+
+
+def customer_invoice_join(customers: DataFrame, invoices: DataFrame, customer_shape: Shape | None = None,
+                          invoice_shape: Shape | None = None, suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+    """Every flattened customer beside its flattened invoices, names that
+    both have with suffixes.  Records are joined nested, on text keys, and
+    flattened after the join: a shuffle carries a record once, not as
+    hundreds of mostly null columns, and invoices are read once."""
+    left = flat_columns(customers.schema, customer_shape or flatten_shape(customers), root=F.col("left_record"))
+    right = flat_columns(invoices.schema, invoice_shape or flatten_shape(invoices), root=F.col("right_record"))
+    whole = lambda df: F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    joined = left_join_skew_safe(
+        customers.select(whole(customers).alias("left_record"), F.col("id").cast("string").alias("left_key")),
+        invoices.select(whole(invoices).alias("right_record"), F.col("customer_id").cast("string").alias("right_key")),
+        "left_key", "right_key")
+    shared = left.keys() & right.keys()
+    return joined.select(*[c.alias(n + suffixes[0] if n in shared else n) for n, c in left.items()],
+                         *[c.alias(n + suffixes[1] if n in shared else n) for n, c in right.items()])

@@ -42,6 +42,7 @@ from pyspark.sql.types import ArrayType
 
 from ledgerline import schemas
 from ledgerline.functions.money import to_cents
+from ledgerline.operators import nested
 from ledgerline.session import shared_path
 from ledgerline.sources.sinks import build_once
 from ledgerline.sources.driver_tables import USD, plan_id, plan_name, read, status_name
@@ -286,6 +287,12 @@ def landed_invoice_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_once(spark, landing_path(spark, sf_dir, "invoice_records"), build)
 
 
+def landed_invoice_shape(spark: SparkSession, sf_dir: str) -> nested.Shape:
+    """The shape of the landed invoices, kept beside them."""
+    path = landing_path(spark, sf_dir, "invoice_records") + "-shape"
+    return nested.read_shape(build_once(spark, path, lambda: nested.shape_table(landed_invoice_records(spark, sf_dir))))
+
+
 def landed_grant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         return grant_records(spark, sf_dir)
@@ -335,5 +342,5 @@ def landed_invoice_pages(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-LANDINGS = {"invoice_records": landed_invoice_records, "grant_records": landed_grant_records,
+LANDINGS = {"invoice_records": landed_invoice_records, "invoice_shape": landed_invoice_shape, "grant_records": landed_grant_records,
             "invoice_json": landed_invoice_json, "invoice_pages": landed_invoice_pages, "customer_pages": landed_customer_pages}
