@@ -20,10 +20,11 @@ ACCURACY = 100_000  # of the sketches that narrow down exact quantiles
 GATHERED = 10_000   # values at most that their last step sorts in one buffer
 
 
-def slice_totals(invoices: DataFrame, by: list[str], value: str = "total",
+def slice_totals(invoices: DataFrame, by: list[str], value: str | tuple[str, ...] = "total",
                  customer_name: str | None = None, keep_null_keys: bool = False,
                  name_col: str = "customer_name") -> DataFrame:
-    """Sum of ``value`` per ``customer_name`` plus caller-chosen columns.
+    """Sum of ``value`` (or of each of several) per ``customer_name`` plus
+    caller-chosen columns.
 
     ``customer_name`` given as a string adds it as a constant column
     (one customer's invoices); otherwise the frame must carry
@@ -37,7 +38,8 @@ def slice_totals(invoices: DataFrame, by: list[str], value: str = "total",
     keys = [name_col] + [c for c in by if c != name_col]
     if not keep_null_keys:
         df = df.dropna(subset=keys)
-    return (df.groupBy(*keys).agg(F.sum(value).alias(value))
+    values = [value] if isinstance(value, str) else value
+    return (df.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
             .orderBy(*[F.col(k).asc_nulls_last() for k in keys]))
 
 
@@ -154,3 +156,39 @@ def describe_numeric(df: DataFrame, columns: list[str],
                         [StructField(n, DoubleType()) for n in
                          ("mean", "std", "min", "p25", "p50", "p75", "max")])
     return spark.createDataFrame(rows, schema)
+
+
+# Size parameter of the quantile sketches.
+SKETCH_K = 2_000
+
+
+def sketch_rank_error(k: int = SKETCH_K) -> float:
+    """By how much (as a share of the rows) the rank of a sketch's
+    quantile can be off, with 99 % confidence, merged or not."""
+    return 2.296 / k ** 0.9021
+
+
+def quantile_sketches(df: DataFrame, columns: list[str], by: list[str] | None = None, k: int = SKETCH_K) -> DataFrame:
+    """(``by``, column, n, min, max, sketch): one pass that can be stored
+    for each landed part and merged at report time.  Nulls are left out."""
+    by = by or []
+    x = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    found = df.groupBy(*by).agg(*[F.struct(
+        F.lit(c).alias("column"), F.count(x[c]).alias("n"), F.min(x[c]).alias("min"), F.max(x[c]).alias("max"),
+        F.kll_sketch_agg_double(x[c], k).alias("sketch")).alias(f"s{i}") for i, c in enumerate(columns)])
+    return found.select(*by, F.explode(F.array(*[f"s{i}" for i in range(len(columns))])).alias("s")).select(*by, "s.*")
+
+
+def merge_sketches(sketches: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One row a column from the sketches of any number of parts."""
+    return sketches.where("n > 0").groupBy("column").agg(
+        F.sum("n").alias("n"), F.min("min").alias("min"), F.max("max").alias("max"),
+        F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def sketched_quantiles(merged: DataFrame, probs: tuple[float, ...] = QUANTILES) -> DataFrame:
+    """(column, n, min, max, p, quantile): a value of the column whose rank
+    is within :func:`sketch_rank_error` of ``p``."""
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias("quantile"))
+                               for p in probs])).alias("q")
+    return merged.select("column", "n", "min", "max", each).select("column", "n", "min", "max", "q.p", "q.quantile")

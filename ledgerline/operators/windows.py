@@ -1,7 +1,7 @@
 """Ranking operators.
 
 ``latest_per_key`` answers "the newest row per key" with an aggregate
-(``max_by`` over a struct of the ordering columns) instead of
+(``max_by`` over the ordering columns) instead of
 ``row_number() ... = 1``.  The aggregate is combined map-side, so a key
 holding a third of all rows is reduced before the shuffle and never
 lands whole in one task.  The result equals ``row_number() = 1`` with
@@ -14,28 +14,82 @@ every row's rank.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
+                               LongType, ShortType, TimestampNTZType, TimestampType)
 
 
 def _as_list(x) -> list:
     return list(x) if isinstance(x, (list, tuple)) else [x]
 
 
+# Digits that an ordering column takes in a packed ordering.
+DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 20, BooleanType: 1, DateType: 7,
+          TimestampType: 18, TimestampNTZType: 18}
+MOST_DIGITS = 38
+# Types whose aggregation buffer has a fixed width.
+FIXED = (*DIGITS, FloatType, DoubleType, DecimalType)
+
+
+def _from_one(column: str, kind: DataType) -> Column:
+    """An integer from 1 that orders like the column; null is 0."""
+    c = F.col(f"`{column}`")
+    if isinstance(kind, BooleanType):
+        number = c.cast("int") + 1
+    elif isinstance(kind, DateType):
+        number = F.unix_date(c) + 719_163       # days since 0001-01-01, from 1
+    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        # By its parts where it has no zone: the session's zone must not bend the order.
+        micros = F.unix_micros(c) if isinstance(kind, TimestampType) else (
+            (F.unix_date(c.cast("date")).cast("long") * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60) * 1_000_000
+            + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+        number = micros + 62_135_683_200_000_000   # since the day before 0001-01-01, whatever the zone
+    else:
+        least = {ByteType: -(1 << 7), ShortType: -(1 << 15), IntegerType: -(1 << 31), LongType: -(1 << 63)}[type(kind)]
+        number = c.cast("decimal(20,0)") + F.lit(Decimal(1 - least)).cast("decimal(20,0)")
+    return F.coalesce(number.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+
+
+def packed_ordering(df: DataFrame, order_by: list[str]) -> Column | None:
+    """One decimal that orders like the tuple of columns (nulls least), or
+    None if their types or number don't allow it."""
+    kinds = [df.schema[c].dataType for c in order_by]
+    if not all(type(k) in DIGITS for k in kinds) or sum(DIGITS[type(k)] for k in kinds) > MOST_DIGITS:
+        return None
+    packed = None
+    for c, kind in zip(order_by, kinds):
+        part = _from_one(c, kind)
+        scale = F.lit(Decimal(10 ** DIGITS[type(kind)])).cast(f"decimal({DIGITS[type(kind)] + 1},0)")
+        packed = part if packed is None else (packed * scale).cast("decimal(38,0)") + part
+    return packed.cast("decimal(38,0)")
+
+
 def latest_per_key(df: DataFrame, keys, order_by, descending: bool = True) -> DataFrame:
     """One row per ``keys``: the row with the greatest (or least when
     ``descending=False``) ``order_by`` tuple.
 
     Rows whose ordering columns are all null lose to any non-null row,
     as a descending ``ROW_NUMBER`` with nulls last would have it.
+
+    The ordering must be total among different rows of a key.  Ordering
+    columns of integer, date or timestamp type are packed into one decimal
+    (:func:`packed_ordering`); with payload of fixed width every buffer is
+    fixed too, and Spark aggregates by hash instead of by sort.  Other
+    orderings and payloads are compared as structs.
     """
     keys = _as_list(keys)
     order_by = _as_list(order_by)
     payload = [c for c in df.columns if c not in keys]
+    pick = F.max_by if descending else F.min_by
+    packed = packed_ordering(df, order_by)
+    if packed is not None and all(isinstance(df.schema[c].dataType, FIXED) for c in payload):
+        return df.groupBy(*keys).agg(*[pick(F.col(f"`{c}`"), packed).alias(c) for c in payload])
     ordering = F.struct(*[F.col(c) for c in order_by])
     row = F.struct(*[F.col(c) for c in payload])
-    pick = F.max_by(row, ordering) if descending else F.min_by(row, ordering)
-    return (df.groupBy(*keys).agg(pick.alias("__row"))
+    return (df.groupBy(*keys).agg(pick(row, ordering).alias("__row"))
             .select(*keys, *[F.col("__row")[c].alias(c) for c in payload]))
 
 

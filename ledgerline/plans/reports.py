@@ -47,8 +47,9 @@ def customer_statement(customers: DataFrame, invoices: DataFrame, grants: DataFr
     credits = (grants.where(F.col("balance").isNotNull())
                .select(F.col("customer_id").alias("cr_customer_id"), first_running.alias("running_balance"))
                .groupBy("cr_customer_id")
-               .agg(F.sum("running_balance").alias("credit_sum")))
-    credits = credits.select("cr_customer_id", to_cents(F.col("credit_sum") / F.lit(100.0)).alias("credit_balance_cents"))
+               # Decimal cents: a sum of doubles would depend on the order of the grants.
+               .agg(F.sum(F.col("running_balance").cast("decimal(28,6)")).alias("credit_sum")))
+    credits = credits.select("cr_customer_id", F.round("credit_sum", 0).cast("bigint").alias("credit_balance_cents"))
     j = (customers.select(F.col("id"), F.col("name"))
          .join(inv, F.col("id") == F.col("inv_customer_id"), "left")
          .join(credits, F.col("id") == F.col("cr_customer_id"), "left"))
@@ -171,14 +172,26 @@ def billings_by_plan(invoice: DataFrame, plan: DataFrame, customer: DataFrame, s
 
 
 def invoice_slices(invoices: DataFrame, by: list[str], customer_name: str | None = None,
-                   name_col: str = "customer_name", keep_null_keys: bool = False) -> DataFrame:
+                   name_col: str = "customer_name", keep_null_keys: bool = False,
+                   customers: DataFrame | None = None, values: tuple[str, ...] = ("total",)) -> DataFrame:
     """Interactive summary: finalized invoices with a positive total,
     ``adjusted_totals = total - invoice_adjustments_0_total`` (null when
-    there is no adjustment), then totals per customer and ``by``."""
+    there is no adjustment), then sums of ``values`` per customer and
+    ``by``.
+
+    The customer's name comes from ``customer_name`` (one customer's
+    invoices), from a column ``name_col`` of the invoices, or from
+    ``customers`` (id, name): then the sums are taken per customer id
+    before the join with the names.
+    """
     f = invoices.where(finalized_positive())
     adj = "invoice_adjustments_0_total"
     f = f.withColumn("adjusted_totals", F.col("total") - (F.col(adj) if adj in f.columns else F.lit(None)))
-    return slice_totals(f, by, customer_name=customer_name, keep_null_keys=keep_null_keys, name_col=name_col)
+    if customers is not None:
+        sums = f.groupBy("customer_id", *by).agg(*[F.sum(v).alias(v) for v in values])
+        names = customers.select(F.col("id").alias("c_id"), F.col("name").alias(name_col))
+        f = sums.join(names, sums.customer_id == names.c_id, "inner")
+    return slice_totals(f, by, value=values, customer_name=customer_name, keep_null_keys=keep_null_keys, name_col=name_col)
 
 
 def customer_summary(invoices: DataFrame, key: str = "customer_id",

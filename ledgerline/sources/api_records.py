@@ -44,11 +44,11 @@ from ledgerline import schemas
 from ledgerline.functions.money import to_cents
 from ledgerline.operators import nested
 from ledgerline.session import shared_path
-from ledgerline.sources.sinks import build_once
+from ledgerline.sources.sinks import build_once, publish
 from ledgerline.sources.driver_tables import USD, plan_id, plan_name, read, status_name
 
 PAGE_SIZE = 100
-LANDING = "landed-2"  # another number where what lands changes
+LANDING = "landed-3"  # another number where what lands changes
 ADJUSTED_PRIORITIES = ("1-URGENT", "2-HIGH")
 ADJUSTMENT_RATE = 0.02
 
@@ -302,11 +302,10 @@ def landed_grant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_invoice_json(spark: SparkSession, sf_dir: str) -> str:
     """Land the raw invoice records as JSON lines ``{"page_id": .., "record": {..}}``
     and return the folder; readers parse them in the scan."""
-    path = landing_path(spark, sf_dir, "invoice_json")
-    build_once(spark, path, lambda: invoice_json_lines(spark, sf_dir).select(
+    lines = lambda: invoice_json_lines(spark, sf_dir).select(
         F.concat(F.lit('{"page_id":'), F.col("page_id").cast("string"), F.lit(',"record":'), F.col("json"),
-                 F.lit("}")).alias("value")), fmt="text")
-    return path
+                 F.lit("}")).alias("value"))
+    return publish(spark, landing_path(spark, sf_dir, "invoice_json"), lambda to: lines().write.text(to))
 
 
 # Fixed rules of the landed page fixture: which pages the API answered
@@ -330,16 +329,14 @@ def customer_page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_customer_pages(spark: SparkSession, sf_dir: str) -> str:
     """Lands the customer pages and returns their folder."""
-    path = landing_path(spark, sf_dir, "customer_pages")
-    build_once(spark, path, lambda: customer_page_lines(spark, sf_dir), fmt="text")
-    return path
+    return publish(spark, landing_path(spark, sf_dir, "customer_pages"),
+                   lambda to: customer_page_lines(spark, sf_dir).write.text(to))
 
 
 def landed_invoice_pages(spark: SparkSession, sf_dir: str) -> str:
     """Lands the invoice pages and returns their folder."""
-    path = landing_path(spark, sf_dir, "invoice_pages")
-    build_once(spark, path, lambda: invoice_page_lines(spark, sf_dir), fmt="text")
-    return path
+    return publish(spark, landing_path(spark, sf_dir, "invoice_pages"),
+                   lambda to: invoice_page_lines(spark, sf_dir).write.text(to))
 
 
 LANDINGS = {"invoice_records": landed_invoice_records, "invoice_shape": landed_invoice_shape, "grant_records": landed_grant_records,

@@ -77,6 +77,27 @@ def read_raw_json(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return spark.read.text(path).withColumnRenamed("value", "json")
 
 
+def read_raw_variant(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Unvalidated passthrough with structure: one variant column
+    ``record`` for each record, parsed once in the scan; text that is no
+    JSON has a null record and itself in ``unreadable``."""
+    odd = spark.conf.get("spark.sql.columnNameOfCorruptRecord")
+    read = (spark.read.schema(f"record variant, `{odd}` string").option("singleVariantColumn", "record")
+            .option("multiLine", multi_line))
+    return read.json(path).withColumnRenamed(odd, "unreadable")
+
+
+def variant_elements(df: DataFrame, path: str = "$", column: str = "record", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each element of the array at ``path``."""
+    inner = F.try_variant_get(F.col(column), path, "array<variant>")
+    return df.select(*keep, F.explode(inner).alias(column))
+
+
+def discover_schema(df: DataFrame, column: str = "record") -> str:
+    """The schema that holds every record, as DDL text: one aggregate."""
+    return df.agg(F.schema_of_variant_agg(column)).first()[0]
+
+
 # What a number looks like; a cast alone would also take "12d" or "NaN".
 NUMBER = {DoubleType: r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$",
           LongType: r"^\s*[+-]?[0-9]+(\.0*)?\s*$"}
