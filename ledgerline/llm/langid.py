@@ -6,11 +6,12 @@ to each language's profile by the out-of-place distance: for each of its
 ranked n-grams the difference of the two ranks, or ``PROFILE`` if the
 language's profile lacks it.  The nearest language wins.
 
-Training reads about ``SAMPLE`` documents a language at most (chosen by a
-hash of the id, so the sample doesn't depend on the layout), never the
-held-out fold.  Their n-grams are counted in the
-tasks and summed by key; only the profiles (``PROFILE`` rows a language)
-reach the driver.  Prediction is narrow: each batch is ranked against
+Training reads about ``SAMPLE`` different texts a language at most (chosen
+by a hash of the text, so the sample depends neither on the layout nor on
+repeated ids and copies, and has one text at least of each language),
+never the held-out fold.  The ``MOST_LANGS`` labels with the most rows are
+learned.  n-grams are counted in the tasks and summed by key; only the
+profiles (``PROFILE`` rows a language) reach the driver.  Prediction is narrow: each batch is ranked against
 the profiles, with no shuffle, and reads nothing but the text.
 
 Defined results.  ``und`` with score 0 if the text is null, empty or has
@@ -36,6 +37,7 @@ from ledgerline.llm.common import id_and_text
 
 PROFILE = 400
 SAMPLE = 4000
+MOST_LANGS = 1000
 UNKNOWN = "und"
 
 
@@ -102,16 +104,19 @@ def train_profiles(docs: DataFrame, sample: int = SAMPLE) -> dict[str, list[int]
     """Profile (n-grams by rank) of each language."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.col("lang").cast("string").alias("lang"))
-    known = known.where(F.col("lang").isNotNull() & ~held_out())
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    known = known.where("lang IS NOT NULL AND text IS NOT NULL").where(~held_out())
+    spot = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    # Copies of a text count once; the text of the least hash is always in, so that no language goes missing.
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n"), F.min(spot).alias("least"),
+                                      F.count("*").alias("rows")).orderBy(F.col("rows").desc(), "lang").limit(MOST_LANGS).collect()
     if not sizes:
         return {}
-    # A share of each language, by a hash of the row: about ``sample`` rows at any size.
-    limit = F.lit(0.0)
-    for lang, n in sorted(sizes.items()):
-        limit = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(limit)
-    spot = (F.xxhash64("doc_id") % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003.0
-    chosen = known.where(spot < limit).select("lang", "text").where(F.col("text").isNotNull())
+    limit = F.lit(-1).cast("long")
+    for r in sorted(sizes, key=lambda r: r["lang"]):
+        share = min(1 << 40, (1 << 40) * sample // max(r["n"], 1))
+        limit = F.when(F.col("lang") == r["lang"], F.lit(max(share, r["least"]))).otherwise(limit)
+    chosen = known.where(spot <= limit).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+    chosen = chosen.select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

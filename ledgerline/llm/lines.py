@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import cut_lineage
+from ledgerline.operators.joins import unused
 
 MIN_SITES = 8
 SKETCH_LOG2 = 12
@@ -78,38 +79,39 @@ def _without(texts: pd.Series, positions: pd.Series) -> pd.Series:
     return pd.Series([cut(t, p) for t, p in zip(texts, positions)], dtype=object)
 
 
-def _with_cleaned(docs: DataFrame, min_sites: int) -> DataFrame:
-    """All columns of ``docs``, and ``__clean`` and ``__dropped``."""
+def _with_cleaned(docs: DataFrame, min_sites: int) -> tuple[DataFrame, str, str]:
+    """All columns of ``docs``, the cleaned text and the number of lines
+    dropped, and these two columns' names."""
     rows = _rows(docs)
     spread = cut_lineage(spread_lines(rows, min_sites))
     lines = _lines(rows).select("doc_id", "text_hash", "pos", *_KEY)
     hits = lines.join(spread, _KEY).where(F.col("doc_id") != F.col("first_id"))
-    hits = hits.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(
-        F.collect_set("pos").alias("__drop"))
-    joined = docs.join(hits, (docs["doc_id"].cast("long") == hits["__id"])
-                       & (F.xxhash64(docs["text"].cast("string")) == hits["__hash"]), "left")
+    own, hashed, drop, clean, dropped = unused(["own_id", "text_hash", "drop", "clean", "dropped"], docs.columns)
+    hits = hits.groupBy(F.col("doc_id").alias(own), F.col("text_hash").alias(hashed)).agg(F.collect_set("pos").alias(drop))
+    joined = docs.join(hits, (docs["doc_id"].cast("long") == hits[own])
+                       & (F.xxhash64(docs["text"].cast("string")) == hits[hashed]), "left")
     text = F.col("text").cast("string")
     without = F.pandas_udf(_without, "string")
-    clean = without(F.when(F.col("__drop").isNotNull(), text), F.col("__drop"))
-    return joined.withColumn("__clean", F.coalesce(clean, text)).withColumn(
-        "__dropped", F.coalesce(F.array_size("__drop"), F.lit(0)).cast("long"))
+    cleaned = without(F.when(F.col(drop).isNotNull(), text), F.col(drop))
+    return joined.withColumn(clean, F.coalesce(cleaned, text)).withColumn(
+        dropped, F.coalesce(F.array_size(drop), F.lit(0)).cast("long")), clean, dropped
 
 
 def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """The documents with cleaned texts, and ``n_chars`` to fit if there
     is such a column."""
-    new = {"text": F.col("__clean"), "n_chars": F.length("__clean").cast("long")}
-    cleaned = _with_cleaned(docs, min_sites)
+    cleaned, clean, _ = _with_cleaned(docs, min_sites)
+    new = {"text": F.col(clean), "n_chars": F.length(clean).cast("long")}
     return cleaned.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
 def line_report(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """(doc_id, text, n_lines, n_removed) of every row."""
-    cleaned = _with_cleaned(docs.select("doc_id", "text", "source"), min_sites)
+    cleaned, clean, dropped = _with_cleaned(docs.select("doc_id", "text", "source"), min_sites)
     n_lines = F.coalesce(F.size(F.split("text", "\n")).cast("long"), F.lit(0))
-    return cleaned.select("doc_id", F.col("__clean").alias("text"),
+    return cleaned.select("doc_id", F.col(clean).alias("text"),
                           F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
-                          F.col("__dropped").alias("n_removed"))
+                          F.col(dropped).alias("n_removed"))
 
 
 ORACLE = f"""

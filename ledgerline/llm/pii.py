@@ -10,11 +10,15 @@ in every document, and different values different ones:
 * numbers with parts (phone, social security number, IPv4 address, date)
   are coordinates (x, y, z); each round adds a keyed hash of two of them
   to the third, modulo its range.  Dates are days of their century, whose
-  number of days is the product of two such ranges.
+  number is the product of two such ranges; so is that of days above 12.
 * strings (mail names, card digits, keys) are two halves; each round adds
   a keyed hash of one half to the other, character by character, within
-  a character's class (digit, lower, upper; hexadecimal letters).  A
-  card's first digit stays and its check digit is computed anew.
+  a character's class (digit, lower, upper).  A card's first digit stays
+  and its check digit is computed anew.
+
+Each written form has a permutation of its own, so no two forms share a
+pseudonym: a date written with slashes is day first if it can be, and the
+others, month first with a day above 12, are permuted among themselves.
 
 Every row is handled by itself: no shuffle, nothing to the driver, no
 Python.  Whoever runs it in earnest passes a secret ``key``.
@@ -31,6 +35,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.joins import unused
+
 DEFAULT_KEY = "replace-with-a-secret"
 ROUNDS = 12
 
@@ -83,22 +89,21 @@ def _number_feistel(kind: str, key: str, parts: list[tuple[str, str]], result) -
 def _string_feistel(kind: str, key: str, value: str) -> str:
     """SQL: permutes a string within its characters' classes."""
     half = f"CAST(floor(length({value}) / 2) AS INT)"
-    start = (f"struct(substr({value}, 1, {half}) AS a, substr({value}, {half} + 1) AS b, "
-             f"IF({value} RLIKE '^[0-9a-f]+$', 6, 26) AS letters)")
+    start = f"struct(substr({value}, 1, {half}) AS a, substr({value}, {half} + 1) AS b)"
 
     def added(x: str, other: str) -> str:
         stream = f"sha2(concat({_text(f'{key}|{kind}|')}, i, '|', {other}), 256)"
         amount = "CAST(conv(substr(h, 2 * ((p - 1) % 32) + 1, 2), 16, 10) AS INT)"
         c = f"substr({x}, p, 1)"
         char = (f"CASE WHEN {c} BETWEEN '0' AND '9' THEN chr(48 + (ascii({c}) - 48 + {amount}) % 10) "
-                f"WHEN {c} BETWEEN 'a' AND 'z' THEN chr(97 + (ascii({c}) - 97 + {amount}) % s.letters) "
+                f"WHEN {c} BETWEEN 'a' AND 'z' THEN chr(97 + (ascii({c}) - 97 + {amount}) % 26) "
                 f"WHEN {c} BETWEEN 'A' AND 'Z' THEN chr(65 + (ascii({c}) - 65 + {amount}) % 26) ELSE {c} END")
         # A one-element array binds the hash to a name.
         each = f"transform(array({stream}), h -> array_join(transform(sequence(1, length({x})), p -> {char}), ''))[0]"
         return f"IF(length({x}) = 0, '', {each})"
 
     step = (f"struct(IF(i % 2 = 0, {added('s.a', 's.b')}, s.a) AS a, "
-            f"IF(i % 2 = 1, {added('s.b', 's.a')}, s.b) AS b, s.letters AS letters)")
+            f"IF(i % 2 = 1, {added('s.b', 's.a')}, s.b) AS b)")
     return f"aggregate(sequence(0, {ROUNDS - 1}), {start}, (s, i) -> {step}, s -> concat(s.a, s.b))"
 
 
@@ -191,7 +196,22 @@ def _date(key: str) -> str:
 
     permuted = _number_feistel("date", key, [(f"datediff(d, {first}) DIV {width}", rows),
                                              (f"datediff(d, {first}) % {width}", width)], back)
-    body = f"IF(d IS NULL OR year(d) NOT BETWEEN 1900 AND 2099, m, {permuted})"
+    # Days above 12 of a century, numbered in order: 22,124 = 4 x 5,531 and 22,125 = 125 x 177.
+    late_rows, late_width = "IF(year(d) < 2000, 4, 125)", "IF(year(d) < 2000, 5531, 177)"
+    month = "((year(d) - year({0})) * 12 + month(d) - 1)".format(first)
+    number = f"(datediff(d, {first}) - 12 * ({month} + 1))"
+    before = f"(datediff(add_months({first}, n), {first}) - 12 * n)"   # late days before month n
+
+    def late_back(x: str, y: str, _: str) -> str:
+        # The month is within one of the mean of 18.4 late days a month.
+        guess = "CAST(floor(k / 18.437) AS INT)"
+        near = f"filter(sequence(greatest({guess} - 2, 0), least({guess} + 2, 1199)), n -> {before} <= k)"
+        day = _let(f"array_max({near})", "n", f"date_add(add_months({first}, n), CAST(12 + k - {before} AS INT))")
+        return _let(f"CAST({x} * {late_width} + {y} AS INT)", "k", f"date_format({day}, f)")
+
+    late = _number_feistel("late date", key, [(f"{number} DIV {late_width}", late_rows), (f"{number} % {late_width}", late_width)],
+                           late_back)
+    body = f"IF(d IS NULL OR year(d) NOT BETWEEN 1900 AND 2099, m, IF(f = 'MM/dd/yyyy', {late}, {permuted}))"
     shape = ("CASE WHEN m LIKE '____-%' THEN 'yyyy-MM-dd' WHEN m LIKE '__.%' THEN 'dd.MM.yyyy' "
              "WHEN try_to_timestamp(m, 'dd/MM/yyyy') IS NULL THEN 'MM/dd/yyyy' ELSE 'dd/MM/yyyy' END")
     return _let(shape, "f", _let("CAST(try_to_timestamp(m, f) AS DATE)", "d", body))
@@ -222,13 +242,14 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     gets the number of values replaced."""
     pattern, text = _text(_pattern()), f"CAST(`{text_col}` AS STRING)"
     names = docs.columns
+    found, new = unused(["found", "new"], names)
     # The rest of the texts holds no candidate and skips the long pattern.
-    found = F.expr(f"CASE WHEN {text} RLIKE {_text(_MAY_HOLD)} THEN regexp_extract_all({text}, {pattern}, 0) END")
-    out = docs.select("*", found.alias("__found"))
-    out = out.withColumn("__new", F.expr(f"transform(__found, m -> {pseudonym_sql(key)})"))
-    rebuilt = (f"IF(size(__found) > 0, array_join(zip_with(split({text}, {pattern}, -1), __new, "
+    candidates = F.expr(f"CASE WHEN {text} RLIKE {_text(_MAY_HOLD)} THEN regexp_extract_all({text}, {pattern}, 0) END")
+    out = docs.select("*", candidates.alias(found))
+    out = out.withColumn(new, F.expr(f"transform({found}, m -> {pseudonym_sql(key)})"))
+    rebuilt = (f"IF(size({found}) > 0, array_join(zip_with(split({text}, {pattern}, -1), {new}, "
                f"(p, m) -> concat(p, coalesce(m, ''))), ''), {text})")
-    count = "CAST(coalesce(size(filter(zip_with(__found, __new, (a, b) -> a <> b), x -> x)), 0) AS BIGINT)"
+    count = f"CAST(coalesce(size(filter(zip_with({found}, {new}, (a, b) -> a <> b), x -> x)), 0) AS BIGINT)"
     columns = [F.expr(rebuilt).alias(c) if c == text_col else F.col(f"`{c}`") for c in names]
     if count_col:
         columns.append(F.expr(f"greatest({count}, 0L)").alias(count_col))

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import cut_lineage, id_and_text, map_batches
 from ledgerline.llm.components import connected_components, merge_labels
+from ledgerline.operators.joins import unused
 
 SHINGLE_WORDS = 3
 DISTANCE = 2
@@ -265,11 +266,12 @@ def keep_first(docs: DataFrame) -> DataFrame:
     texts may name several groups and keeps a row in each.  Rows with a
     null id have no identity and stay."""
     names = docs.columns
+    own, hashed, group, turn = unused(["own_id", "text_hash", "group", "turn"], names)
     kept = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_text"), F.col("root").alias("__root")).distinct()
+        F.col("doc_id").alias(own), F.col("text_hash").alias(hashed), F.col("root").alias(group)).distinct()
     known = docs.where(F.col("doc_id").isNotNull())
     text_hash = F.xxhash64(F.coalesce(known["text"].cast("string"), F.lit("")))
-    known = known.join(kept, (known["doc_id"].cast("long") == kept["__kept_id"]) & (text_hash == kept["__kept_text"]))
-    order = Window.partitionBy("__kept_id", "__root").orderBy(F.col("text").asc_nulls_first())
-    known = known.withColumn("__turn", F.row_number().over(order)).where("__turn = 1").select(*names)
+    known = known.join(kept, (known["doc_id"].cast("long") == kept[own]) & (text_hash == kept[hashed]))
+    order = Window.partitionBy(own, group).orderBy(F.col("text").asc_nulls_first())
+    known = known.withColumn(turn, F.row_number().over(order)).where(F.col(turn) == 1).select(*names)
     return known.unionByName(docs.where(F.col("doc_id").isNull()))

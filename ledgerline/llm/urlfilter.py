@@ -124,15 +124,19 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] | None = None, sample:
             df = df.join(share, key, "left").fillna({f"{key}_blocked": prior})
         return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
 
-    spot = (F.xxhash64("url") % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003.0
-    chosen = with_features(labelled.where(spot < min(1.0, sample / n))).select("features", "label")
+    # Different URLs, each weighted by its rows: copies make the sample no larger.
+    different = labelled.agg(F.approx_count_distinct("url").alias("n")).first()["n"]
+    spot = F.pmod(F.xxhash64("url"), F.lit(1_000_003)) / 1_000_003.0
+    chosen = labelled.where(spot < min(1.0, sample / max(different, 1))).groupBy("url", "host", "path", "label").agg(
+        F.count("*").cast("double").alias("weight"))
+    chosen = with_features(chosen).select("features", "label", "weight")
     chosen = chosen.repartition(SAMPLE_PARTS).cache()
     try:
         seen = {r["label"] for r in chosen.select("label").distinct().collect()}
         if len(seen) < 2:
             other = F.lit("block" if prior > 0.5 else "allow")
             return rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", other).alias("verdict"))
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(chosen)
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="weight").fit(chosen)
     finally:
         chosen.unpersist()
     judged = model.transform(with_features(rows))
