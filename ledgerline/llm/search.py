@@ -57,8 +57,9 @@ from ledgerline.llm.common import id_and_text, written
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD_CHARS = 48_000_000
+SHARD_CHARS = 16_000_000
 QUERY_BLOCK = 8_192
+TASKS_A_CORE = 2
 BATCH = 64
 BATCH_CELLS = 2_000_000  # queries x documents at once
 FREQUENT = 8
@@ -292,7 +293,9 @@ def _answer(shards: DataFrame, block: pa.Table, total: int, mean: float, k: int)
             [pa.array(ids[query]), pa.array(keys[query]), pa.array(best.ids[query, rank]), pa.array(best.score[query, rank])],
             ["query_id", "query_hash", "doc_id", "score"])
 
-    return shards.mapInArrow(run, "query_id long, query_hash long, doc_id long, score double")
+    # As many tasks as the cluster runs at once, not as there are shards: each returns k rows a query.
+    tasks = TASKS_A_CORE * shards.sparkSession.sparkContext.defaultParallelism
+    return shards.coalesce(tasks).mapInArrow(run, "query_id long, query_hash long, doc_id long, score double")
 
 
 def top_k(docs: DataFrame, is_query: Column, k: int = K, shard_chars: int = SHARD_CHARS,
