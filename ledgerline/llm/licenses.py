@@ -6,15 +6,20 @@ is kept, and the gaps between kept anchors are aligned in the same way,
 down to gaps without anchors, whose equal ends are matched word by word.
 The coverage is the share of the template's words that are aligned.
 
-A text is aligned in windows around the places where the template may
-stand: a copy with coverage c lacks at most (1 - c) of the template's
+Words that a template does not have cannot be aligned to it, so they are
+left out of the text first, and a copy may be stretched by any of them.
+The rest is aligned in windows, because a text with several copies has no
+word once.  Some windows lie around the places where an unstretched copy
+may stand: a copy with coverage c lacks at most (1 - c) of the template's
 words, so of any larger set of its words at least one is there; the
-rarest such set in the text gives the windows.  Texts that hold too few
-of the template's words are skipped by the same bound, which loses none.
-The windows are bounded: a copy is seen whole if at most a quarter of the
-template's number of words (at least 2) is inserted before such a word,
-and at most as many after it.  A copy stretched by more is seen in part
-or not at all, also where aligning the whole text would cover it.
+rarest such set in the text gives the places.  Others have lengths of
+twice the template, four times and so on, and each begins half-way
+through the one before, so that any passage of up to half a window lies
+whole in one.  The lengths end where a copy would be too thin: aligned
+words must be at least ``DENSITY`` of the words from the first to the
+last of them.  So whatever aligning the whole text finds within that
+density lies in a window.  Texts that hold too few of the template's
+words are skipped, which loses none.
 
 Every row is handled by itself in its task: no shuffle.
 
@@ -30,6 +35,7 @@ none; other columns are not read.
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections import Counter
 
@@ -39,6 +45,8 @@ from pyspark.sql import DataFrame
 from ledgerline.llm.common import id_and_text, map_batches
 
 COVERAGE = 0.8
+# A copy may have nine other words for each of its own.
+DENSITY = 0.1
 
 # Notices as their licenses give them.
 TEMPLATES = {
@@ -131,32 +139,53 @@ def align(template: list[str], text: list[str]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], coverage: float):
-        self.coverage = coverage
+    def __init__(self, templates: dict[str, str], coverage: float, density: float = DENSITY):
+        self.coverage, self.density = coverage, density
         self.templates = [(name, words_of(t)) for name, t in sorted(templates.items())]
         self.counts = [Counter(t) for _, t in self.templates]
         self.vocabulary = frozenset(w for _, t in self.templates for w in t)
 
+    def windows(self, template: list[str], places: dict[str, list[int]], held: list[int], need: int):
+        """(first, end) word positions of the windows, tight ones first."""
+        size = len(template)
+        # The rarest words of which a sufficient copy must hold one.
+        by_rarity = sorted(range(size), key=lambda i: len(places.get(template[i], ())))
+        slack = max(2, size // 4)
+        tight = {(p - i) // slack for i in by_rarity[: size - need + 1] for p in places.get(template[i], ())}
+        for s in sorted(tight):
+            yield max(0, (s - 1) * slack), (s + 2) * slack + size
+        half = size
+        while True:
+            for t in sorted({p // half for p in held}):
+                yield t * half, (t + 2) * half
+            if half * self.density >= size:
+                return
+            half *= 2
+
     def best(self, template: list[str], counts: Counter, text: list[str], places: dict[str, list[int]]):
         """(coverage, first, last position) of the best window, or None
-        if none can reach the threshold."""
+        if none reaches the threshold."""
         size = len(template)
-        need = -(-self.coverage * size // 1)
+        need = math.ceil(self.coverage * size - 1e-9)
         if sum(min(n, len(places.get(w, ()))) for w, n in counts.items()) < need:
             return None
-        # The rarest words of which a sufficient copy must hold one.
-        spare, starts = size - need, set()
-        by_rarity = sorted(range(size), key=lambda i: len(places.get(template[i], ())))
-        slack = max(2, size // 4)
-        for i in by_rarity[: int(spare) + 1]:
-            starts.update((p - i) // slack for p in places.get(template[i], ()))
-        found = None
-        for s in sorted(starts):
-            first = max(0, (s - 1) * slack)
-            matched = align(template, text[first:(s + 2) * slack + size])
+        held = sorted(p for w in counts for p in places.get(w, ()))
+        words = [text[p] for p in held]
+        found, seen = None, set()
+        for first, end in self.windows(template, places, held, need):
+            lo, hi = bisect.bisect_left(held, first), bisect.bisect_left(held, end)
+            if hi - lo < need or (lo, hi) in seen:
+                continue
+            seen.add((lo, hi))
+            matched = align(template, words[lo:hi])
             share = len(matched) / size
-            if matched and share >= self.coverage and (found is None or share > found[0]):
-                found = (share, first + matched[0][1], first + matched[-1][1])
+            if not matched or share < self.coverage or (found and share <= found[0]):
+                continue
+            at, to = held[lo + matched[0][1]], held[lo + matched[-1][1]]
+            if len(matched) >= self.density * (to - at + 1):
+                found = (share, at, to)
+                if share == 1:
+                    break
         return found
 
     def scan(self, value: str):
@@ -177,7 +206,8 @@ class Scanner:
         return min(hits)[2], share, first, last, ",".join(sorted(h[2] for h in hits))
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE,
+                  density: float = DENSITY) -> DataFrame:
     """(doc_id, license, coverage, first_word, last_word, matches) of
     every row."""
     templates = TEMPLATES if templates is None else templates
@@ -185,7 +215,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, cove
     names = ["doc_id", "license", "coverage", "first_word", "last_word", "matches"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scanner = Scanner(templates, coverage)
+        scanner = Scanner(templates, coverage, density)
         columns = zip(*(scanner.scan(t) for t in batch.column("text").to_pylist()))
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))], names)

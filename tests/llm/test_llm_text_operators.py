@@ -186,3 +186,32 @@ def test_alignment_is_rising_and_equal():
         assert all(a[i] == b[j] for i, j in pairs)
         assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
     assert len(licenses.align(list("abcxdef"), list("zzabcdefz"))) == 6
+
+
+def test_licenses_cover_what_whole_alignment_covers():
+    rng = random.Random(12)
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    vocabulary = sorted(scanner.vocabulary)
+    found = 0
+    for _ in range(150):
+        name, template = rng.choice(scanner.templates)
+        fillers = ["other", "words", *rng.sample(vocabulary, 4)]
+        text = [rng.choice(fillers) for _ in range(rng.randrange(400))]
+        for w in template:
+            text += [w] * (rng.random() > 0.05) + rng.choices(fillers, k=rng.randrange(rng.choice((1, 3, 8))))
+        text += [rng.choice(fillers) for _ in range(rng.randrange(400))]
+        pairs = licenses.align(template, text)
+        share = len(pairs) / len(template)
+        span = pairs[-1][1] - pairs[0][1] + 1
+        matches = scanner.scan(" ".join(text))[4].split(",")
+        if share >= licenses.COVERAGE and len(pairs) >= licenses.DENSITY * span:
+            found += 1
+            assert name in matches, (name, share)
+    assert found > 30
+    mit = licenses.words_of(licenses.TEMPLATES["MIT-text"])
+    stretched = " ".join(w + " filler" for w in mit)
+    assert scanner.scan(stretched)[:2] == ("MIT-text", 1.0)
+    assert scanner.scan(" ".join([stretched] * 3))[:4] == ("MIT-text", 1.0, 0, 2 * len(mit) - 2)
+    assert scanner.scan("all of the rights in this text are reserved")[:4] == ("All-rights-reserved", 1.0, 0, 8)
+    apart = " ".join(w + " x" * 12 for w in mit)
+    assert scanner.scan(apart)[0] is None
