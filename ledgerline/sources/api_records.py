@@ -259,7 +259,7 @@ def invoice_page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SOURCES = {"invoice_records": ("orders", "lineitem", "part"), "grant_records": ("orders", "lineitem"),
            "invoice_json": ("orders", "lineitem", "part"), "invoice_pages": ("orders", "lineitem", "part"),
-           "customer_pages": ("customer",)}
+           "customer_pages": ("customer",), "colocated": ("orders", "lineitem", "part")}
 
 
 def landing_path(spark: SparkSession, sf_dir: str, name: str) -> str:
