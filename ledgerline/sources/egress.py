@@ -1,15 +1,15 @@
 """Egress CSV exports: scan, load a directory tree, catalog listing.
 
 Exports arrive as CSV files named ``<prefix> - <table>.csv`` in a tree
-of folders.  The listing is done by Spark (a ``binaryFile`` scan that
-reads paths only, never file contents), each table is read with one
+of folders.  The table names are found by Spark (a ``binaryFile`` scan
+that reads paths only, never file contents), each table is read with one
 ``spark.read.csv`` over all its files, and registered as a temp view
 (or saved as a table).
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +21,14 @@ TABLE_NAME_SEPARATOR = " - "
 
 
 def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
-             infer_schema: bool = False, multi_line: bool = True) -> DataFrame:
+             infer_schema: bool = False, multi_line: bool = True, options: dict | None = None) -> DataFrame:
     """Read export CSV.
 
     Pass ``schema`` in production: inference is an extra full pass.
     Quoted fields may hold line breaks, which makes every file a single
     task; ``multi_line=False`` splits files that are known to have none.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
+    reader = spark.read.options(**CSV_OPTIONS, **(options or {})).option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -55,21 +55,42 @@ def list_csv_files(spark: SparkSession, root: str) -> list[str]:
     return sorted(r["path"] for r in files.collect())
 
 
+def table_names(spark: SparkSession, root: str) -> list[str]:
+    """Names of the tables that have files under ``root``: one row a
+    table reaches the driver, however many files it has."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.csv").load(root))
+    base = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"(?i)\.csv$", "")
+    cut = F.instr(base, TABLE_NAME_SEPARATOR)
+    name = F.when(cut > 0, F.substring(base, cut + len(TABLE_NAME_SEPARATOR), F.length(base))).otherwise(base)
+    return sorted(r["name"] for r in files.select(name.alias("name")).distinct().collect())
+
+
+def _files_of(spark: SparkSession, root: str, name: str, names: list[str]) -> tuple[dict, list[str] | str]:
+    """(reader options, path) that select the files of one table."""
+    if any(other.endswith(TABLE_NAME_SEPARATOR + name) for other in names):
+        # "a - b - t.csv" belongs to table "b - t", but a pattern for "t" takes it too.
+        return {}, [p for p in list_csv_files(spark, root) if table_name_of(p) == name]
+    literal = re.sub(r"([\\*?\[\]{},^])", r"\\\1", name)
+    pattern = f"{{*{TABLE_NAME_SEPARATOR}{literal},{literal}}}.csv"
+    return {"recursiveFileLookup": "true", "pathGlobFilter": pattern}, root
+
+
 def load_egress_dir(spark: SparkSession, root: str, schemas: dict[str, StructType | str] | None = None,
                     infer_schema: bool = False, multi_line: bool = True,
                     register: bool = True) -> dict[str, DataFrame]:
     """Read every table of an export tree; optionally register views.
 
-    Files of the same table (e.g. several parts) are read together.
+    Files of the same table (e.g. several parts) are read together, by a
+    pattern of their names: the scan lists them, not the caller.
     """
-    by_table: dict[str, list[str]] = defaultdict(list)
-    for p in list_csv_files(spark, root):
-        by_table[table_name_of(p)].append(p)
     out = {}
-    for name, paths in sorted(by_table.items()):
+    names = table_names(spark, root)
+    for name in names:
         schema = (schemas or {}).get(name)
-        df = read_csv(spark, paths, schema=schema, infer_schema=infer_schema and schema is None,
-                      multi_line=multi_line)
+        options, path = _files_of(spark, root, name, names)
+        df = read_csv(spark, path, schema=schema, infer_schema=infer_schema and schema is None,
+                      multi_line=multi_line, options=options)
         if register:
             df.createOrReplaceTempView(name)
         out[name] = df

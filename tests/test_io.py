@@ -153,13 +153,36 @@ def test_json_per_customer_and_build_once(spark, tmp_path):
 def test_load_and_process(spark, tmp_path):
     recs = spark.createDataFrame([json.dumps(INV_OK)], "string").select(
         F.from_json("value", schemas.INVOICE).alias("r")).select("r.*")
-    flat = load_and_process(recs, str(tmp_path / "raw"), str(tmp_path / "flat"), str(tmp_path / "csv"),
-                            materialize=True)
+    flat = load_and_process(recs, str(tmp_path / "raw"), str(tmp_path / "flat"), str(tmp_path / "csv"))
     assert "line_items_0_sub_line_items_0_price" in flat.columns
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert back.count() == 1 and "line_items_0_name" in back.columns
 
 
+def test_load_and_process_reads_its_input_once(spark, tmp_path):
+    # A new random id at each evaluation: the outputs agree only if there is one.
+    recs = spark.range(20, numPartitions=3).select(
+        F.expr("uuid()").alias("id"), F.array(F.struct(F.col("id").alias("n"))).alias("parts"))
+    flat = load_and_process(recs, str(tmp_path / "raw"), str(tmp_path / "flat"), str(tmp_path / "csv"))
+    ids = sorted(r["id"] for r in flat.collect())
+    assert flat.columns == ["id", "parts_0_n"] and len(set(ids)) == 20
+    for df in (spark.read.json(str(tmp_path / "raw")), spark.read.json(str(tmp_path / "flat")),
+               spark.read.option("header", True).csv(str(tmp_path / "csv"))):
+        assert sorted(r["id"] for r in df.collect()) == ids
+
+
+def test_egress_tables_are_found_by_pattern(spark, tmp_path):
+    files = {"a/X - plan.csv": "id\n1\n", "b/Y - plan.csv": "id\n2\n", "plan.csv": "id\n3\n", "c/Z - other - plan.csv": "key\n4\n",
+             "X - odd [a], {b}*.csv": "id\n5\n", "d/X - odd.csv": "id\n6\n"}
+    for name, text in files.items():
+        path = tmp_path / "tree" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    tables = egress.load_egress_dir(spark, str(tmp_path / "tree"), multi_line=False, register=False)
+    got = {n: sorted(r[0] for r in df.collect()) for n, df in tables.items()}
+    assert got == {"plan": ["1", "2", "3"], "other - plan": ["4"], "odd [a], {b}*": ["5"], "odd": ["6"]}
+
+
 def test_streaming_ingest(spark, tmp_path):
     landing = str(tmp_path / "landing")
     bad = dict(INV_OK, id="i2", total="n/a")
