@@ -9,14 +9,17 @@ leading bits are the top node.  A top node with more than ``NODE_ROWS``
 fingerprints is split in the same way on its other bits, again and again,
 so no node is ever too large for one task and no link is lost.
 
-Within a node the fingerprints are sorted by Gray rank, so that
-neighbours share most bits.  Groups of ``FAN`` of them form a lower node,
-groups of those the next, up to the root; every node keeps as a mask and
-pattern the bits that all below it share and that no node above has
+A task sorts the nodes it has of one filing by Gray rank, in which the
+members of a node, and nodes that share leading bits, stand together.
+Groups of ``FAN`` fingerprints form the lowest level of the hierarchy,
+groups of those the next, up to the root; every group keeps as a mask and
+pattern the bits that all below it share and that no group above has
 factored out.  A search goes down from the root, adds up the differing
-bits node by node, and drops a whole group once the sum exceeds
-``DISTANCE``.  Links found are merged at once into stars (a member and
-its root), so a dense group gives one row for each member, never pairs.
+bits group by group, and drops a whole group once the sum exceeds
+``DISTANCE``, or once the group lies outside the fingerprint's own node
+(links between nodes are found in another filing).  Links found are
+merged at once into stars (a member and its root), so a dense group gives
+one row for each member, never pairs.
 
 Components of the stars are found in Spark (``components``).
 
@@ -101,6 +104,7 @@ class GrayIndex:
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
+        self.pruned = self.compared = 0  # groups dropped and codes compared by all searches
         every = ~np.uint64(0)
         levels = []
         low_and, low_or = codes, codes
@@ -119,41 +123,39 @@ class GrayIndex:
             self.levels.append((pattern, mask & ~upper))
             above = mask
 
-    def search(self, queries: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, code) positions within ``distance`` bits."""
+    def search(self, queries: np.ndarray, distance: int, lead: np.uint64 = np.uint64(0)) -> tuple[np.ndarray, np.ndarray]:
+        """(query, code) positions within ``distance`` bits; pairs that
+        differ in a bit of ``lead`` need not be found."""
         q = np.arange(len(queries))
         node = np.zeros(len(queries), np.int64)
         total = np.zeros(len(queries), np.int64)
         below = [len(p) for p, _ in self.levels[1:]] + [len(self.codes)]
         for (pattern, mask), size in zip(self.levels, below):
-            total = total + np.bitwise_count((queries[q] ^ pattern[node]) & mask[node])
-            stay = total <= distance
+            differing = (queries[q] ^ pattern[node]) & mask[node]
+            total = total + np.bitwise_count(differing)
+            stay = (total <= distance) & (differing & lead == 0)
             q, node, total = q[stay], node[stay], total[stay]
+            self.pruned += len(stay) - len(q)
             node = (node[:, None] * FAN + np.arange(FAN)).ravel()
             q, total = np.repeat(q, FAN), np.repeat(total, FAN)
             there = node < size
             q, node, total = q[there], node[there], total[there]
+        self.compared += len(q)
         near = np.bitwise_count(queries[q] ^ self.codes[node]) <= distance
         return q[near], node[near]
 
 
-def _node_stars(group: np.ndarray, codes: np.ndarray, distance: int) -> np.ndarray:
+def _stars(path: np.ndarray, fixed: np.ndarray, codes: np.ndarray, distance: int) -> np.ndarray:
     """Labels (smallest position of the linked set) of rows sorted by
-    group and Gray rank; links are looked for within groups."""
+    path and Gray rank; links are looked for within the nodes, the codes
+    of a path that share the first ``fixed`` bits."""
     labels = np.arange(len(codes))
-    bounds = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
-    sizes = np.diff(bounds)
-    # Groups of at most FAN codes are one lowest node each: compared side by side.
-    little = np.repeat(sizes <= FAN, sizes)
-    for step in range(1, int(min(FAN, sizes.max()))):
-        i = np.flatnonzero(little[:-step] & (group[:-step] == group[step:]))
-        i = i[np.bitwise_count(codes[i] ^ codes[i + step]) <= distance]
-        merge_labels(labels, i, i + step)
-    for n in np.flatnonzero(sizes > FAN):
-        a, b = bounds[n], bounds[n + 1]
+    bounds = np.flatnonzero(np.r_[True, path[1:] != path[:-1], True])
+    for a, b in zip(bounds, bounds[1:]):
         index = GrayIndex(codes[a:b])
+        lead = ~np.uint64((1 << (64 - int(fixed[a]))) - 1)
         for s in range(a, b, QUERIES_AT_ONCE):
-            i, j = index.search(codes[s:min(b, s + QUERIES_AT_ONCE)], distance)
+            i, j = index.search(codes[s:min(b, s + QUERIES_AT_ONCE)], distance, lead)
             later = i + s < j + a
             merge_labels(labels, i[later] + s, j[later] + a)
     return labels
@@ -165,11 +167,10 @@ def _stars_of_partition(distance: int):
         rows = 0
 
         def stars(columns: list[np.ndarray]) -> pa.RecordBatch | None:
-            path, node, code, fp = columns
-            group = np.cumsum(np.r_[0, (path[1:] != path[:-1]) | (node[1:] != node[:-1])])
-            order = np.lexsort((gray_rank(code), group))
-            group, code, fp = group[order], code[order], fp[order]
-            labels = _node_stars(group, code, distance)
+            path, _, fixed, code, fp = columns
+            order = np.lexsort((gray_rank(code), path))
+            path, fixed, code, fp = path[order], fixed[order], code[order], fp[order]
+            labels = _stars(path, fixed, code, distance)
             linked = np.flatnonzero(labels != np.arange(len(labels)))
             if not len(linked):
                 return None
@@ -178,8 +179,8 @@ def _stars_of_partition(distance: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            path, node, code, fp = (batch.column(i).to_numpy() for i in range(4))
-            held.append((path, node, code.astype(np.int64).view(np.uint64), fp))
+            path, node, fixed, code, fp = (batch.column(i).to_numpy() for i in range(5))
+            held.append((path, node, fixed, code.astype(np.int64).view(np.uint64), fp))
             rows += batch.num_rows
             if rows < TASK_ROWS:
                 continue
@@ -231,7 +232,7 @@ def star_links(fps: DataFrame, distance: int = DISTANCE, node_rows: int = NODE_R
                             .select("path", "node"))
         split = not large.isEmpty()
         small = rows.join(large, ["path", "node"], "left_anti") if split else rows
-        found = (small.select("path", "node", "code", "fp").repartition("path", "node")
+        found = (small.select("path", "node", "fixed", "code", "fp").repartition("path", "node")
                  .sortWithinPartitions("path", "node").mapInArrow(stars, "a long, b long"))
         links = found if links is None else links.unionByName(found)
         if not split:

@@ -375,3 +375,25 @@ def test_pipeline(spark, edge_docs, no_docs, tmp_path):
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     tokens = lambda df: Counter({r["doc_id"]: r["n"] for r in df.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()})
     assert tokens(whole.select(*key)) == tokens(again.select(*key))
+
+
+def test_gray_hierarchy_prunes_and_loses_no_link():
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 1 << 63, 30_000, dtype=np.uint64) << np.uint64(1)
+    near = codes[:500] ^ (np.uint64(1) << rng.integers(0, 40, 500).astype(np.uint64))
+    codes = np.unique(np.r_[codes, near])
+    codes = codes[np.argsort(simhash.gray_rank(codes))]
+    index, lead = simhash.GrayIndex(codes), ~np.uint64((1 << 43) - 1)
+    found = set()
+    for s in range(0, len(codes), 2048):
+        i, j = index.search(codes[s:s + 2048], 2, lead)
+        found |= {(int(a) + s, int(b)) for a, b in zip(i, j) if a + s < b}
+    by_block = defaultdict(list)
+    for n, c in enumerate(codes):
+        by_block[int(c >> np.uint64(43))].append(n)
+    want = {(a, b) for group in by_block.values() for x, a in enumerate(group) for b in group[x + 1:]
+            if int(codes[a] ^ codes[b]).bit_count() <= 2}
+    assert len(want) >= 480 and want <= found
+    assert all(int(codes[a] ^ codes[b]).bit_count() <= 2 for a, b in found)
+    # Of 450 million pairs few are compared: whole groups are dropped above.
+    assert index.compared < 60 * len(codes) and index.pruned > len(codes)
