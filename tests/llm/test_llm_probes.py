@@ -1,5 +1,6 @@
 """Cases that once went wrong, and the pipeline stage by stage."""
 import datetime
+import hashlib
 import random
 import re
 from collections import Counter, defaultdict
@@ -198,3 +199,58 @@ def test_stages_equal_plain_versions(spark, corpus, tmp_path):
 def test_pipeline_on_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF001}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def sha(key, kind, i, *others):
+    return hashlib.sha256("|".join([key, kind, str(i), *map(str, others)]).encode()).hexdigest()
+
+
+def plain_string(kind, key, value):
+    """The string network, written apart from the operator's SQL."""
+    halves = [value[:len(value) // 2], value[len(value) // 2:]]
+    for i in range(pii.ROUNDS):
+        mine, stream = halves[i % 2], bytes.fromhex(sha(key, kind, i, halves[1 - i % 2]))
+        new = ""
+        for at, c in enumerate(mine):
+            base = next((b for b, n in (("0", 10), ("a", 26), ("A", 26)) if b <= c < chr(ord(b) + n)), None)
+            size = 10 if base == "0" else 26
+            new += c if base is None else chr(ord(base) + (ord(c) - ord(base) + stream[at % 32]) % size)
+        halves[i % 2] = new
+    return "".join(halves)
+
+
+def plain_number(kind, key, values, sizes):
+    """The number network of up to three coordinates."""
+    p, m = [*values, 0, 0][:3], [*sizes, 1, 1][:3]
+    for i in range(pii.ROUNDS):
+        n = i % 3
+        others = [p[k] for k in range(3) if k != n]
+        p[n] = (p[n] + int(sha(key, kind, i, *others)[:14], 16)) % m[n]
+    return p
+
+
+def test_pseudonyms_equal_a_plain_feistel(spark):
+    rng, key = random.Random(8), "a key"
+    first = {1900: (datetime.date(1900, 1, 1), 92, 397), 2000: (datetime.date(2000, 1, 1), 75, 487)}
+    texts, want = [], []
+    for _ in range(60):
+        name = "".join(rng.choice("abcXYZ019._-") for _ in range(rng.randrange(1, 14)))
+        texts.append(f"{name}@mail.example.org")
+        want.append(plain_string("email", key, name) + "@mail.example.org")
+        octets = [rng.randrange(256) for _ in range(4)]
+        texts.append(".".join(map(str, octets)))
+        x, y, _ = plain_number("ip", key, [octets[0] * 256 + octets[1], octets[2] * 256 + octets[3]], [65536, 65536])
+        want.append(f"{x // 256}.{x % 256}.{y // 256}.{y % 256}")
+        area, group, serial = rng.choice([n for n in range(1, 900) if n != 666]), rng.randrange(1, 100), rng.randrange(1, 10000)
+        texts.append(f"{area:03d}-{group:02d}-{serial:04d}")
+        areas = [n for n in range(1, 900) if n != 666]
+        x, y, z = plain_number("ssn", key, [areas.index(area), group - 1, serial - 1], [898, 99, 9999])
+        want.append(f"{areas[x]:03d}-{y + 1:02d}-{z + 1:04d}")
+        day = datetime.date(1900, 1, 1) + datetime.timedelta(rng.randrange(36524 + 36525))
+        start, rows, width = first[1900 if day.year < 2000 else 2000]
+        texts.append(day.isoformat())
+        x, y, _ = plain_number("date", key, [(day - start).days // width, (day - start).days % width], [rows, width])
+        want.append((start + datetime.timedelta(x * width + y)).isoformat())
+    df = spark.createDataFrame([(n, f"see {t} there") for n, t in enumerate(texts)], "n int, text string")
+    got = [r["text"] for r in pii.pseudonymize(df, key).orderBy("n").collect()]
+    assert got == [f"see {w} there" for w in want]
