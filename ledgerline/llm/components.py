@@ -28,7 +28,15 @@ def merge_labels(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b); the root is the
-    smallest node of the component.
+    smallest node of the component."""
+    members = component_members(edges)
+    roots = members.select(F.col("root").alias("node")).distinct().select("node", F.col("node").alias("root"))
+    return members.unionByName(roots)
+
+
+def component_members(edges: DataFrame) -> DataFrame:
+    """(node, root) for each node of ``edges`` (a, b) that is not itself
+    the smallest node of its component, the root.
 
     Alternates the large-star and small-star steps (every node's larger,
     then smaller, neighbours are linked to its smallest one) until the
@@ -61,5 +69,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if after == before:
             break
         before = after
-    roots = pairs.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))

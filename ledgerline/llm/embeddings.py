@@ -11,14 +11,28 @@ pivots in common are retrieved and verified by their cosine in double
 precision.
 
 With all descriptions in one order of pivots (rare ones first), two that
-share ``SHARED`` of ``NEAREST`` pivots have their first common one among
-the first ``NEAREST - SHARED + 1`` of both.  So a vector is filed under
-these only, and a pair counts only in the list of its first common pivot.
+share ``SHARED`` of ``NEAREST`` pivots have their first ``m`` common ones
+among the first ``NEAREST - SHARED + m`` of both.  So a vector is filed
+under the sets of ``m`` of these only, and a pair counts only in the list
+of its first ``m`` common pivots.  ``m`` is 1, and 2 where lists of one
+pivot would be longer than ``LONG`` on average: the same pairs are
+retrieved, from lists that are shorter by the number of pivots.
 
-Equal vectors are one row from the start, with their number.  A long list
-is cut into blocks of about ``BLOCK`` rows and compared block by block,
-so no task holds a list; tasks return link counts and stars (a member
-and its root), never pairs.  Components are found in Spark.
+Equal vectors are one row from the start, with their number.  Crowds of
+near-identical vectors are one entry of the index too.  A crowd is what
+lies within half the linking angle of the mean of a cell, a cell being
+the vectors with the same first ``CELL`` pivots in the same order, if
+there are ``CROWD`` or more.  By the triangle inequality all its vectors
+link with one another, so these pairs are counted and never formed; and
+two entries whose centres are near (or far) enough for their radii link
+as a whole (or not at all).  Only entries in between are opened, and
+their vectors compared.  The angles keep a margin above any rounding, so
+no pair below the threshold is counted.
+
+A long list is cut into blocks of about ``BLOCK`` rows and compared block
+by block, so no task holds a list, and opened crowds likewise; tasks
+return link counts and stars (a member and its root), never pairs of
+vectors.  Components of entries are found in Spark.
 
 Defined results.  A vector that is null, empty, zero, or holds a null or
 a non-finite component, and one with a null id, links with nothing: 0
@@ -30,6 +44,7 @@ Empty table: no rows.  Other columns, labels too, are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -38,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import cut_lineage
-from ledgerline.llm.components import connected_components, merge_labels
+from ledgerline.llm.components import component_members, merge_labels
 
 COSINE = 0.9
 NEAREST = 8
@@ -48,6 +63,12 @@ VECTORS_A_PIVOT = 64
 APART = 0.8
 SAMPLED_A_PIVOT = 4
 BLOCK = 1024
+LONG = 1024
+CELL = 4
+CROWD = 32
+CENTRE = 4096  # vectors of a cell that its centre is the mean of
+MARGIN = 1e-6  # of angles
+ENTRY = "e string, first_id long, n long, size long, radius double, unit binary, near binary, pivots array<int>"
 
 
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
@@ -78,9 +99,8 @@ def _spread(units: np.ndarray, want: int) -> np.ndarray:
     return units[taken]
 
 
-def describe(classes: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """(cid, many, unit, near): unit vector and ordered nearest pivots,
-    as bytes; and the number of each pivot's vectors."""
+def choose_pivots(classes: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
+    """(number of the first pivot, pivots) for each vector length."""
     sizes = {r["d"]: r["n"] for r in classes.groupBy(F.size("vec").alias("d")).agg(F.count("*").alias("n")).collect()}
     pivots: dict[int, tuple[int, np.ndarray]] = {}
     first = 0
@@ -90,6 +110,18 @@ def describe(classes: DataFrame) -> tuple[DataFrame, dict[int, int]]:
         points = _spread(_unit([r["vec"] for r in sampled.select("vec").collect()]), want)
         pivots[d] = (first, points)
         first += len(points)
+    return pivots
+
+
+def _nearest(units: np.ndarray, pivots: dict[int, tuple[int, np.ndarray]]) -> np.ndarray:
+    offset, points = pivots[units.shape[1]]
+    near = np.argsort(-(units @ points.T), axis=1, kind="stable")[:, :NEAREST] + offset
+    return near.astype(np.int32)
+
+
+def describe(classes: DataFrame, pivots: dict[int, tuple[int, np.ndarray]]) -> DataFrame:
+    """(cid, first_id, many, unit, near): unit vector and ordered nearest
+    pivots, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,28 +130,98 @@ def describe(classes: DataFrame) -> tuple[DataFrame, dict[int, int]]:
             by_length: dict[int, list[int]] = {}
             for n, v in enumerate(vecs):
                 by_length.setdefault(len(v), []).append(n)
-            for d, at in by_length.items():
-                offset, points = pivots[d]
+            for at in by_length.values():
                 unit = _unit([vecs[n] for n in at])
-                near = np.argsort(-(unit @ points.T), axis=1, kind="stable")[:, :NEAREST] + offset
-                for n, u, p in zip(at, unit, near.astype(np.int32)):
+                for n, u, p in zip(at, unit, _nearest(unit, pivots)):
                     units[n], nears[n] = u.tobytes(), p.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cid"), batch.column("many"), pa.array(units, pa.binary()), pa.array(nears, pa.binary()),
-                 pa.array([np.frombuffer(x, np.int32) for x in nears], pa.list_(pa.int32()))],
-                ["cid", "many", "unit", "near", "pivots"])
+                [*(batch.column(c) for c in ("cid", "first_id", "many")), pa.array(units, pa.binary()),
+                 pa.array(nears, pa.binary())], ["cid", "first_id", "many", "unit", "near"])
+
+    return cut_lineage(classes.select("cid", "first_id", "many", "vec").mapInArrow(
+        run, "cid long, first_id long, many long, unit binary, near binary"))
+
+
+def _angles(unit: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(unit @ other.T, -1, 1))
+
+
+def crowded(described: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """Members (cid, first_id, many, unit, near, e, angle) with the entry
+    that each belongs to, and the centres (e, centre) of the crowds."""
+    cells = described.withColumn("cell", F.hex(F.substring("near", 1, 4 * CELL)))
+    many = cells.groupBy("cell").agg(F.count("*").alias("of")).where(F.col("of") >= CROWD)
+    # Drawn by hash, so that a centre is the mean of about CENTRE vectors whatever the size of its cell.
+    drawn = cells.join(many, "cell").where(f"pmod(xxhash64(cid), CAST(ceil(of / {CENTRE}) AS BIGINT)) = 0")
+
+    def mean(rows: pd.DataFrame) -> pd.DataFrame:
+        centre = np.frombuffer(b"".join(rows["unit"]), float).reshape(len(rows), -1).mean(axis=0)
+        centre /= np.linalg.norm(centre)
+        return pd.DataFrame({"cell": rows["cell"].iloc[:1], "centre": [centre.tobytes()]})
+
+    centres = cut_lineage(drawn.select("cell", "unit").groupBy("cell").applyInPandas(mean, "cell string, centre binary"))
+    reach = np.arccos(cosine) / 2 - MARGIN
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entries, angles = [], []
+            for cid, cell, unit, centre in zip(*(batch.column(c).to_pylist() for c in ("cid", "cell", "unit", "centre"))):
+                angle = reach + 1 if centre is None else float(_angles(np.frombuffer(unit), np.frombuffer(centre)))
+                entries.append(f"crowd {cell}" if angle <= reach else f"{cid}")
+                angles.append(angle if angle <= reach else 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("cid", "first_id", "many", "unit", "near")), pa.array(entries, pa.string()),
+                 pa.array(angles, pa.float64())], ["cid", "first_id", "many", "unit", "near", "e", "angle"])
+
+    members = cut_lineage(cells.join(centres, "cell", "left").mapInArrow(
+        place, "cid long, first_id long, many long, unit binary, near binary, e string, angle double"))
+    return members, centres.select(F.concat(F.lit("crowd "), "cell").alias("e"), "centre")
+
+
+def entries_of(members: DataFrame, centres: DataFrame, pivots: dict[int, tuple[int, np.ndarray]]) -> DataFrame:
+    """The index's entries, see ``ENTRY``: crowds, and the other vectors."""
+    names = [c.split()[0] for c in ENTRY.split(", ")]
+    is_crowd = F.col("e").startswith("crowd ")
+    crowds = members.where(is_crowd).groupBy("e").agg(
+        F.min("first_id").alias("first_id"), F.count("*").alias("n"), F.sum("many").alias("size"),
+        (F.max("angle") + MARGIN).alias("radius")).join(centres, "e")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [_nearest(np.frombuffer(c, float)[None], pivots)[0].tobytes() for c in batch.column("unit").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.binary())], [*batch.schema.names, "near"])
+
+    crowds = crowds.select("e", "first_id", "n", "size", "radius", F.col("centre").alias("unit")).mapInArrow(
+        run, ENTRY.rsplit(", ", 1)[0])
+    alone = members.where(~is_crowd).select(
+        "e", "first_id", F.lit(1).cast("long").alias("n"), F.col("many").alias("size"), F.lit(0.0).alias("radius"), "unit", "near")
+    every = crowds.unionByName(alone)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [np.frombuffer(x, np.int32) for x in batch.column("near").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.list_(pa.int32()))], names)
 
-    described = cut_lineage(classes.select("cid", "many", "vec").mapInArrow(
-        run, "cid long, many long, unit binary, near binary, pivots array<int>"))
-    counts = described.select(F.explode("pivots").alias("p")).groupBy("p").agg(F.count("*").alias("n")).collect()
-    return described, {r["p"]: r["n"] for r in counts}
+    return cut_lineage(every.mapInArrow(listed, ENTRY))
+
+
+def _stars(rows: pd.DataFrame, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(links, root's position) of each row, for linked positions."""
+    size = rows["size"].to_numpy()
+    links = np.bincount(x, size[y], len(rows)) + np.bincount(y, size[x], len(rows))
+    labels = np.arange(len(rows))
+    merge_labels(labels, x, y)
+    return links.astype(np.int64), labels
 
 
 def _compare(order: dict[int, int], cosine: float):
-    """Links between two blocks of one pivot's list (or within one)."""
+    """Links between two blocks of one list (or within one), and the pairs
+    of entries that have to be opened."""
+    limit = np.arccos(cosine)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        pivot, i, j = (int(k) for k in key)
+        own, (i, j) = [int(p) for p in key[0].split()], (int(k) for k in key[1:])
+        rows = rows.reset_index(drop=True)
         unit = np.frombuffer(b"".join(rows["unit"]), float).reshape(len(rows), -1)
         near = np.frombuffer(b"".join(rows["near"]), np.int32).reshape(len(rows), -1)
         place = np.vectorize(order.__getitem__)(near)
@@ -129,55 +231,113 @@ def _compare(order: dict[int, int], cosine: float):
         block = rows["block"].to_numpy()
         a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
         shared = min(SHARED, near.shape[1])
-        before = used < order[pivot]
-        retrieved = (has[a] @ has[b].T >= shared) & (has[a][:, before] @ has[b][:, before].T == 0)
-        linked = retrieved & (unit[a] @ unit[b].T >= cosine)
+        last = max(order[p] for p in own)  # the list's pivots are the first common ones
+        until = used <= last
+        retrieved = (has[a] @ has[b].T >= shared) & (has[a][:, until] @ has[b][:, until].T == len(own))
         if i == j:
-            linked = np.triu(linked, 1)
+            retrieved = np.triu(retrieved, 1)
+        close = unit[a] @ unit[b].T
+        reach = rows["radius"].to_numpy()
+        reach = reach[a][:, None] + reach[b]
+        angle = np.arccos(np.clip(close, -1, 1))
+        linked = retrieved & np.where(reach == 0, close >= cosine, angle + reach <= limit - MARGIN)
+        between = retrieved & ~linked & (reach > 0) & (angle - reach <= limit + MARGIN)
         x, y = np.nonzero(linked)
-        x, y = a[x], b[y]
-        cid, many = rows["cid"].to_numpy(), rows["many"].to_numpy()
-        links = np.bincount(x, many[y], len(rows)) + np.bincount(y, many[x], len(rows))
-        labels = np.arange(len(rows))
-        merge_labels(labels, x, y)
+        links, root = _stars(rows, a[x], b[y])
         some = np.flatnonzero(links)
-        return pd.DataFrame({"a": cid[some], "b": cid[labels[some]], "links": links[some].astype(np.int64)})
+        x, y = np.nonzero(between)
+        x, y = np.concatenate([some, a[x]]), np.concatenate([root[some], b[y]])
+        of = lambda c, at: rows[c].to_numpy()[at]
+        return pd.DataFrame({"a": of("e", x), "a_first": of("first_id", x), "a_n": of("n", x),
+                             "b": of("e", y), "b_first": of("first_id", y), "b_n": of("n", y),
+                             "links": np.concatenate([links[some], np.zeros(len(x) - len(some), np.int64)])})
 
     return run
 
 
-def links(described: DataFrame, counts: dict[int, int], cosine: float = COSINE) -> DataFrame:
-    """(a, b, links): a's links found in one comparison, and its star's
-    root there."""
+FOUND = "a string, a_first long, a_n long, b string, b_first long, b_n long, links long"
+
+
+def links(entries: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """``FOUND``: a's links (as a whole) found in one comparison, and its
+    star's root b there; or with 0 links a pair that has to be opened."""
+    counts = {r["p"]: r["n"] for r in entries.select(F.explode("pivots").alias("p")).groupBy("p").agg(
+        F.count("*").alias("n")).collect()}  # MOST_PIVOTS for each vector length
     order = {p: n for n, (_, p) in enumerate(sorted((n, p) for p, n in counts.items()))}
-    table = described.sparkSession.createDataFrame(
-        [(p, order[p], -(-n // BLOCK)) for p, n in counts.items()] or [(-1, 0, 1)], "p int, place int, blocks int")
-    filed = described.select("cid", "many", "unit", "near", F.explode("pivots").alias("p"))
-    # At most MOST_PIVOTS rows for each vector length.
-    filed = filed.join(F.broadcast(table), "p")
-    rank = "size(filter(places, x -> x < place))"
-    places = described.select("cid", F.explode("pivots").alias("p")).join(F.broadcast(table), "p")
-    places = places.groupBy("cid").agg(F.collect_list("place").alias("places"))  # NEAREST at most
-    filed = filed.join(places, "cid").where(F.expr(f"{rank} <= size(places) - least({SHARED}, size(places))"))
-    filed = filed.withColumn("block", F.expr("CAST(pmod(xxhash64(cid), blocks) AS INT)"))
-    filed = filed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    filed = filed.select("p", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                         "block", "cid", "many", "unit", "near")
-    return filed.groupBy("p", "i", "j").applyInPandas(_compare(order, cosine), "a long, b long, links long")
+    m = 1 if sum(counts.values()) <= LONG * len(counts) else 2
+
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = []
+            for near in batch.column("pivots").to_pylist():
+                rare = sorted(near, key=order.__getitem__)
+                depth = min(m, len(rare), SHARED)
+                rare = rare[:len(rare) - min(SHARED, len(rare)) + depth]
+                keys.append([" ".join(map(str, k)) for k in combinations(rare, depth)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.string()))],
+                                             [*batch.schema.names, "lists"])
+
+    names = ["e", "first_id", "n", "size", "radius", "unit", "near"]
+    filed = entries.mapInArrow(file, ENTRY + ", lists array<string>").select(F.explode("lists").alias("list"), *names)
+    lengths = filed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    long = cut_lineage(lengths.where("blocks > 1"))
+    filed = filed.join(long, "list", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    filed = filed.withColumn("block", F.expr("CAST(pmod(xxhash64(e), blocks) AS INT)"))
+    filed = filed.withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+    filed = filed.select("list", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                         "block", *names)
+    return filed.groupBy("list", "i", "j").applyInPandas(_compare(order, cosine), FOUND)
+
+
+def opened(pairs: DataFrame, members: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """(cid, links, a, a_first, b, b_first): links of single vectors
+    between the entries a and b, block by block."""
+    pairs = pairs.select("a", "a_first", "a_n", "b", "b_first", "b_n").distinct()
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    pairs = cut_lineage(pairs.withColumn("a_blocks", blocks("a_n")).withColumn("b_blocks", blocks("b_n")))
+    vectors = members.select("e", "cid", F.col("many").alias("size"), "unit")
+
+    def side(own: str, other: str, mine: str, theirs: str) -> DataFrame:
+        rows = pairs.join(vectors.withColumnRenamed("e", own), own)
+        rows = rows.withColumn(mine, F.expr(f"CAST(pmod(xxhash64(cid), {own}_blocks) AS INT)"))
+        rows = rows.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
+        return rows.select("a", "a_first", "b", "b_first", "i", "j", F.lit(own).alias("side"), "cid", "size", "unit")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.reset_index(drop=True)
+        unit = np.frombuffer(b"".join(rows["unit"]), float).reshape(len(rows), -1)
+        mine = (rows["side"] == "a").to_numpy()
+        a, b = np.flatnonzero(mine), np.flatnonzero(~mine)
+        x, y = np.nonzero(unit[a] @ unit[b].T >= cosine)
+        rows["links"] = _stars(rows, a[x], b[y])[0]
+        return rows.loc[rows["links"] > 0, ["cid", "links", "a", "a_first", "b", "b_first"]]
+
+    both = side("a", "b", "i", "j").unionByName(side("b", "a", "j", "i"))
+    return both.groupBy("a", "a_first", "b", "b_first", "i", "j").applyInPandas(
+        run, "cid long, links long, a string, a_first long, b string, b_first long")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     classes = distinct_vectors(vectors)
-    found = cut_lineage(links(*describe(classes), cosine))
-    counts = found.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
-    roots = connected_components(found.select("a", "b")).withColumnRenamed("node", "cid")
-    linked = cut_lineage(classes.select("cid", "first_id").join(roots, "cid"))
-    named = cut_lineage(linked.groupBy("root").agg(F.min("first_id").alias("component")))
-    named = linked.join(named, "root").select("cid", "component")
-    classes = classes.join(counts, "cid", "left").join(named, "cid", "left").select(
-        "vec", (F.col("many") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
-        F.coalesce("component", "first_id").alias("component"))
+    pivots = choose_pivots(classes)
+    members, centres = crowded(describe(classes, pivots), cosine)
+    entries = entries_of(members, centres, pivots)
+    found = cut_lineage(links(entries, cosine))
+    inside = cut_lineage(opened(found.where("links = 0"), members, cosine))
+
+    # Nodes order by their first id, so a component's root names it.
+    node = lambda c: F.struct(F.col(f"{c}_first").alias("first_id"), F.col(c).alias("e"))
+    edges = found.where("links > 0 AND a <> b").unionByName(inside, allowMissingColumns=True)
+    roots = component_members(edges.select(node("a").alias("a"), node("b").alias("b")))
+    roots = roots.select(F.col("node.e").alias("e"), F.col("root.first_id").alias("root"))
+    whole = found.where("links > 0").groupBy(F.col("a").alias("e")).agg(F.sum("links").alias("links"))
+    known = entries.select("e", "first_id", "size").join(whole, "e", "left").join(roots, "e", "left").select(
+        "e", (F.col("size") + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("root", "first_id").alias("component"))
+    alone = inside.groupBy("cid").agg(F.sum("links").alias("more"))
+    members = members.select("cid", "e").join(known, "e").join(alone, "cid", "left").select(
+        "cid", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n"), "component")
+    classes = classes.join(members, "cid").select("vec", "n", "component")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                           F.col("embedding").cast("array<double>").alias("row_vec"))
     own = F.col("vec_id").isNotNull()
