@@ -291,29 +291,37 @@ def links(entries: DataFrame, cosine: float = COSINE) -> DataFrame:
 
 def opened(pairs: DataFrame, members: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(cid, links, a, a_first, b, b_first): links of single vectors
-    between the entries a and b, block by block."""
-    pairs = pairs.select("a", "a_first", "a_n", "b", "b_first", "b_n").distinct()
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    pairs = cut_lineage(pairs.withColumn("a_blocks", blocks("a_n")).withColumn("b_blocks", blocks("b_n")))
+    between the entries a and b.  The larger entry's blocks are compared
+    with all its partners' vectors, dealt out in parts."""
+    ends = [F.struct(*[F.col(f"{c}{x}").alias(x or "e") for x in ("", "_first", "_n")]) for c in "ab"]
+    pairs = pairs.select(F.when(F.col("a_n") >= F.col("b_n"), F.array(*ends)).otherwise(F.array(*ends[::-1])).alias("p"))
+    pairs = cut_lineage(pairs.select(*[F.col("p")[n][x or "e"].alias(f"{c}{x}") for n, c in enumerate("ab")
+                                       for x in ("", "_first", "_n")]).distinct())
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    large = cut_lineage(pairs.groupBy("a", "a_first").agg(
+        blocks(F.max("a_n")).alias("blocks"), blocks(F.sum("b_n")).alias("parts")))
     vectors = members.select("e", "cid", F.col("many").alias("size"), "unit")
-
-    def side(own: str, other: str, mine: str, theirs: str) -> DataFrame:
-        rows = pairs.join(vectors.withColumnRenamed("e", own), own)
-        rows = rows.withColumn(mine, F.expr(f"CAST(pmod(xxhash64(cid), {own}_blocks) AS INT)"))
-        rows = rows.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
-        return rows.select("a", "a_first", "b", "b_first", "i", "j", F.lit(own).alias("side"), "cid", "size", "unit")
+    dealt = lambda c: F.expr(f"CAST(pmod(xxhash64(e, cid), {c}) AS INT)")
+    to_all = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    own = large.join(vectors, F.col("a") == F.col("e")).withColumn("i", dealt("blocks")).withColumn("j", to_all("parts"))
+    own = own.withColumn("b_first", F.col("a_first"))
+    partners = pairs.join(large.drop("a_first"), "a").join(vectors, F.col("b") == F.col("e"))
+    partners = partners.withColumn("j", dealt("parts")).withColumn("i", to_all("blocks"))
+    names = ["a", "a_first", F.col("e").alias("b"), "b_first", "i", "j", "cid", "size", "unit"]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.reset_index(drop=True)
         unit = np.frombuffer(b"".join(rows["unit"]), float).reshape(len(rows), -1)
-        mine = (rows["side"] == "a").to_numpy()
+        mine = (rows["a"] == rows["b"]).to_numpy()
         a, b = np.flatnonzero(mine), np.flatnonzero(~mine)
-        x, y = np.nonzero(unit[a] @ unit[b].T >= cosine)
-        rows["links"] = _stars(rows, a[x], b[y])[0]
-        return rows.loc[rows["links"] > 0, ["cid", "links", "a", "a_first", "b", "b_first"]]
-
-    both = side("a", "b", "i", "j").unionByName(side("b", "a", "j", "i"))
-    return both.groupBy("a", "a_first", "b", "b_first", "i", "j").applyInPandas(
+        linked = unit[a] @ unit[b].T >= cosine
+        size = rows["size"].to_numpy()
+        links = np.zeros(len(rows), np.int64)
+        links[a], links[b] = linked @ size[b], size[a] @ linked
+        rows["links"] = links
+        return rows.loc[links > 0, ["cid", "links", "a", "a_first", "b", "b_first"]]
+
+    return own.select(*names).unionByName(partners.select(*names)).groupBy("a", "i", "j").applyInPandas(
         run, "cid long, links long, a string, a_first long, b string, b_first long")
 
 
@@ -328,7 +336,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     # Nodes order by their first id, so a component's root names it.
     node = lambda c: F.struct(F.col(f"{c}_first").alias("first_id"), F.col(c).alias("e"))
-    edges = found.where("links > 0 AND a <> b").unionByName(inside, allowMissingColumns=True)
+    ends = ["a", "a_first", "b", "b_first"]
+    edges = found.where("links > 0").select(*ends).unionByName(inside.select(*ends)).where("a <> b")
     roots = component_members(edges.select(node("a").alias("a"), node("b").alias("b")))
     roots = roots.select(F.col("node.e").alias("e"), F.col("root.first_id").alias("root"))
     whole = found.where("links > 0").groupBy(F.col("a").alias("e")).agg(F.sum("links").alias("links"))

@@ -126,6 +126,51 @@ def test_recall_on_the_check_tables(spark):
     assert recall(spark, unit_rows(unit[np.linalg.norm(unit, axis=1) > 0])) >= 0.9
 
 
+def crowd_and_pairs(rng):
+    """A crowd around one vector, a ring at the linking angle, and pairs."""
+    centre = unit_rows(rng.normal(size=(1, 24)))
+    near = unit_rows(centre + 0.02 * rng.normal(size=(400, 24)))
+    ring = unit_rows(centre + 0.48 * unit_rows(rng.normal(size=(60, 24))))
+    base = unit_rows(rng.normal(size=(300, 24)))
+    return np.concatenate([near, ring, base, unit_rows(base + 0.03 * rng.normal(size=base.shape))])
+
+
+def test_crowds_are_exact(spark, monkeypatch):
+    unit = crowd_and_pairs(np.random.default_rng(4))
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(unit)], "vec_id long, embedding array<double>")
+    classes = embeddings.distinct_vectors(df)
+    pivots = embeddings.choose_pivots(classes)
+    members, centres = embeddings.crowded(embeddings.describe(classes, pivots), 0.9)
+    entries = embeddings.entries_of(members, centres, pivots)
+    crowds = entries.where("n > 1").collect()
+    assert crowds and sum(r["n"] for r in crowds) > 200 and entries.agg(F.sum("n")).first()[0] == len(unit)
+    inside = {}
+    for r in members.join(classes.drop("many", "first_id"), "cid").collect():
+        inside.setdefault(r["e"], []).append(r["vec"])
+    for r in crowds:  # what is counted without being compared does link
+        rows = np.array(inside[r["e"]])
+        assert len(rows) == r["n"] and (rows @ rows.T >= 0.9).all()
+        assert (np.arccos(np.clip(rows @ np.frombuffer(r["unit"]), -1, 1)) <= r["radius"]).all()
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    plain = {r["vec_id"]: tuple(r)[1:] for r in embeddings.near_duplicates(df).collect()}
+    found = np.array([plain[n][0] for n in range(len(unit))])
+    assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+    # Lists of pairs of pivots, and opened crowds in blocks, retrieve the same.
+    monkeypatch.setattr(embeddings, "LONG", 1)
+    assert {r["vec_id"]: tuple(r)[1:] for r in embeddings.near_duplicates(df).collect()} == plain
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    assert {r["vec_id"]: tuple(r)[1:] for r in embeddings.near_duplicates(df).collect()} == plain
+
+
+def test_recall_in_three_dimensions_and_near_the_threshold(spark):
+    rng = np.random.default_rng(6)
+    assert recall(spark, unit_rows(rng.normal(size=(1500, 3)))) >= 0.99
+    base, other = unit_rows(rng.normal(size=(4000, 64))), rng.normal(size=(4000, 64))
+    other = unit_rows(other - (other * base).sum(axis=1, keepdims=True) * base)
+    close = rng.uniform(0.9, 0.97, (4000, 1))
+    assert recall(spark, np.concatenate([base, close * base + np.sqrt(1 - close ** 2) * other])) >= 0.95
+
+
 # ---- the pipeline, stage by stage
 
 def plain_boilerplate(rows, least=8):
