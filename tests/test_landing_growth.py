@@ -1,5 +1,6 @@
 """What landing the nested records shuffles, sorts and writes."""
 import datetime
+import json
 import os
 
 from conftest import SF001
@@ -48,3 +49,19 @@ def test_invoices_are_nested_after_the_last_exchange(spark, tmp_path):
     assert [x["custom_fields"]["line_number"] for x in got["1", "8"]["line_items"]] == ["1", "2"]
     assert [s["subtotal"] for s in got["1", "7"]["line_items"][1]["sub_line_items"]] == [400.0, -200.0]
     assert got["2", "7"]["line_items"] == [] and [a["total"] for a in got["2", "7"]["invoice_adjustments"]] == [-10.0]
+
+
+def test_landed_text_is_made_after_the_last_exchange_and_compressed(spark, tmp_path, monkeypatch):
+    df = api_records.invoice_json_lines(spark, SF001)
+    assert dealt_out_before_grouped(df) and "USAGE" not in below_first_exchange(df)
+    monkeypatch.setattr(api_records, "INVOICES_PER_FILE", 2)
+    folder = small_tables(spark, str(tmp_path))
+    landed = api_records.landed_invoice_json(spark, folder)
+    files = [f for f in os.listdir(landed) if f.startswith("part-")]
+    assert len(files) >= 3 and all(f.endswith(".txt.snappy") for f in files)
+    # Each order beside each nested invoice of its key: the adjustment is that one's.
+    got = sorted((x["page_id"], x["record"].get("id"), x["record"]["total"], [a["total"] for a in x["record"]["invoice_adjustments"]],
+                  [n.get("product_id") for n in x["record"]["line_items"]])
+                 for x in map(json.loads, (r["value"] for r in spark.read.text(landed).collect())))
+    assert got == [(7, "1", 1000, [], ["5", "5"]), (7, "1", 1000, [-20.0], ["5", "5"]), (7, "2", "n/a", [-10.0], []),
+                   (8, "1", 2000, [], ["5", "5"]), (8, "1", 2000, [-20.0], ["5", "5"]), (9, None, 100, [], [])]
