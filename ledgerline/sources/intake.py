@@ -13,10 +13,11 @@ whole page; such a page, and no other, is parsed again record by record,
 so that its good records stay valid and the odd one is a reject with its
 own text.  A null in ``data`` is a reject as well.
 
-``take_in`` writes all outcomes in one pass over the input, as one table
-partitioned by outcome; the three results read their part of it.  The
-stored table is also what makes the outcomes agree: they come from the
-same parse.  ``classify`` alone is the plan without the write, for
+``take_in`` writes all outcomes in one pass over the input, as one table;
+the three results read their rows and columns of it.  The table isn't
+partitioned by outcome, since that would sort whole records before they
+are written.  The stored table is also what makes the outcomes agree:
+they come from the same parse.  ``classify`` alone is the plan without the write, for
 streams and other callers that stage by themselves.
 
 Missing is told apart from null where the entity says so
@@ -175,5 +176,5 @@ def take_in(spark: SparkSession, path: str, entity: str, stage_path: str | None
     results."""
     stage_path = stage_path or scratch_path(spark, f"intake-{uuid.uuid4().hex}")
     found = classify(read_envelopes(spark, path, entity, multi_line), entity)
-    found.write.partitionBy("outcome").parquet(stage_path)
+    found.write.parquet(stage_path)
     return outcomes(spark.read.schema(found.schema).parquet(stage_path), entity, all_or_nothing)

@@ -46,7 +46,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         folder = lambda name: os.path.join(out_dir, name, f"batch_id={batch_id}")
         found = intake.classify(batch, entity)
-        found.write.mode("overwrite").partitionBy("outcome").parquet(folder("_staged"))
+        found.write.mode("overwrite").parquet(folder("_staged"))
         staged = batch.sparkSession.read.schema(found.schema).parquet(folder("_staged"))
         taken = intake.outcomes(staged, entity, all_or_nothing=all_or_nothing)
         for name, rows in taken._asdict().items():

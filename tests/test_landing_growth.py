@@ -5,7 +5,7 @@ import os
 
 from conftest import SF001
 
-from ledgerline.sources import api_records
+from ledgerline.sources import api_records, intake
 
 
 def plan_tree(df) -> str:
@@ -65,3 +65,31 @@ def test_landed_text_is_made_after_the_last_exchange_and_compressed(spark, tmp_p
                  for x in map(json.loads, (r["value"] for r in spark.read.text(landed).collect())))
     assert got == [(7, "1", 1000, [], ["5", "5"]), (7, "1", 1000, [-20.0], ["5", "5"]), (7, "2", "n/a", [-10.0], []),
                    (8, "1", 2000, [], ["5", "5"]), (8, "1", 2000, [-20.0], ["5", "5"]), (9, None, 100, [], [])]
+
+
+def test_landed_pages_shuffle_no_text(spark, tmp_path, monkeypatch):
+    df = api_records.invoice_page_lines(spark, SF001)
+    assert dealt_out_before_grouped(df) and "external_invoice" not in below_first_exchange(df)
+    monkeypatch.setattr(api_records, "PAGE_SIZE", 1)
+    folder = small_tables(spark, str(tmp_path))
+    spark.read.parquet(f"{folder}/orders.parquet").unionByName(
+        spark.read.parquet(f"{folder}/orders.parquet").where("o_orderkey = 2").selectExpr(
+            "explode(array(3L, 5L)) AS o_orderkey", *["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    ).write.parquet(f"{tmp_path}/more/orders.parquet")
+    for name in ("lineitem", "part"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/more/{name}.parquet")
+    landed = api_records.landed_invoice_pages(spark, f"{tmp_path}/more")
+    assert all(f.endswith(".txt.snappy") for f in os.listdir(landed) if f.startswith("part-"))
+    texts = [r["value"] for r in spark.read.text(landed).collect()]
+    whole = [json.loads(t)["data"] for t in texts if t.startswith('{"data"')]
+    assert sorted(t for t in texts if not t.startswith('{"data"')) == ['{"error":"page 3: no answer"}', '{"page":5,"data":[{"id":']
+    assert sorted((str(r.get("id")), r["total"]) for page in whole for r in page) == [
+        ("1", 1000), ("1", 1000), ("1", 2000), ("1", 2000), ("2", "n/a"), ("None", 100)]
+    assert all(r["external_invoice"] is None for page in whole for r in page)
+
+
+def test_staged_outcomes_are_written_without_a_sort(spark, tmp_path):
+    taken = intake.take_in(spark, api_records.landed_invoice_pages(spark, SF001), "invoice", str(tmp_path / "staged"))
+    # Folders by outcome would mean that whole records are sorted first.
+    assert [f for f in os.listdir(tmp_path / "staged") if "=" in f] == []
+    assert taken.valid.count() + taken.rejects.count() + taken.pages.count() == spark.read.parquet(str(tmp_path / "staged")).count()
