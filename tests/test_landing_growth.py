@@ -93,3 +93,14 @@ def test_staged_outcomes_are_written_without_a_sort(spark, tmp_path):
     # Folders by outcome would mean that whole records are sorted first.
     assert [f for f in os.listdir(tmp_path / "staged") if "=" in f] == []
     assert taken.valid.count() + taken.rejects.count() + taken.pages.count() == spark.read.parquet(str(tmp_path / "staged")).count()
+
+
+def test_grants_are_nested_after_the_last_exchange(spark, tmp_path):
+    df = api_records.grant_records(spark, SF001)
+    assert dealt_out_before_grouped(df) and "billing" not in below_first_exchange(df)
+    got = {r["customer_id"]: r for r in api_records.grant_records(spark, small_tables(spark, str(tmp_path))).collect()}
+    assert sorted(got) == ["7", "8"]
+    # Sorted by time, then by amount; a line counts whether its part is known or not.
+    assert [(d["amount"], d["running_balance"], d["invoice_id"]) for d in got["7"]["deductions"]] == [
+        (0.0, 300.0, "1"), (0.0, 300.0, "1"), (200.0, 200.0, "1")]
+    assert (got["8"]["balance"]["including_pending"], got["8"]["balance"]["excluding_pending"]) == (1000, 800)
