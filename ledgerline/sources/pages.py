@@ -15,17 +15,21 @@ predicates:
 ``validate_records`` returns ``(valid, rejects)``: one bad record does
 not drop its page-mates (``all_or_nothing=True`` restores the stricter
 behaviour of dropping a whole page when any of its records is bad, done
-with a distributed anti join on the page id).
+with a distributed anti join on the page id, over a staged table of one
+parse).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DataType, DoubleType, LongType, MapType, StringType,
                                StructType)
 
 from ledgerline import schemas
+from ledgerline.session import scratch_path
 
 
 def read_pages(spark: SparkSession, path: str, record: StructType, multi_line: bool = False,
@@ -164,7 +168,8 @@ def _bad_number_reasons(text: Column, dtype: DataType, path: str) -> list[Column
 def validate_records(parsed_text: DataFrame, record: StructType, required: list[str],
                      record_col: str = "r", keep: list[str] | None = None,
                      all_or_nothing_by: str | None = None,
-                     timestamp_fields: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                     timestamp_fields: list[str] | None = None,
+                     fields: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Split records read with text leaves into ``(valid, rejects)``.
 
     ``parsed_text`` has a struct column ``record_col`` parsed with
@@ -172,9 +177,13 @@ def validate_records(parsed_text: DataFrame, record: StructType, required: list[
     fields typed as declared plus ``keep`` columns; ``rejects`` has
     ``keep`` columns, the record as JSON text and ``reasons``.
     ``all_or_nothing_by`` names a page column: a page with any reject
-    contributes no valid records.  ``timestamp_fields`` (top-level text
+    contributes no valid records.  The records are then parsed once for
+    both, bad pages and valid records, when this is called: into a staged
+    table in the shared folder.  ``timestamp_fields`` (top-level text
     fields) come out as ``timestamp_ntz``; text that is not a timestamp
-    is a reject reason.
+    is a reject reason.  ``fields``: the fields of the record that
+    ``valid`` is to have, and the staged table with it (default all);
+    every field is checked.
     """
     keep = keep or []
     ts = set(timestamp_fields or [])
@@ -192,9 +201,15 @@ def validate_records(parsed_text: DataFrame, record: StructType, required: list[
         if f.name in ts:
             return r.getField(f.name).try_cast("timestamp_ntz")
         return _typed(r.getField(f.name), f.dataType)
-    valid = checked.where(is_valid).select(*keep, *[typed(f).alias(f.name) for f in record.fields])
+    valid_fields = [typed(f).alias(f.name) for f in record.fields if fields is None or f.name in fields]
     rejects = checked.where(~is_valid).select(*keep, F.to_json(r).alias("record"), "reasons")
-    if all_or_nothing_by is not None:
-        bad_pages = rejects.select(all_or_nothing_by).distinct()
-        valid = valid.join(bad_pages, all_or_nothing_by, "left_anti")
+    if all_or_nothing_by is None:
+        return checked.where(is_valid).select(*keep, *valid_fields), rejects
+    found = checked.select(F.struct(*keep).alias("kept"), is_valid.alias("is_valid"),
+                           F.when(is_valid, F.struct(*valid_fields)).alias("r"))
+    path = scratch_path(parsed_text.sparkSession, f"validated-{uuid.uuid4().hex}")
+    found.write.parquet(path)
+    staged = parsed_text.sparkSession.read.schema(found.schema).parquet(path)
+    bad_pages = staged.where(~F.col("is_valid")).select(f"kept.{all_or_nothing_by}").distinct()
+    valid = staged.where("is_valid").select("kept.*", "r.*").join(bad_pages, all_or_nothing_by, "left_anti")
     return valid, rejects

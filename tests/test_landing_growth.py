@@ -5,7 +5,8 @@ import os
 
 from conftest import SF001
 
-from ledgerline.sources import api_records, intake
+from ledgerline import schemas
+from ledgerline.sources import api_records, intake, pages
 
 
 def plan_tree(df) -> str:
@@ -104,3 +105,19 @@ def test_grants_are_nested_after_the_last_exchange(spark, tmp_path):
     assert [(d["amount"], d["running_balance"], d["invoice_id"]) for d in got["7"]["deductions"]] == [
         (0.0, 300.0, "1"), (0.0, 300.0, "1"), (200.0, 200.0, "1")]
     assert (got["8"]["balance"]["including_pending"], got["8"]["balance"]["excluding_pending"]) == (1000, 800)
+
+
+def test_all_or_nothing_parses_once(spark, tmp_path):
+    landed = api_records.landed_invoice_json(spark, small_tables(spark, str(tmp_path)))
+    text = schemas.as_text_leaves(schemas.INVOICE)
+    parsed = spark.read.schema(f"page_id long, record {text.simpleString()}").json(landed)
+    valid, rejects = pages.validate_records(
+        parsed, schemas.INVOICE, schemas.REQUIRED["invoice"], record_col="record", keep=["page_id"],
+        all_or_nothing_by="page_id", timestamp_fields=schemas.TIMESTAMPS["invoice"], fields=["id", "total"])
+    # Neither the bad pages nor the valid records read the text again.
+    assert "FileScan json" not in plan_tree(valid) and valid.columns == ["page_id", "id", "total"]
+    # Page 7 has a total that is no number, page 9 a record without an id.
+    assert sorted(map(tuple, valid.collect())) == [(8, "1", 2000.0), (8, "1", 2000.0)]
+    assert sorted((r["page_id"], *r["reasons"]) for r in rejects.collect()) == [(7, "total: not a number"), (9, "id: missing")]
+    plain, _ = pages.validate_records(parsed, schemas.INVOICE, schemas.REQUIRED["invoice"], record_col="record", keep=["page_id"])
+    assert plain.columns == ["page_id", *schemas.INVOICE.names] and plain.count() == 4
