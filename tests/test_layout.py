@@ -67,3 +67,26 @@ def test_empty_tables(spark, tmp_path):
     layout.write_colocated(spark, str(tmp_path / "none"), tables, 4)
     landed = layout.read_colocated(spark, str(tmp_path / "none"))
     assert landed.rest is None and layout.lines_of_invoices(landed).isEmpty()
+
+
+def test_lines_are_grouped_where_the_sub_lines_lie(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "ROWS_IN_BUCKET", 500)
+    for name in ("orders", "lineitem", "part"):
+        spark.read.parquet(f"{SF001}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    landed = layout.landed_billing(spark, str(tmp_path))
+    n = spark.read.parquet(f"{SF001}/lineitem.parquet").count()
+    subs = landed.tables["sub_line_item"]
+    assert f"SelectedBucketsCount: {-(-n // 500)} out of {-(-n // 500)}" in plan_text(dt.lines_of(subs))
+    assert "Exchange" not in plan_text(dt.lines_of(subs))
+    assert rows(landed.tables["line_item"]) == rows(dt.line_items(spark, SF001))
+    # A hot invoice and lines without one, grouped from the rows beside the buckets.
+    sub = spark.range(900).select(F.lit("x").alias("line_item_id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None)
+                                  .otherwise(F.col("id") % 40).cast("bigint").alias("invoice_id"), F.lit("m").alias("billable_metric_name"),
+                                  F.concat(F.lit("n"), F.col("id") % 2).alias("line_item_name"), F.lit(1.5).alias("quantity"),
+                                  F.col("id").alias("subtotal"))
+    tables = {"invoice": spark.range(50).select("id", F.col("id").alias("customer_id")), "sub_line_item": sub}
+    layout.write_colocated(spark, f"{tmp_path}/hot", tables, 4, hot_rows=100, counted={"sub_line_item": sub.select("invoice_id")},
+                           derived={"line_item": ("sub_line_item", dt.lines_of)})
+    landed = layout.read_colocated(spark, f"{tmp_path}/hot")
+    assert {r[0] for r in landed.rest["line_item"].select("invoice_id").distinct().collect()} == {7, None}
+    assert rows(landed.tables["line_item"].unionByName(landed.rest["line_item"])) == rows(dt.lines_of(sub))
