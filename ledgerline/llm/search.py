@@ -4,7 +4,8 @@ per shard and merged with global statistics.
 1. One narrow pass tokenises the documents and writes, for about every
    ``SHARD_CHARS`` characters, one shard: ids, lengths and the postings
    (document, tf) by term hash.  No text is shuffled.  Within a shard
-   documents with the same commonest word and of like length lie
+   documents of like vocabulary (say, of one language) form a group, and
+   in it those with the same commonest word and of like length lie
    together, which makes the maxima of a run of documents tight.
 2. Document frequencies, their number and mean length are summed over the
    shards, so a document's score does not depend on its shard.
@@ -13,8 +14,9 @@ per shard and merged with global statistics.
    carries a query's best k from shard to shard; what tasks found is
    merged exactly.
 
-Posting lists of rare terms are added up for all documents.  Frequent
-terms (in more than one document in ``FREQUENT``) are not: for each run of
+Postings of a term in groups where it is rare are added up for all
+documents.  Where it is frequent (in more than one document in
+``FREQUENT`` of a group) they are not: for each run of
 ``RUN`` documents only the greatest impact of each term is added, which
 bounds the score of every document of the run.  Documents whose bounds
 stay below the query's k-th best score so far, from this shard or those
@@ -23,8 +25,9 @@ filter and stands in for WAND: pivots found by the summed block maxima of
 all lists were built and measured too, and cost about five times as much
 here, as queries of hundreds of terms have more blocks than they skip
 (README).  What is left for any query of a batch is scored in one matrix
-product, in single precision; documents that the proven rounding error
-still lets into the top k are scored again in double precision.  No
+product for each group, in single precision; documents that the proven
+rounding error still lets into the top k are scored again in double
+precision, from the document's own terms.  No
 document that could enter the top k is skipped.
 
 score = sum over the query's distinct terms of idf * tf * (k1 + 1) /
@@ -64,11 +67,15 @@ BATCH = 64
 BATCH_CELLS = 2_000_000  # queries x documents at once
 FREQUENT = 8
 RUN = 8
+GROUPS = 8
+SIGNS = 128
+ROUNDS = 4
 DIGITS = 9
 SLACK = 1e-6  # above any rounding in double precision
 
 _WORD = re.compile(r"\w+")
-SHARD = ("n_docs long, n_words long, ids binary, lengths binary, terms binary, sizes binary, docs binary, tfs binary")
+SHARD = ("n_docs long, n_words long, ids binary, lengths binary, groups binary, terms binary, sizes binary, docs binary, "
+         "tfs binary")
 
 
 def terms_of(text: str) -> Counter:
@@ -87,6 +94,33 @@ def _commonest(numbers: np.ndarray) -> int:
     return int(values[np.argmax(counts)])
 
 
+def _groups(found: list[np.ndarray], lengths: np.ndarray, common: np.ndarray, vocabulary: int) -> np.ndarray:
+    """Each document's group: at most ``GROUPS``, begun from the words
+    that are commonest most often and improved by a few rounds of k-means
+    on the shares of the ``SIGNS`` most frequent words."""
+    n = len(found)
+    if not vocabulary:
+        return np.zeros(n, np.int64)
+    word = np.concatenate(found)
+    signs = np.argsort(-np.bincount(word, minlength=vocabulary), kind="stable")[:SIGNS]
+    column = np.full(vocabulary, -1)
+    column[signs] = np.arange(len(signs))
+    column = column[word]
+    doc = np.repeat(np.arange(n), lengths)[column >= 0]
+    shares = np.bincount(doc * len(signs) + column[column >= 0], minlength=n * len(signs)).reshape(n, -1)
+    shares = np.sqrt(shares / np.maximum(shares.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+    words, which, times = np.unique(common, return_inverse=True, return_counts=True)
+    rank = np.empty(len(words), np.int64)
+    rank[np.argsort(-times, kind="stable")] = np.arange(len(words))
+    group = np.minimum(rank[which], GROUPS - 1)
+    for _ in range(ROUNDS):
+        centre = np.zeros((GROUPS, len(signs)), np.float32)
+        np.add.at(centre, group, shares)
+        centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
+        group = np.argmax(shares @ centre.T, axis=1)
+    return group
+
+
 class _Filing:
     """The documents of a shard that is being written."""
 
@@ -105,8 +139,9 @@ class _Filing:
     def batch(self) -> pa.RecordBatch:
         ids, n = np.array(self.ids, np.int64), len(self.ids)
         lengths = np.fromiter(map(len, self.found), np.int64, n)
-        # Ids last: the same shard whatever the order of its rows.
-        order = np.lexsort((ids, lengths, [_commonest(f) for f in self.found]))
+        common = np.fromiter(map(_commonest, self.found), np.int64, n)
+        group = _groups(self.found, lengths, common, len(self.vocabulary))
+        order = np.lexsort((ids, lengths, common, group))
         found, lengths, ids = [self.found[i] for i in order], lengths[order], ids[order]
         hashes = _hashed(self.vocabulary)
         by_hash = np.argsort(hashes)
@@ -120,7 +155,8 @@ class _Filing:
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]][: len(word)])
         tfs = np.diff(np.r_[first, len(word)])
         word = word[first]
-        columns = {"n_docs": n, "n_words": int(lengths.sum()), "ids": ids, "lengths": lengths, "terms": hashes[by_hash],
+        columns = {"n_docs": n, "n_words": int(lengths.sum()), "ids": ids, "lengths": lengths,
+                   "groups": np.unique(group, return_counts=True)[1].astype(np.int64), "terms": hashes[by_hash],
                    "sizes": np.bincount(word // max(n, 1), minlength=len(hashes)).astype(np.int32),
                    "docs": (word % max(n, 1)).astype(np.int32), "tfs": tfs.astype(np.int32)}
         return pa.RecordBatch.from_arrays(
@@ -174,120 +210,210 @@ def query_terms(queries: DataFrame) -> DataFrame:
         "query_id", "query_hash", F.explode("terms").alias("term"))
 
 
+class Block:
+    """The queries of a block: their distinct terms, rarest first, and
+    each query's as places among them, in the same order."""
+
+    def __init__(self, terms: np.ndarray, dfs: np.ndarray, sizes: np.ndarray, total: int):
+        self.hashes, first, number = np.unique(terms, return_index=True, return_inverse=True)
+        df = dfs[first].astype(float)
+        order = np.argsort(df, kind="stable")
+        self.place = np.empty(len(order), np.int32)  # of a hash among the terms
+        self.place[order] = np.arange(len(order), dtype=np.int32)
+        df = df[order]
+        self.idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
+        self.often = int(np.searchsorted(df * FREQUENT, total, "right"))  # the frequent terms begin here
+        self.number, self.ends = self.place[number], np.cumsum(sizes)
+        self.starts = self.ends - sizes
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def terms_of(self, q: int) -> np.ndarray:
+        return self.number[self.starts[q]:self.ends[q]]
+
+
 class Best:
     """The k best documents of each query of a block so far."""
 
     def __init__(self, queries: int, k: int):
         self.score, self.ids = np.full((queries, k), -np.inf), np.zeros((queries, k), np.int64)
 
-    def floor(self, q: int) -> float:
-        return max(0.0, self.score[q, -1])
-
     def offer(self, q: int, score: np.ndarray, ids: np.ndarray) -> None:
-        score, ids = np.r_[self.score[q], score], np.r_[self.ids[q], ids]
+        if not len(score) or score.max() < self.score[q, -1]:
+            return
+        score, ids = np.concatenate([self.score[q], score]), np.concatenate([self.ids[q], ids])
         top = np.lexsort((ids, -score))[: self.score.shape[1]]
         self.score[q], self.ids[q] = score[top], ids[top]
 
 
+class Group:
+    """Documents of a shard that lie together, and the impacts of the
+    terms frequent among them."""
+
+    def __init__(self, first: int, size: int, columns: int, docs: np.ndarray, column: np.ndarray, impact: np.ndarray):
+        self.at, self.columns = slice(first, first + size), columns
+        self.dense = np.zeros((-(-size // RUN) * RUN, columns), np.float32)  # a document's impacts lie together
+        self.dense[docs - first, column] = impact
+        self.most = self.dense.reshape(len(self.dense) // RUN, RUN, columns).max(axis=1)
+        self.top = self.most.max(axis=0)
+
+
 class Shard:
-    """Inverted index of some documents."""
+    """Inverted index of some documents, as far as a block asks for it.
+    An impact has its term's idf in it."""
 
-    def __init__(self, row: dict, mean_length: float):
+    def __init__(self, row: dict, mean_length: float, block: Block):
         read = lambda name, kind: np.frombuffer(row[name], kind)
-        self.ids, self.hashes = read("ids", np.int64), read("terms", np.int64)
-        self.n, self.runs = len(self.ids), -(-len(self.ids) // RUN)
-        self.docs, self.size = read("docs", np.int32), read("sizes", np.int32).astype(np.int64)
-        self.start = np.cumsum(self.size) - self.size
-        tf = read("tfs", np.int32).astype(float)
+        self.ids, hashes, self.block = read("ids", np.int64), read("terms", np.int64), block
+        self.n, self.scored, self.groups = len(self.ids), 0, []
+        if not len(hashes) or not len(block.hashes):
+            return
+        found = np.minimum(np.searchsorted(hashes, block.hashes), len(hashes) - 1)
+        at = np.full(len(found), -1)
+        at[block.place] = np.where(hashes[found] == block.hashes, found, -1)
+        here = np.flatnonzero(at >= 0)
+        self.place = np.full(len(at), -1, np.int32)  # a block's term here
+        self.place[here] = np.arange(len(here))
+        self.often = int(np.searchsorted(here, block.often))
+        sizes, at = read("sizes", np.int32).astype(np.int64), at[here]
+        size = sizes[at]
+        posting = _ranges(np.stack([np.cumsum(sizes) - sizes, sizes], axis=1)[at])
+        docs, tf = read("docs", np.int32)[posting], read("tfs", np.int32)[posting].astype(float)
         norm = K1 * (1 - B + B * read("lengths", np.int64) / mean_length)
-        self.impact = tf * (K1 + 1) / (tf + norm[self.docs])
-        self.word = np.repeat(np.arange(len(self.size)) * self.n, self.size) + self.docs
-        self.scored = 0
-
-    def load(self, columns: np.ndarray) -> None:
-        """Tables of the impacts and run maxima of frequent terms."""
-        self.columns = columns
-        self.dense = np.zeros((self.runs * RUN, len(columns)), np.float32)  # a document's impacts lie together
-        for column, t in enumerate(columns.tolist()):
-            at = slice(self.start[t], self.start[t] + self.size[t])
-            self.dense[self.docs[at], column] = self.impact[at]
-        self.most = self.dense.reshape(self.runs, RUN, len(columns)).max(axis=1)
-
-    def terms(self, hashes: np.ndarray, df: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(term, idf, whether frequent) of a query's terms that the shard has."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        here = self.hashes[at] == hashes
-        df = df[here]
-        return at[here], np.log(1 + (total - df + 0.5) / (df + 0.5)), df * FREQUENT > total
-
-    def search(self, queries: list, total: int, best: Best) -> None:
-        """Adds the shard's results for (term hashes, df) queries."""
-        if not len(self.hashes):
+        impact = tf * (K1 + 1) / (tf + norm[docs]) * np.repeat(block.idf[here], size)
+        if len(here):
+            self._file(np.repeat(np.arange(len(here), dtype=np.int32), size), docs, impact, read("groups", np.int64), len(here))
+
+    def _file(self, term: np.ndarray, docs: np.ndarray, impact: np.ndarray, groups: np.ndarray, terms: int) -> None:
+        """Tables of the terms frequent in a group, postings of the rest,
+        and each document's own terms."""
+        group = np.repeat(np.arange(len(groups)), groups)[docs]
+        cell = term * np.int64(len(groups)) + group
+        often = np.bincount(cell, minlength=terms * len(groups)).reshape(terms, -1) * FREQUENT > groups
+        # A term's column in each group's table.
+        self.column = np.where(often, np.cumsum(often, axis=0, dtype=np.int32) - 1, np.int32(-1)).T.copy()
+        tabled = often.ravel()[cell]
+        first = np.cumsum(groups) - groups
+        for g, size in enumerate(groups.tolist()):
+            mine = np.flatnonzero(tabled & (group == g))
+            self.groups.append(Group(int(first[g]), size, int(often[:, g].sum()), docs[mine], self.column[g, term[mine]],
+                                     impact[mine]))
+        rest = np.flatnonzero(~tabled)
+        small = docs.astype(np.uint16) if self.n <= 1 << 16 else docs  # what all cores read at once should stay in cache
+        self.docs, self.impact = small[rest], impact[rest].astype(np.float32)
+        size = np.bincount(term[rest], minlength=terms)
+        self.lists = np.stack([np.cumsum(size) - size, size], axis=1)
+        by_doc = np.argsort(small, kind="stable")
+        self.own_terms, self.own_impact = term[by_doc], impact[by_doc]
+        size = np.bincount(docs, minlength=self.n)
+        self.own = np.stack([np.cumsum(size) - size, size], axis=1)
+        self.asked = np.zeros(terms, bool)
+
+    def search(self, best: Best) -> None:
+        """Adds the shard's results for the block's queries."""
+        if not self.groups:
             return
-        found = [self.terms(h, df, total) for h, df in queries]
-        self.load(np.unique(np.concatenate([term[often] for term, _, often in found])))
         step = max(1, min(BATCH, BATCH_CELLS // self.n))
-        for s in range(0, len(found), step):
-            self._batch(found[s:s + step], s, best)
-
-    def _batch(self, queries: list, number: int, best: Best) -> None:
-        k = best.score.shape[1]
-        score = np.empty((len(queries), self.n))
-        weights = np.zeros((len(queries), len(self.columns)), np.float32)
-        slack = np.empty((len(queries), 1))
-        for q, (term, idf, often) in enumerate(queries):
-            rare, weight = term[~often], idf[~often]
-            size = self.size[rare]
-            place = np.arange(size.sum()) + np.repeat(self.start[rare] - (np.cumsum(size) - size), size)
-            score[q] = np.bincount(self.docs[place], self.impact[place] * np.repeat(weight, size), self.n)
-            weights[q, np.searchsorted(self.columns, term[often])] = idf[often]
-            # Twice the rounding error of a sum of that many single-precision products.
-            slack[q] = SLACK + (often.sum() + 4) * np.finfo(np.float32).eps * (K1 + 1) * idf[often].sum()
-        bound = score + np.repeat(weights @ self.most.T, RUN, axis=1)[:, : self.n] + slack
-        floor = np.array([best.floor(number + q) for q in range(len(queries))])[:, None]
+        # Queries that share most terms with the same group go together.
+        terms = self.place[self.block.number]
+        shared = np.stack([np.add.reduceat(column[terms] >= 0, self.block.starts, dtype=np.int32) for column in self.column])
+        order = np.argsort(np.argmax(shared, axis=0), kind="stable")
+        for s in range(0, len(order), step):
+            self._batch(order[s:s + step], best)
+
+    def _batch(self, asking: np.ndarray, best: Best) -> None:
+        k, number = best.score.shape[1], len(asking)
+        found = [self.place[self.block.terms_of(q)] for q in asking.tolist()]
+        found = [terms[terms >= 0] for terms in found]
+        score = np.empty((number, self.n), np.float32)
+        for q, terms in enumerate(found):
+            posting = _ranges(self.lists.take(terms, axis=0))
+            score[q] = np.bincount(self.docs.take(posting), self.impact.take(posting), self.n)
+        # Twice the rounding error of sums in single precision.
+        eps, asked = np.finfo(np.float32).eps, []
+        slack = SLACK + 4 * eps * score.max(axis=1).astype(float)
+        bound = score + slack.astype(np.float32)[:, None]
+        query, terms = np.repeat(np.arange(number), list(map(len, found))), np.concatenate(found)
+        for g, group in enumerate(self.groups):
+            column = self.column[g].take(terms)
+            at = np.flatnonzero(column >= 0)
+            weights = np.zeros((number, group.columns), np.float32)
+            weights[query[at], column[at]] = 1
+            asked.append(weights)
+            if len(at):
+                error = (weights.sum(axis=1) + 4.0) * eps * (weights @ group.top)
+                most = weights @ group.most.T + error[:, None]
+                bound[:, group.at] += np.repeat(most, RUN, axis=1)[:, : group.at.stop - group.at.start]
+                slack += error
+        floor = np.maximum(best.score[asking, -1], 0.0)
         if self.n > 4 * k:
-            for q in np.flatnonzero(floor[:, 0] == 0):  # no k documents yet: the highest bounds give a first floor
-                first = np.argpartition(-bound[q], 4 * k)[: 4 * k]
-                near = np.sort(score[q, first] + self.dense[first] @ weights[q])
-                floor[q] = max(0, near[-k] - slack[q, 0])
-        alive = bound >= floor
-        some = np.flatnonzero(alive.any(axis=0))
-        self.scored += int(alive.sum())
-        scored = score[:, some] + weights @ self.dense[some].T
-        for q, (term, idf, often) in enumerate(queries):
-            docs = np.flatnonzero(alive[q, some])
-            near = scored[q, docs]
-            least = floor[q, 0] - slack[q, 0]
-            if len(docs) > k:
-                least = max(least, np.partition(near, len(near) - k)[-k] - 2 * slack[q, 0])
-            docs = some[docs[near >= least]]
-            exact = np.round(score[q, docs] + self._exact(term[often], idf[often], docs), DIGITS)
-            best.offer(number + q, exact[exact > 0], self.ids[docs[exact > 0]])
-
-    def _exact(self, term: np.ndarray, weight: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """Double-precision scores of the documents for frequent terms."""
-        out = np.zeros(len(docs))
-        for s in range(0, len(docs), 1024):
-            key = docs[s:s + 1024, None] + term * self.n
-            at = np.minimum(np.searchsorted(self.word, key), len(self.word) - 1)
-            out[s:s + 1024] = np.where(self.word[at] == key, self.impact[at] * weight, 0.0).sum(axis=1)
-        return out
+            for q in np.flatnonzero(floor == 0):  # no k documents yet: the highest bounds give a first floor
+                near = np.sort(self._exact(found[q], np.argpartition(-bound[q], 4 * k)[: 4 * k]))
+                floor[q] = max(0, near[-k] - SLACK)
+        alive = bound >= np.nextafter(floor.astype(np.float32), np.float32(-1))[:, None]
+        self.scored += int(np.count_nonzero(alive))
+        least = np.nextafter((floor - slack).astype(np.float32), np.float32(-np.inf))[:, None]
+        docs, near = [[] for _ in found], [[] for _ in found]
+        for weights, group in zip(asked, self.groups):
+            some, size = np.flatnonzero(alive[:, group.at].any(axis=0)), group.at.stop - group.at.start
+            if not len(some):
+                continue
+            if 2 * len(some) > size:  # all of them, without a copy
+                some, scored = np.arange(size), weights @ group.dense[:size].T + score[:, group.at]
+            else:
+                scored = weights @ group.dense[some].T + score[:, some + group.at.start]
+            query, at = np.nonzero(scored >= least)
+            value, at, end = scored[query, at], some[at] + group.at.start, np.searchsorted(query, np.arange(number + 1))
+            for q in np.flatnonzero(np.diff(end)).tolist():
+                docs[q].append(at[end[q]:end[q + 1]])
+                near[q].append(value[end[q]:end[q + 1]])
+        for q in range(number):
+            if not docs[q]:
+                continue
+            at, value = np.concatenate(docs[q]), np.concatenate(near[q])
+            if len(at) > k:
+                at = at[value >= np.partition(value, len(value) - k)[-k] - 2 * slack[q]]
+            exact = np.round(self._exact(found[q], at), DIGITS)
+            best.offer(asking[q], exact[exact > 0], self.ids[at[exact > 0]])
+
+    def _exact(self, terms: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Double-precision scores of the documents, summed in an order
+        that depends on the terms alone, so that copies score the same."""
+        own = self.own.take(docs, axis=0)
+        at = _ranges(own)
+        self.asked[terms] = True
+        hit = np.flatnonzero(self.asked.take(self.own_terms.take(at)))
+        self.asked[terms] = False
+        row, at = np.repeat(np.arange(len(docs)), own[:, 1]).take(hit), at.take(hit)
+        term, impact = self.own_terms.take(at), self.own_impact.take(at)
+        rare, often = term < self.often, terms[terms >= self.often]
+        table = np.zeros((len(docs), len(often)))
+        table[row[~rare], np.searchsorted(often, term[~rare])] = impact[~rare]
+        return np.bincount(row[rare], impact[rare], len(docs)) + table.sum(axis=1)
+
+
+def _ranges(lists: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges (start, size), one after another."""
+    start, size = lists[:, 0], lists[:, 1]
+    end = np.cumsum(size)
+    out = np.repeat(start - (end - size), size)
+    out += np.arange(len(out))
+    return out
 
 
 def _answer(shards: DataFrame, block: pa.Table, total: int, mean: float, k: int) -> DataFrame:
     """(query_id, query_hash, doc_id, score): the best k of each task."""
     ids, keys = block.column("query_id").to_numpy(), block.column("query_hash").to_numpy()
-    # Two arrays for the whole block, and where each query begins.
     terms, dfs = (np.concatenate([c.flatten().to_numpy() for c in block.column(n).chunks] or [np.zeros(0, np.int64)])
                   for n in ("terms", "dfs"))
-    ends = np.cumsum([n for n in block.column("n").to_pylist()])
+    queries = Block(terms, dfs, block.column("n").to_numpy(), total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = list(zip(np.split(terms, ends[:-1]), np.split(dfs.astype(float), ends[:-1])))
         best = Best(len(queries), k)
         for batch in batches:
             for n in range(batch.num_rows):
-                Shard(batch.slice(n, 1).to_pylist()[0], mean).search(queries, total, best)
+                Shard(batch.slice(n, 1).to_pylist()[0], mean, queries).search(best)
         query, rank = np.nonzero(best.score > -np.inf)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids[query]), pa.array(keys[query]), pa.array(best.ids[query, rank]), pa.array(best.score[query, rank])],

@@ -229,6 +229,33 @@ def test_search_is_exact(spark, shard_chars, query_block):
     assert {(r["query_id"], r["rank"], r["doc_id"], round(r["score"], 5)) for r in found} == brute_search(rows, 10)
 
 
+def test_search_tables_terms_frequent_in_a_group():
+    # Eight vocabularies of 30 documents each: a term is in half of its own and in a 16th of all documents.
+    rng = random.Random(11)
+    filing, texts = search._Filing(), []
+    for d in range(240):
+        texts.append(" ".join([f"top{d % 8}"] * 3 + [f"w{d % 8}x{i}" for i in range(40) if rng.random() < 0.5]))
+        filing.add(d, texts[-1])
+    row = {c: v[0] for c, v in filing.batch().to_pydict().items()}
+    df = Counter(w for t in texts for w in search.terms_of(t))
+    queries = [sorted(search.terms_of(t), key=lambda w: (df[w], search._hashed([w])[0])) for t in texts[:16]]
+    block = search.Block(np.concatenate([search._hashed(q) for q in queries]),
+                         np.array([df[w] for q in queries for w in q]), np.array([len(q) for q in queries]), 240)
+    mean = row["n_words"] / 240
+    shard, best = search.Shard(row, mean, block), search.Best(16, 10)
+    shard.search(best)
+    assert len(shard.groups) == 8 and len(shard.docs) == 0
+    for q, terms in enumerate(queries):
+        scores = []
+        for d, t in enumerate(texts):
+            have = search.terms_of(t)
+            s = sum(math.log(1 + (240 - df[w] + 0.5) / (df[w] + 0.5)) * have[w] * 2.2
+                    / (have[w] + 1.2 * (0.25 + 0.75 * have.total() / mean)) for w in terms if w in have)
+            scores.append((-round(s, 9), d))
+        assert best.ids[q].tolist() == [d for _, d in sorted(scores)[:10]]
+        assert np.allclose(best.score[q], [-s for s, _ in sorted(scores)[:10]], rtol=0, atol=1e-8)
+
+
 def test_search_edges(spark, edge_docs, no_docs):
     rows = [(r["doc_id"], r["text"] or "") for r in edge_docs.collect() if r["doc_id"] is not None]
     found = search.search_self(edge_docs).collect()
