@@ -51,6 +51,7 @@ MAX_SEGMENTS = 512
 POOL = 512
 LEAST_CUT = 16
 CLOSING_ID = 1
+ROWS_IN = 1024  # encoded at once
 ROWS_OUT = 8192
 
 
@@ -170,9 +171,14 @@ def pack_documents(docs: DataFrame, path: str | None = None, max_tokens: int = M
             rows.clear()
             return pa.RecordBatch.from_arrays(arrays, names)
 
+        def encoded(batch: pa.RecordBatch, encoder) -> Iterator[tuple]:
+            for s in range(0, batch.num_rows, ROWS_IN):
+                part = batch.slice(s, ROWS_IN)
+                yield from zip(part.column("doc_id").to_pylist(), encoder.encode_all(part.column("text").to_pylist()))
+
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encoder.encode(text) + closing
+            for doc_id, ids in encoded(batch, encoder):
+                ids += closing
                 tokens, start = len(ids) // 4, 0
                 while tokens - start >= full:
                     emit([((doc_id, ids), start, full, full)])

@@ -14,7 +14,8 @@ rank-ordered merging yields.  Answers of the compatibility test are kept
 in a table.
 
 Words repeat, so their ids are kept in a bounded dictionary (emptied when
-full; that changes the time only).
+full; that changes the time only).  ``encode_all`` cuts many texts at once
+by the classes of their characters and looks each different word up once.
 
 Decoding.  The strings of all tokens lie in one byte buffer; token t is
 ``buffer[offset[t]:offset[t + 1]]``, so a document is one gather.
@@ -29,6 +30,7 @@ import struct
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 KEPT_WORDS = 200_000  # also the answers of the compatibility test
@@ -45,6 +47,27 @@ _BEYOND = re.compile("[^\x00-ſ]|[\x1c-\x1f]")
 _SPACE_RUN = re.compile("[^\\S\x1c-\x1f]+")
 
 
+# Of each character below U+0180: its lower case and its class.  Others,
+# and the few whose lower case is longer or that split otherwise, are BEYOND.
+LETTER, NUMBER, SPACE, OTHER, BEYOND = range(5)
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    lower, kinds = np.zeros(1 << 16, np.uint16), np.full(1 << 16, BEYOND, np.uint8)
+    patterns = [re.compile(f"[{c}]") for c in (_LETTERS, _NUMBERS, _SPACES)]
+    for code in range(0x180):
+        c = chr(code).lower()
+        if len(c) == 1 and not _BEYOND.search(chr(code)):
+            lower[code] = ord(c)
+            kinds[code] = next((k for k, p in enumerate(patterns) if p.match(c)), OTHER)
+    return lower, kinds
+
+
+_LOWER, _KINDS = _classes()
+_ENDINGS = [(e, [ord(c) for c in e]) for e in ("s", "t", "re", "ve", "m", "ll", "d")]
+SLICE_CHARS = 2_000_000  # split at once; longer texts are split alone
+
+
 def byte_symbols() -> str:
     """The character that stands for each byte: itself if it is visible
     Latin-1, else the next free one from U+0100 on."""
@@ -89,6 +112,7 @@ class WordSplitter:
         self.library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = self.library.normalizer, self.library.pre_tokenizer
         self.cache = WordCache(self.word_bytes)
+        self.plain_cache = WordCache(lambda word: self.word_bytes(word.decode("utf-16-le")))
 
     def word_ids(self, symbols: str) -> list[int]:
         raise NotImplementedError
@@ -121,6 +145,78 @@ class WordSplitter:
         return b"".join(out)
 
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """As ``encode`` for each text, but split in one pass over many."""
+        out, part, chars = [], [], 0
+        for text in texts:
+            part.append(text)
+            chars += len(text)
+            if chars >= SLICE_CHARS:
+                out += self._encode_part(part)
+                part, chars = [], 0
+        return out + self._encode_part(part)
+
+    def _encode_part(self, texts: list[str]) -> list[bytes]:
+        found: list = [None] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
+            if len(text) > SLICE_CHARS or self.special_cut and "<" in text and self.special_cut.search(text):
+                found[i] = self.encode(text)
+            else:
+                plain.append(i)
+        coded = [texts[i].encode("utf-16-le") for i in plain]
+        ends = np.cumsum([len(c) // 2 + 1 for c in coded])
+        codes = np.frombuffer(b" \0".join(coded) + b" \0", np.uint16)
+        kinds = _KINDS.take(codes)
+        beyond = np.zeros(len(plain), bool)
+        beyond[np.searchsorted(ends, np.flatnonzero(kinds == BEYOND), "right")] = True
+        sizes, ids = self._plain_ids(codes, kinds, ends)
+        at = 0
+        for i, size, other in zip(plain, sizes, beyond.tolist()):
+            found[i] = self.encode(texts[i]) if other else ids[at:at + size]
+            at += size
+        return found
+
+    def _plain_ids(self, codes: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> tuple[list[int], bytes]:
+        """Bytes of ids of each text, and all ids, of the texts that end at
+        ``ends``, each closed by a space; ids of what lies beyond are 0 long."""
+        codes = _LOWER.take(codes)
+        first = np.empty(len(kinds), bool)  # whether a word, or a run of spaces, begins here
+        first[:1] = True
+        np.not_equal(kinds[1:], kinds[:-1], out=first[1:])
+        first |= kinds == NUMBER
+        quote = np.flatnonzero((codes == ord("'")) & first)
+        for ending, letters in _ENDINGS:
+            # An apostrophe that begins a word takes an ending with it; every text closes with a space.
+            at = quote
+            for place, letter in enumerate(letters, 1):
+                at = at[codes.take(at + place, mode="clip") == letter]
+            first[at + 1] = False
+            first[at + 1 + len(ending)] = True
+            quote = quote[first[quote + 1]]
+        starts = np.flatnonzero(first)
+        keep = np.isin(kinds.take(starts), (LETTER, NUMBER, OTHER))
+        lengths = np.diff(starts, append=len(codes))[keep]
+        starts = starts[keep]
+        # The words' characters one after another, as Arrow strings of two bytes a character.
+        inside = (kinds != SPACE) & (kinds != BEYOND)
+        offsets = np.zeros(len(starts) + 1, np.int32)
+        np.cumsum(2 * lengths, out=offsets[1:])
+        words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(codes[inside])])
+        words = words.dictionary_encode()
+        known = [*map(self.plain_cache.__getitem__, words.dictionary.to_numpy(zero_copy_only=False).tolist())]
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begin = np.cumsum(size) - size
+        word = words.indices.to_numpy()
+        size, begin = size.take(word), begin.take(word)
+        total = np.cumsum(size)
+        place = np.repeat(begin - (total - size), size)
+        place += np.arange(len(place))
+        ids = np.frombuffer(b"".join(known), np.uint32).take(place)
+        total = np.concatenate([[0], total])[np.searchsorted(starts, ends)]
+        return (4 * np.diff(total, prepend=0)).tolist(), ids.tobytes()
+
+
 class LibraryWords(WordSplitter):
     """Words' ids by the model of the tokenizers library."""
 

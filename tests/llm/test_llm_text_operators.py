@@ -11,7 +11,7 @@ from llm_cases import edge_docs, no_docs  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerline.llm import bpe, langid, licenses, packing
+from ledgerline.llm import bpe, langid, licenses, packing, wordbpe
 from ledgerline.llm.wordbpe import WordBpe
 
 PATH = bpe.tokenizer_path()
@@ -215,3 +215,19 @@ def test_licenses_cover_what_whole_alignment_covers():
     assert scanner.scan("all of the rights in this text are reserved")[:4] == ("All-rights-reserved", 1.0, 0, 8)
     apart = " ".join(w + " x" * 12 for w in mit)
     assert scanner.scan(apart)[0] is None
+
+
+def test_many_texts_split_at_once(library, monkeypatch):
+    own, rng = wordbpe.LibraryWords(PATH), random.Random(7)
+    letters = [*"abXY01 '\n.,!stremvdl", "'s", "'ll", "'re ", "\u0178", "\u00e9", "\u00b2", "\x85", "\xa0", "\x7f", "\u017f"]
+    plain = ["", "'", "''s", "'ll'll", "x'", "1'm2", "don't", *("".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(3000))]
+    odd = ["\u0130x", "\x1c a", "a \u6f22 b", "\U0001f600's", "a<|endoftext|>b", "e\u0301"]
+    texts = [t for pair in zip(plain, odd * len(plain)) for t in pair]
+    want = [as_bytes(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert own.encode_all(texts) == want
+    monkeypatch.setattr(wordbpe, "SLICE_CHARS", 50)
+    assert own.encode_all(texts) == want
+    # Texts of the common range are not split one by one.
+    monkeypatch.setattr(wordbpe, "SLICE_CHARS", 10_000)
+    monkeypatch.setattr(own, "encode", None)
+    assert own.encode_all(plain) == want[::2]
