@@ -6,7 +6,8 @@ import os
 from conftest import SF001
 
 from ledgerline import schemas
-from ledgerline.sources import api_records, intake, pages
+from ledgerline.operators import joins
+from ledgerline.sources import api_records, driver_tables, intake, pages
 
 
 def plan_tree(df) -> str:
@@ -121,3 +122,21 @@ def test_all_or_nothing_parses_once(spark, tmp_path):
     assert sorted((r["page_id"], *r["reasons"]) for r in rejects.collect()) == [(7, "total: not a number"), (9, "id: missing")]
     plain, _ = pages.validate_records(parsed, schemas.INVOICE, schemas.REQUIRED["invoice"], record_col="record", keep=["page_id"])
     assert plain.columns == ["page_id", *schemas.INVOICE.names] and plain.count() == 4
+
+
+def test_a_table_of_many_rows_is_not_broadcast_however_small_its_files(spark, tmp_path):
+    few, many, n = small_tables(spark, str(tmp_path / "few")), str(tmp_path / "many"), joins.MOST_BROADCAST_ROWS + 1
+    rows = spark.range(n)
+    rows.selectExpr("id AS p_partkey", "'LARGE' AS p_type", "'Brand#1' AS p_brand").write.parquet(f"{many}/part.parquet")
+    rows.selectExpr("id AS o_orderkey", "1L AS o_custkey", "'F' AS o_orderstatus", "10D AS o_totalprice",
+                    "timestamp_ntz'1998-03-01' AS o_orderdate", "'3-MEDIUM' AS o_orderpriority").write.parquet(f"{many}/orders.parquet")
+    # Two lines of each known part, and two of a part that there is not.
+    spark.range(2 * n + 2).selectExpr(
+        "id AS l_orderkey", "id div 2 AS l_partkey", "1 AS l_linenumber", "1D AS l_quantity", "2D AS l_extendedprice", "0D AS l_discount",
+        "timestamp_ntz'1998-03-01' AS l_shipdate").write.parquet(f"{many}/lineitem.parquet")
+    files = [f for t in ("part", "orders") for f in (tmp_path / "many" / f"{t}.parquet").iterdir()]
+    assert sum(f.stat().st_size for f in files) < 8_000_000  # under the threshold, as Spark counts them
+    for make in (driver_tables.sub_line_items, api_records.invoice_records, api_records.invoice_json_lines, api_records.invoice_page_lines):
+        assert "SortMergeJoin" in plan_tree(make(spark, many)) and "Broadcast" not in plan_tree(make(spark, many))
+    assert driver_tables.sub_line_items(spark, many).count() == 2 * n
+    assert "BroadcastHashJoin" in plan_tree(driver_tables.sub_line_items(spark, few))
